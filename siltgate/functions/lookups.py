@@ -1,0 +1,16 @@
+"""Small fixed mappings as literal maps."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from itertools import chain
+from typing import Any
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def map_value(mapping: Mapping[str, Any], key: Column) -> Column:
+    """Value for the key, NULL when the mapping has none. For maps held in a contract."""
+    pairs = chain.from_iterable((F.lit(k), F.lit(v)) for k, v in mapping.items())
+    return F.create_map(*pairs)[key.cast("string")]
