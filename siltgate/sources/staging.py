@@ -7,6 +7,7 @@ below ``spark.sql.autoBroadcastJoinThreshold``, and a sort-merge join otherwise.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -28,17 +29,23 @@ def staging_root(spark: SparkSession) -> str:
     return fallback
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the staging root that no other run uses."""
-    return f"{staging_root(spark)}/siltgate/{label}-{uuid.uuid4().hex}"
-
-
 class Staging:
     """Staged tables of one run; leaving the ``with`` block removes them."""
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self._folders: list[str] = []
+        # Held here because a stopped session no longer hands it out.
+        self._files = spark._jvm.org.apache.hadoop.fs
+        self._settings = spark._jsc.hadoopConfiguration()
+
+    @classmethod
+    def until_exit(cls, spark: SparkSession) -> Staging:
+        """For results that are still lazy when the caller gets them: the tables stay
+        until the driver program ends."""
+        staging = cls(spark)
+        atexit.register(staging.clear)
+        return staging
 
     def __enter__(self) -> Staging:
         return self
@@ -46,15 +53,19 @@ class Staging:
     def __exit__(self, *exc_info: object) -> None:
         self.clear()
 
+    def folder(self, label: str) -> str:
+        """A path below the staging root that no other run uses."""
+        path = f"{staging_root(self._spark)}/siltgate/{label}-{uuid.uuid4().hex}"
+        self._folders.append(path)
+        return path
+
     def table(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` to a fresh folder and return the stored table."""
-        folder = new_folder(self._spark, label)
-        self._folders.append(folder)
-        df.write.parquet(folder)
-        return self._spark.read.schema(df.schema).parquet(folder)
+        path = self.folder(label)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        jvm, conf = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
         while self._folders:
-            path = jvm.org.apache.hadoop.fs.Path(self._folders.pop())
-            path.getFileSystem(conf).delete(path, True)
+            path = self._files.Path(self._folders.pop())
+            path.getFileSystem(self._settings).delete(path, True)

@@ -16,6 +16,7 @@ from siltgate.functions.lookups import map_value
 from siltgate.functions.timestamps import first_timestamp
 from siltgate.operators import checks, dedup, lookups, process, report
 from siltgate.operators.classify import (
+    REASON,
     classify,
     layer_summary,
     quarantine_view,
@@ -25,7 +26,7 @@ from siltgate.operators.classify import (
 )
 from siltgate.plans import goods, shop
 from siltgate.sources import readers, writers
-from siltgate.sources.staging import new_folder
+from siltgate.sources.staging import Staging
 from siltgate_queries import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,11 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return goods.movement_stage_events(silver, b.EVENT_COLUMNS, b.EVENT_STAGES)
 
 
+def staged_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage events as a stored table, for queries that read them more than once."""
+    return Staging.until_exit(spark).table(events(spark, sf), "stage-events")
+
+
 def quarantines(spark: SparkSession, sf: str) -> DataFrame:
     return union_quarantines(
         {
@@ -79,11 +85,26 @@ def quarantines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
+    """Each table is judged once; the verdicts are staged and all checks read them."""
+    staging = Staging.until_exit(spark)
+    judged_customers = staging.table(
+        classify(b.bronze_customers(spark, sf), CUSTOMERS, staging=staging).select(
+            *CUSTOMERS.silver_columns, REASON
+        ),
+        "judged-customers",
+    )
+    good_customers = silver_view(judged_customers, CUSTOMERS)
+    judged_orders = staging.table(
+        classify(b.bronze_orders(spark, sf), ORDERS, good_customers, staging).select(
+            *ORDERS.silver_columns, REASON
+        ),
+        "judged-orders",
+    )
     parts = [
-        checks.check_classified(customers(spark, sf), CUSTOMERS, CUSTOMER_CHECKS),
-        checks.check_classified(orders(spark, sf), ORDERS, ORDER_CHECKS),
+        checks.check_classified(judged_customers, CUSTOMERS, CUSTOMER_CHECKS),
+        checks.check_classified(judged_orders, ORDERS, ORDER_CHECKS),
         checks.check_references(
-            silver_orders(spark, sf), silver_customers(spark, sf), "customer_id", "customer_id"
+            silver_view(judged_orders, ORDERS), good_customers, "customer_id", "customer_id"
         ),
     ]
     return report.result_rows(checks.union_results(parts), ctx)
@@ -145,14 +166,14 @@ def event_ts_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 def scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.bronze_customers(spark, sf)
-    folder = new_folder(spark, "csv-customers")
+    folder = Staging.until_exit(spark).folder("csv-customers")
     writers.write_csv(raw, folder)
     return readers.read_csv(spark, folder, raw.schema)
 
 
 def sink_overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A layer replaced by one with another schema: only the second is left."""
-    folder = new_folder(spark, "layer-orders")
+    folder = Staging.until_exit(spark).folder("layer-orders")
     raw = b.bronze_orders(spark, sf)
     writers.write_layer(raw.select("order_id", "seq"), folder)
     writers.write_layer(raw.select("order_id", "seq", "status", "amount"), folder)
@@ -416,10 +437,11 @@ def avg_stage_days(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
+    stage_rows = staged_events(spark, sf)
     kpis = process.kpi_summary(
-        stage_lead_times(spark, sf),
-        d2d_lead_times(spark, sf),
-        e2e_lead_times(spark, sf),
+        process.stage_lead_times(stage_rows),
+        process.d2d_lead_times(stage_rows),
+        process.e2e_lead_times(stage_rows, b.EVENT_STAGES),
         b.EVENT_STAGES,
     )
     return kpis.withColumn("avg_stage_days_by_stage", F.to_json("avg_stage_days_by_stage"))
@@ -438,10 +460,13 @@ def check_unique_batch_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def check_non_negative_lead_times(spark: SparkSession, sf: str) -> DataFrame:
+    rows = staged_events(spark, sf)
+    stage_days, d2d = process.stage_lead_times(rows), process.d2d_lead_times(rows)
+    e2e = process.e2e_lead_times(rows, b.EVENT_STAGES)
     facts = [
-        checks.span_facts(stage_lead_times(spark, sf), "stage_lead_time_days", "stage"),
-        checks.span_facts(d2d_lead_times(spark, sf), "d2d_lead_time_days", "d2d"),
-        checks.span_facts(e2e_lead_times(spark, sf), "e2e_lead_time_days", "e2e"),
+        checks.span_facts(stage_days, "stage_lead_time_days", "stage"),
+        checks.span_facts(d2d, "d2d_lead_time_days", "d2d"),
+        checks.span_facts(e2e, "e2e_lead_time_days", "e2e"),
     ]
     return checks.evaluate(checks.union_results(facts), [checks.non_negative_lead_times()])
 
@@ -470,14 +495,24 @@ def dq_results_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_results_lead_time(spark: SparkSession, sf: str) -> DataFrame:
-    stage_rows = events(spark, sf)
+    """Movements are judged once and folded once; the suite reads the stored tables."""
+    staging = Staging.until_exit(spark)
+    judged = staging.table(
+        classify(b.bronze_movements(spark, sf), MOVEMENTS, staging=staging), "judged-movements"
+    )
+    stage_rows = staging.table(
+        goods.movement_stage_events(
+            silver_view(judged, MOVEMENTS), b.EVENT_COLUMNS, b.EVENT_STAGES
+        ),
+        "stage-events",
+    )
     rows = checks.check_lead_times(
         stage_rows,
         process.stage_lead_times(stage_rows),
         process.d2d_lead_times(stage_rows),
         process.e2e_lead_times(stage_rows, b.EVENT_STAGES),
         b.EVENT_STAGES,
-        layer_summary(movements(spark, sf), "movements"),
+        layer_summary(judged, "movements"),
     )
     return report.history_rows(report.result_rows(rows, CTX))
 
@@ -495,9 +530,12 @@ def findings_by_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_run_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs of the raw checks; the later one is shown."""
+    """Two runs of the raw checks kept in a history; the later one is shown."""
+    folder = Staging.until_exit(spark).folder("history-results")
     runs = F.explode(F.array(F.lit(CTX.run_id), F.lit(LATER.run_id)))
-    return report.latest_run(bronze_results(spark, sf).withColumn("run_id", runs))
+    both = report.history_rows(bronze_results(spark, sf)).withColumn("run_id", runs)
+    writers.append_history(both, folder)
+    return report.latest_run(readers.read_history(spark, folder))
 
 
 def report_snapshot_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -515,7 +553,7 @@ def narrative_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def history_append_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs appended to a stored history, then the newest snapshot read back."""
-    folder = new_folder(spark, "history-snapshots")
+    folder = Staging.until_exit(spark).folder("history-snapshots")
     first = bronze_results(spark, sf)
     writers.append_history(report.run_snapshot(first), folder)
     second = shop_results(spark, sf, LATER)
