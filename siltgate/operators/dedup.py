@@ -49,27 +49,33 @@ def mark_repeats(
     grouping keys, both sides get their own exchange, which is what adaptive
     execution needs before it may split a skewed partition.
     """
-    order = _order_value(df, order_by)
     keys = [f"_key{i}" for i in range(len(key))]
+    order, first = _order_and_first(df, order_by)
     repeated = (
         df.groupBy(*[F.col(k).alias(a) for k, a in zip(key, keys, strict=True)])
-        .agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .agg(first.alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .filter(F.col("_copies") > 1)
-        .drop("_copies")
+        .select(*keys, "_first", F.lit(True).alias("_seen_again"))
     )
     if staging is not None:
         repeated = staging.table(repeated, "repeated-keys")
     same_key = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(key, keys, strict=True)]
     joined = df.join(repeated, reduce(lambda a, b: a & b, same_key), "left")
-    is_repeat = F.col("_first").isNotNull() & ~order.eqNullSafe(F.col("_first"))
+    is_repeat = F.col("_seen_again").isNotNull() & ~order.eqNullSafe(F.col("_first"))
     return joined.select(*df.columns, is_repeat.alias(REPEAT))
 
 
-def _order_value(df: DataFrame, order_by: Sequence[str]) -> Column:
-    """One comparable value. A struct sorts NULL first, as an ordering does; a lone
-    number that cannot be NULL is kept bare so that the aggregate can hash."""
-    if len(order_by) == 1:
-        field = df.schema[order_by[0]]
-        if not field.nullable and isinstance(field.dataType, T.NumericType):
-            return F.col(order_by[0])
-    return F.struct(*order_by)
+# Types whose aggregation buffer is updated in place, so that min() can hash.
+_FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
+def _order_and_first(df: DataFrame, order_by: Sequence[str]) -> tuple[Column, Column]:
+    """A row's position and the aggregate for the least position of a key; NULL comes
+    first, as in an ordering. Several columns are compared as a struct, which needs a
+    sort; one fixed-width column is aggregated by hashing."""
+    if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, _FIXED_WIDTH):
+        order = F.col(order_by[0])
+        has_null = F.count(order) < F.count(F.lit(1))
+        return order, F.when(~has_null, F.min(order))
+    order = F.struct(*order_by)
+    return order, F.min(order)

@@ -43,8 +43,14 @@ ORDER_CHECKS = shop.order_checks(ORDERS)
 # ------------------------------------------------------------------ shared steps
 
 
+# Verdicts are found with staging: the keys that repeat, and the keys without a
+# parent, are stored first, so the wide rows meet tables of known size.
+
+
 def customers(spark: SparkSession, sf: str) -> DataFrame:
-    return classify(b.bronze_customers(spark, sf), CUSTOMERS)
+    return classify(
+        b.bronze_customers(spark, sf), CUSTOMERS, staging=Staging.until_exit(spark)
+    )
 
 
 def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,7 +58,12 @@ def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
-    return classify(b.bronze_orders(spark, sf), ORDERS, silver_customers(spark, sf))
+    return classify(
+        b.bronze_orders(spark, sf),
+        ORDERS,
+        silver_customers(spark, sf),
+        Staging.until_exit(spark),
+    )
 
 
 def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +71,9 @@ def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def movements(spark: SparkSession, sf: str) -> DataFrame:
-    return classify(b.bronze_movements(spark, sf), MOVEMENTS)
+    return classify(
+        b.bronze_movements(spark, sf), MOVEMENTS, staging=Staging.until_exit(spark)
+    )
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,10 +101,7 @@ def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFra
     """Each table is judged once; the verdicts are staged and all checks read them."""
     staging = Staging.until_exit(spark)
     judged_customers = staging.table(
-        classify(b.bronze_customers(spark, sf), CUSTOMERS, staging=staging).select(
-            *CUSTOMERS.silver_columns, REASON
-        ),
-        "judged-customers",
+        customers(spark, sf).select(*CUSTOMERS.silver_columns, REASON), "judged-customers"
     )
     good_customers = silver_view(judged_customers, CUSTOMERS)
     judged_orders = staging.table(
@@ -497,9 +507,7 @@ def dq_results_table(spark: SparkSession, sf: str) -> DataFrame:
 def dq_results_lead_time(spark: SparkSession, sf: str) -> DataFrame:
     """Movements are judged once and folded once; the suite reads the stored tables."""
     staging = Staging.until_exit(spark)
-    judged = staging.table(
-        classify(b.bronze_movements(spark, sf), MOVEMENTS, staging=staging), "judged-movements"
-    )
+    judged = staging.table(movements(spark, sf), "judged-movements")
     stage_rows = staging.table(
         goods.movement_stage_events(
             silver_view(judged, MOVEMENTS), b.EVENT_COLUMNS, b.EVENT_STAGES
