@@ -67,6 +67,7 @@ class CheckSpec:
     warn_drop_pct: float = 5.0
     fail_drop_pct: float = 15.0
     flag_extra_columns: bool = True
+    long_columns: tuple[str, ...] = ()
 
     @classmethod
     def from_mapping(

@@ -290,8 +290,17 @@ def null_rates(df: DataFrame, limits: Mapping[str, float], layer: str = "silver"
     return checks
 
 
-def uniqueness(df: DataFrame, columns: Sequence[str], layer: str = "silver") -> list[Check]:
-    """Surplus rows per column, each column on its own; NULL is one value."""
+def uniqueness(
+    df: DataFrame,
+    columns: Sequence[str],
+    layer: str = "silver",
+    long: Sequence[str] = (),
+) -> list[Check]:
+    """Surplus rows per column, each column on its own; NULL is one value.
+
+    Columns named in ``long`` hold long texts. They are compared by the SHA-256 of
+    the whole text, so that the shuffle carries digests instead of documents.
+    """
     checks = []
     for column in columns:
         name = f"unique_{layer}_{column}"
@@ -300,7 +309,7 @@ def uniqueness(df: DataFrame, columns: Sequence[str], layer: str = "silver") ->
             continue
         total, distinct = F.col("silver_n"), F.col(f"distinct_{column}")
         surplus = total - distinct
-        value = F.col(column)
+        value = F.sha2(F.col(column), 256) if column in long else F.col(column)
         null_seen = F.max(_silver(value.isNull()).cast("int"))
         checks.append(
             Check(
@@ -409,7 +418,7 @@ def table_checks(
     visible = tagged.select(*[c for c in tagged.columns if c in silver_columns])
     checks = [balance, drift]
     checks += null_rates(visible, spec.max_null_pct)
-    checks += uniqueness(visible, spec.unique_columns)
+    checks += uniqueness(visible, spec.unique_columns, long=spec.long_columns)
     if spec.email_column:
         checks.append(email_format(visible, spec.email_column))
     if spec.positive_column:

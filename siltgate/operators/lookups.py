@@ -19,15 +19,33 @@ def key_set(parent: DataFrame, column: str) -> DataFrame:
     )
 
 
-def matched(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def matched(
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    staging: Staging | None = None,
+) -> DataFrame:
     """Child rows whose key exists in the parent; rows are never multiplied."""
+    if staging is not None:
+        marked = mark_unmatched(child, column, parent, parent_column, staging)
+        return marked.filter(~F.col(UNMATCHED)).drop(UNMATCHED)
     return child.join(
         key_set(parent, parent_column), F.col(column).eqNullSafe(F.col("_parent_key")), "left_semi"
     )
 
 
-def unmatched(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def unmatched(
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    staging: Staging | None = None,
+) -> DataFrame:
     """Child rows whose key does not exist in the parent; a NULL key never matches."""
+    if staging is not None:
+        marked = mark_unmatched(child, column, parent, parent_column, staging)
+        return marked.filter(UNMATCHED).drop(UNMATCHED)
     return child.join(
         key_set(parent, parent_column), F.col(column).eqNullSafe(F.col("_parent_key")), "left_anti"
     )

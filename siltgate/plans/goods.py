@@ -70,7 +70,8 @@ LIFE_CYCLE = StageModel(
 
 @dataclass(frozen=True)
 class MovementColumns:
-    """The roles of a movement table's columns, and the reason names of its rejections."""
+    """The roles of a movement table's columns, and the reason names of its rejections.
+    The defaults are fixed values: column names as an ERP system exports them."""
 
     key: tuple[str, ...] = ("MBLNR", "MJAHR", "ZEILE")
     material: str = "MATNR"

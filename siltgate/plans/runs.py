@@ -15,11 +15,18 @@ from siltgate.context import RunContext
 from siltgate.contracts import CheckSpec, Intake, StageModel
 from siltgate.operators import checks, process, report
 from siltgate.operators.classify import classify, split, summary_of_layers
-from siltgate.plans.goods import LIFE_CYCLE, SAP_COLUMNS, MovementColumns, movement_stage_events
+from siltgate.plans import shop
+from siltgate.plans.goods import (
+    LIFE_CYCLE,
+    SAP_COLUMNS,
+    MovementColumns,
+    movement_intake,
+    movement_stage_events,
+)
 from siltgate.sources.layers import LayerNames
 from siltgate.sources.readers import read_layer
 from siltgate.sources.staging import Staging
-from siltgate.sources.writers import append_history, write_layer
+from siltgate.sources.writers import ARRIVAL, append_history, land, write_layer
 
 
 @dataclass(frozen=True)
@@ -42,7 +49,7 @@ def load_layers(
     for table in tables:
         name = table.intake.name
         parent = read_layer(spark, layers.silver(table.parent)) if table.parent else None
-        write_layer(table.bronze, layers.bronze(name))
+        _store_bronze(table, layers.bronze(name))
         bronze = read_layer(spark, layers.bronze(name))
         with Staging(spark) as staging:
             verdicts = classify(bronze, table.intake, parent, staging)
@@ -55,6 +62,14 @@ def load_layers(
     return checks.union_results(summaries)
 
 
+def _store_bronze(table: TableRun, where: str) -> None:
+    """Rows whose intake goes by arrival, but that carry no arrival number, get one."""
+    if ARRIVAL in table.intake.order_by and ARRIVAL not in table.bronze.columns:
+        land(table.bronze, where)
+    else:
+        write_layer(table.bronze, where)
+
+
 def check_tables(
     spark: SparkSession,
     specs: list[CheckSpec],
@@ -137,3 +152,50 @@ def store_and_gate(results: DataFrame, layers: LayerNames) -> None:
         append_history(report.run_snapshot(stored), layers.history("dq_run_snapshots"))
         append_history(report.narrative(stored), layers.history("dq_agent_reports"))
         checks.enforce_gate(stored)
+
+
+def run_shop(
+    spark: SparkSession,
+    customers: DataFrame,
+    orders: DataFrame,
+    layers: LayerNames,
+    ctx: RunContext,
+    customer: Intake | None = None,
+    order: Intake | None = None,
+) -> DataFrame:
+    """Load, check, store and gate customers and orders. Returns the layer summary."""
+    customer = customer or shop.customer_intake(_contract_columns(customers))
+    order = order or shop.order_intake(_contract_columns(orders))
+    tables = [TableRun(customers, customer), TableRun(orders, order, parent=customer.name)]
+    summary = load_layers(spark, tables, layers, ctx)
+    results = check_tables(
+        spark,
+        [shop.customer_checks(customer), shop.order_checks(order)],
+        layers,
+        ctx,
+        {t.intake.name: t.intake.bronze_columns for t in tables},
+        [(order.name, "customer_id", customer.name, "customer_id")],
+    )
+    store_and_gate(results, layers)
+    return summary
+
+
+def run_goods(
+    spark: SparkSession,
+    movements: DataFrame,
+    layers: LayerNames,
+    ctx: RunContext,
+    columns: MovementColumns = SAP_COLUMNS,
+    model: StageModel = LIFE_CYCLE,
+) -> DataFrame:
+    """Load movements, derive all lead times, check, store and gate. Returns the layer
+    summary."""
+    intake = movement_intake(_contract_columns(movements), columns, model)
+    summary = load_layers(spark, [TableRun(movements, intake)], layers, ctx)
+    load_lead_times(spark, layers, columns, model, intake.name)
+    store_and_gate(check_lead_time_layers(spark, layers, summary, ctx, model), layers)
+    return summary
+
+
+def _contract_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c != ARRIVAL]

@@ -22,12 +22,13 @@ def write_layer(df: DataFrame, where: str) -> Observation:
     return seen
 
 
-def land(df: DataFrame, path: str) -> None:
+ARRIVAL = "_arrival"
+
+
+def land(df: DataFrame, where: str) -> Observation:
     """Store raw rows with an ``_arrival`` number, so that 'first seen' means the same
-    in every later pass. The number is unique and follows the input's order."""
-    df.withColumn("_arrival", F.monotonically_increasing_id()).write.mode("overwrite").parquet(
-        path
-    )
+    in every later pass. The number is unique and rises within each input split."""
+    return write_layer(df.withColumn(ARRIVAL, F.monotonically_increasing_id()), where)
 
 
 def append_history(df: DataFrame, path: str) -> None:

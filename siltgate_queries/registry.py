@@ -215,13 +215,21 @@ def _shown(df: DataFrame) -> DataFrame:
 
 def orphan_orders_anti(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.unmatched(
-        b.bronze_orders(spark, sf), "customer_id", silver_customers(spark, sf), "customer_id"
+        b.bronze_orders(spark, sf),
+        "customer_id",
+        silver_customers(spark, sf),
+        "customer_id",
+        Staging.until_exit(spark),
     )
 
 
 def valid_orders_semi(spark: SparkSession, sf: str) -> DataFrame:
     return lookups.matched(
-        b.bronze_orders(spark, sf), "customer_id", silver_customers(spark, sf), "customer_id"
+        b.bronze_orders(spark, sf),
+        "customer_id",
+        silver_customers(spark, sf),
+        "customer_id",
+        Staging.until_exit(spark),
     )
 
 
@@ -337,7 +345,9 @@ def check_uniqueness(spark: SparkSession, sf: str) -> DataFrame:
     return checks.union_results(
         [
             checks.named(
-                checks.evaluate(checks.as_silver(df), checks.uniqueness(df, columns, "bronze")),
+                checks.evaluate(
+                    checks.as_silver(df), checks.uniqueness(df, columns, "bronze", long=("text",))
+                ),
                 table,
             )
             for table, (df, columns) in cases.items()
