@@ -1,8 +1,10 @@
 """End-to-end runs that store every layer.
 
-Each table is classified once into a staged table; silver and quarantine are
-written from it. Checks read the written layers. Results are stored before the
-gate may raise, so a failed run leaves its history.
+Before a table is split, the keys that decide its verdicts (repeated keys, keys
+without a parent) are stored. Silver and quarantine are then two filters over
+the same bronze rows and the same stored keys: they cannot disagree, and with few
+such keys neither shuffles the wide rows. Checks read the written layers. Results
+are stored before the gate may raise, so a failed run leaves its history.
 """
 
 from __future__ import annotations
@@ -31,9 +33,10 @@ from siltgate.sources.writers import ARRIVAL, append_history, land, write_layer
 
 @dataclass(frozen=True)
 class TableRun:
-    """A table to load: its raw rows, its intake, and the table its lookup refers to."""
+    """A table to load: its raw rows (None if its bronze table is stored already), its
+    intake, and the table its lookup refers to."""
 
-    bronze: DataFrame
+    bronze: DataFrame | None
     intake: Intake
     parent: str | None = None
 
@@ -52,9 +55,8 @@ def load_layers(
         _store_bronze(table, layers.bronze(name))
         bronze = read_layer(spark, layers.bronze(name))
         with Staging(spark) as staging:
-            verdicts = classify(bronze, table.intake, parent, staging)
-            classified = staging.table(verdicts, f"classified-{name}")
-            silver, quarantine = split(classified, table.intake, ctx)
+            judged = classify(bronze, table.intake, parent, staging)
+            silver, quarantine = split(judged, table.intake, ctx)
             write_layer(silver, layers.silver(name))
             write_layer(quarantine, layers.quarantine(name))
         stored = [read_layer(spark, at(name)) for at in (layers.silver, layers.quarantine)]
@@ -64,6 +66,8 @@ def load_layers(
 
 def _store_bronze(table: TableRun, where: str) -> None:
     """Rows whose intake goes by arrival, but that carry no arrival number, get one."""
+    if table.bronze is None:
+        return
     if ARRIVAL in table.intake.order_by and ARRIVAL not in table.bronze.columns:
         land(table.bronze, where)
     else:

@@ -16,7 +16,6 @@ from siltgate.functions.lookups import map_value
 from siltgate.functions.timestamps import first_timestamp
 from siltgate.operators import checks, dedup, lookups, process, report
 from siltgate.operators.classify import (
-    REASON,
     classify,
     layer_summary,
     quarantine_view,
@@ -58,12 +57,7 @@ def silver_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf: str) -> DataFrame:
-    return classify(
-        b.bronze_orders(spark, sf),
-        ORDERS,
-        silver_customers(spark, sf),
-        Staging.until_exit(spark),
-    )
+    return shop_tables(spark, sf)["orders"]
 
 
 def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -86,11 +80,26 @@ def staged_events(spark: SparkSession, sf: str) -> DataFrame:
     return Staging.until_exit(spark).table(events(spark, sf), "stage-events")
 
 
+def shop_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Customers and orders, both judged; the orders' lookup uses the same verdicts."""
+    judged = customers(spark, sf)
+    return {
+        "customers": judged,
+        "orders": classify(
+            b.bronze_orders(spark, sf),
+            ORDERS,
+            silver_view(judged, CUSTOMERS),
+            Staging.until_exit(spark),
+        ),
+    }
+
+
 def quarantines(spark: SparkSession, sf: str) -> DataFrame:
+    shop_rows = shop_tables(spark, sf)
     return union_quarantines(
         {
-            "customers": quarantine_view(customers(spark, sf), CUSTOMERS, CTX),
-            "orders": quarantine_view(orders(spark, sf), ORDERS, CTX),
+            "customers": quarantine_view(shop_rows["customers"], CUSTOMERS, CTX),
+            "orders": quarantine_view(shop_rows["orders"], ORDERS, CTX),
             "movements": quarantine_view(movements(spark, sf), MOVEMENTS, CTX),
         },
         ["customer_id", "order_id", "doc_id", "seq"],
@@ -98,23 +107,16 @@ def quarantines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
-    """Each table is judged once; the verdicts are staged and all checks read them."""
-    staging = Staging.until_exit(spark)
-    judged_customers = staging.table(
-        customers(spark, sf).select(*CUSTOMERS.silver_columns, REASON), "judged-customers"
-    )
-    good_customers = silver_view(judged_customers, CUSTOMERS)
-    judged_orders = staging.table(
-        classify(b.bronze_orders(spark, sf), ORDERS, good_customers, staging).select(
-            *ORDERS.silver_columns, REASON
-        ),
-        "judged-orders",
-    )
+    """All shop checks; the stored keys are shared between them."""
+    judged = shop_tables(spark, sf)
     parts = [
-        checks.check_classified(judged_customers, CUSTOMERS, CUSTOMER_CHECKS),
-        checks.check_classified(judged_orders, ORDERS, ORDER_CHECKS),
+        checks.check_classified(judged["customers"], CUSTOMERS, CUSTOMER_CHECKS),
+        checks.check_classified(judged["orders"], ORDERS, ORDER_CHECKS),
         checks.check_references(
-            silver_view(judged_orders, ORDERS), good_customers, "customer_id", "customer_id"
+            silver_view(judged["orders"], ORDERS),
+            silver_view(judged["customers"], CUSTOMERS),
+            "customer_id",
+            "customer_id",
         ),
     ]
     return report.result_rows(checks.union_results(parts), ctx)
@@ -238,13 +240,8 @@ def quarantine_reason_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def layer_summaries(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.union_results(
-        [
-            layer_summary(customers(spark, sf), "customers"),
-            layer_summary(orders(spark, sf), "orders"),
-            layer_summary(movements(spark, sf), "movements"),
-        ]
-    )
+    judged = shop_tables(spark, sf) | {"movements": movements(spark, sf)}
+    return checks.union_results([layer_summary(df, name) for name, df in judged.items()])
 
 
 # ---------------------------------------------------------------- check queries
@@ -272,9 +269,10 @@ def recon_movements(spark: SparkSession, sf: str) -> DataFrame:
 
 def check_row_count_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Three tables against three sets of limits."""
+    shop_rows = shop_tables(spark, sf)
     cases = [
-        (customers(spark, sf), CUSTOMERS, CUSTOMER_CHECKS),
-        (orders(spark, sf), ORDERS, ORDER_CHECKS),
+        (shop_rows["customers"], CUSTOMERS, CUSTOMER_CHECKS),
+        (shop_rows["orders"], ORDERS, ORDER_CHECKS),
         (
             movements(spark, sf),
             MOVEMENTS,
@@ -515,10 +513,9 @@ def dq_results_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_results_lead_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Movements are judged once and folded once; the suite reads the stored tables."""
-    staging = Staging.until_exit(spark)
-    judged = staging.table(movements(spark, sf), "judged-movements")
-    stage_rows = staging.table(
+    """Movements are folded once; the suite reads the stored stage events."""
+    judged = movements(spark, sf)
+    stage_rows = Staging.until_exit(spark).table(
         goods.movement_stage_events(
             silver_view(judged, MOVEMENTS), b.EVENT_COLUMNS, b.EVENT_STAGES
         ),
