@@ -1,7 +1,6 @@
 """Declarations: what a table must look like and how its rows are judged.
 
-Spark columns need a running session, so a rule holds a zero-argument callable
-that builds its predicate when the plan is put together.
+Predicates and derived values are SQL text, so a contract is plain data.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -18,7 +17,7 @@ class Rule:
     """Reject rows for which ``bad`` holds, or cannot be decided (NULL)."""
 
     reason: str
-    bad: Callable[[], Column]
+    bad: str
 
 
 @dataclass(frozen=True)
@@ -36,7 +35,8 @@ class Intake:
 
     ``order_by`` decides which copy of a key came first. It must be unique
     within a key (an arrival number, or columns that together are), otherwise
-    copies that tie for first place are all kept.
+    copies that tie for first place are all kept. A ``derived`` expression may
+    depend on the bronze schema. ``fills`` replace silver columns.
     """
 
     name: str
@@ -47,8 +47,8 @@ class Intake:
     bronze_columns: tuple[str, ...]
     silver_columns: tuple[str, ...]
     lookup: Lookup | None = None
-    derived: tuple[tuple[str, Callable[[DataFrame], Column]], ...] = ()
-    fills: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    derived: tuple[tuple[str, str | Callable[[StructType], str]], ...] = ()
+    fills: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)

@@ -1,4 +1,4 @@
-"""Ratios, rounding and durations.
+"""Ratios as SQL text; rounding, durations and averages as columns.
 
 Ratios that end up in a text are rounded with whole-number arithmetic, so the
 shown digits do not depend on how a double happens to be stored.
@@ -12,33 +12,26 @@ from pyspark.sql import functions as F
 SECONDS_PER_DAY = 86400.0
 
 
-def whole_div(left: Column, right: Column) -> Column:
-    return F.call_function("div", left, right)
-
-
-def percentage(part: Column, total: Column) -> Column:
+def percentage(part: str, total: str) -> str:
     """``part / total * 100`` as a double; 0 when there is nothing to divide by."""
-    safe = F.when(total == 0, F.lit(None)).otherwise(total)
-    return F.coalesce(part.cast("double") / safe * F.lit(100.0), F.lit(0.0))
+    return f"coalesce(cast({part} AS DOUBLE) / nullif({total}, 0) * 100.0D, 0.0D)"
 
 
-def _scaled_ratio(part: Column, total: Column, scale: int) -> Column:
+def _scaled_ratio(part: str, total: str, scale: int) -> str:
     """``round_half_up(part * scale / total)`` for counts, as a whole number."""
-    safe = F.greatest(total, F.lit(1).cast("bigint"))
-    return whole_div(part * F.lit(2 * scale) + safe, safe * F.lit(2))
+    safe = f"greatest({total}, 1L)"
+    return f"((({part}) * {2 * scale}L + {safe}) div ({safe} * 2L))"
 
 
-def percentage_text(part: Column, total: Column) -> Column:
+def percentage_text(part: str, total: str) -> str:
     """The percentage with one decimal, as text."""
     tenths = _scaled_ratio(part, total, 1000)
-    return F.concat(
-        whole_div(tenths, F.lit(10)).cast("string"), F.lit("."), (tenths % 10).cast("string")
-    )
+    return f"concat(cast({tenths} div 10 AS STRING), '.', cast({tenths} % 10 AS STRING))"
 
 
-def percentage_2(part: Column, total: Column) -> Column:
+def percentage_2(part: str, total: str) -> str:
     """The percentage rounded to two decimals."""
-    return _scaled_ratio(part, total, 10000) / F.lit(100.0)
+    return f"({_scaled_ratio(part, total, 10000)} / 100.0D)"
 
 
 def days_between(start: Column, end: Column) -> Column:
@@ -60,5 +53,5 @@ def mean_of_hundredths(value: Column) -> Column:
     """
     total = F.sum(F.round(value * 100).cast("bigint"))
     count = F.count(value)
-    magnitude = whole_div(F.abs(total) * 2 + count, count * 2)
+    magnitude = F.call_function("div", F.abs(total) * 2 + count, count * 2)
     return F.when(count > 0, F.signum(total.cast("double")) * magnitude / F.lit(100.0))

@@ -2,28 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltgate.functions import sql
 
-def first_timestamp(df: DataFrame, *names: str) -> Column:
-    """The first of the columns that holds a readable timestamp, else NULL.
+
+def first_timestamp(schema: T.StructType, *columns: str) -> str:
+    """SQL for the first of the columns that holds a readable timestamp, else NULL.
 
     Text is parsed leniently (unreadable gives NULL). Zone-free columns stay
     zone-free as long as every candidate is zone-free or a date.
     """
-    kinds = {name: df.schema[name].dataType for name in names}
+    kinds = {column: schema[column].dataType for column in columns}
     zone_free = any(isinstance(k, T.TimestampNTZType) for k in kinds.values()) and all(
         isinstance(k, (T.TimestampNTZType, T.DateType)) for k in kinds.values()
     )
-    target = "timestamp_ntz" if zone_free else "timestamp"
+    target = "TIMESTAMP_NTZ" if zone_free else "TIMESTAMP"
     parsed = []
-    for name, kind in kinds.items():
-        if isinstance(kind, T.StringType):
-            parsed.append(F.try_to_timestamp(F.col(name)))
-        elif isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            parsed.append(F.col(name).cast(target))
+    for column, kind in kinds.items():
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            parsed.append(f"cast({sql.name(column)} AS {target})")
         else:
-            parsed.append(F.try_to_timestamp(F.col(name).cast("string")))
-    return F.coalesce(*parsed)
+            parsed.append(f"try_to_timestamp(cast({sql.name(column)} AS STRING))")
+    return f"coalesce({', '.join(parsed)})"

@@ -1,7 +1,7 @@
 """Data-quality checks: one aggregate per table, one result row per check.
 
-A check contributes aggregate expressions and says how its row reads off them.
-All checks of a table share a single pass: their aggregates are computed
+A check names the aggregates it needs and says, as SQL over them, how its row
+reads. All checks of a table share a single pass: their aggregates are computed
 together into one row, which is then unfolded into ``(check_no, check_name,
 status, message, metrics_json)`` rows. Nothing is collected.
 
@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from siltgate.contracts import CheckSpec, Intake, StageModel
 from siltgate.functions import predicates as bad
+from siltgate.functions import sql
 from siltgate.functions.numbers import percentage, percentage_2, percentage_text
 from siltgate.operators.classify import REASON, silver_projection
 from siltgate.operators.lookups import count_unmatched
 
 IN_BRONZE, IN_SILVER, IN_QUARANTINE = "_in_bronze", "_in_silver", "_in_quarantine"
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
-SEVERITY = {PASS: 0, WARN: 1, FAIL: 2}
 
 
 class QualityGateError(RuntimeError):
@@ -36,11 +36,13 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
+    """``status``, ``message`` and ``metrics`` are SQL over the ``aggregates``."""
+
     name: str
-    status: Column
-    message: Column
-    aggregates: Mapping[str, Column] = field(default_factory=dict)
-    metrics: Sequence[Column] = ()
+    status: str
+    message: str
+    aggregates: Mapping[str, str] = field(default_factory=dict)
+    metrics: Mapping[str, str] = field(default_factory=dict)
 
 
 # ---------------------------------------------------------------- evaluation
@@ -48,38 +50,27 @@ class Check:
 
 def evaluate(df: DataFrame, checks: Sequence[Check], first_no: int = 1) -> DataFrame:
     """Run the checks over ``df`` in one aggregation."""
-    aggregates: dict[str, Column] = {}
+    aggregates = {"_rows": "count(1)"}
     for check in checks:
         aggregates.update(check.aggregates)
-    counted = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[c.alias(name) for name, c in aggregates.items()]
-    )
+    counted = df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in aggregates.items()])
     return _unfold(counted, checks, first_no)
 
 
-def _unfold(counted: DataFrame, checks: Sequence[Check], first_no: int) -> DataFrame:
-    rows = [
-        F.struct(
-            F.lit(number).alias("check_no"),
-            F.lit(check.name).alias("check_name"),
-            check.status.alias("status"),
-            check.message.alias("message"),
-            (F.to_json(F.struct(*check.metrics)) if check.metrics else F.lit("{}")).alias(
-                "metrics_json"
-            ),
+def _unfold(counted: DataFrame, checks: Sequence[Check], first_no: int = 1) -> DataFrame:
+    rows = []
+    for number, check in enumerate(checks, start=first_no):
+        pairs = ", ".join(f"{sql.text(k)}, {v}" for k, v in check.metrics.items())
+        metrics = f"to_json(named_struct({pairs}))" if pairs else "'{}'"
+        rows.append(
+            f"named_struct('check_no', {number}, 'check_name', {sql.text(check.name)}, 'status', "
+            f"{check.status}, 'message', {check.message}, 'metrics_json', {metrics})"
         )
-        for number, check in enumerate(checks, start=first_no)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
-
+    return counted.selectExpr(f"inline(array({', '.join(rows)}))")
 
-def pass_if(condition: Column, otherwise: str = FAIL) -> Column:
-    return F.when(condition, F.lit(PASS)).otherwise(F.lit(otherwise))
 
-
-def text(*parts: str | Column) -> Column:
-    """Concatenate literals and columns into a message."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def pass_if(condition: str, otherwise: str = FAIL) -> str:
+    return f"if({condition}, '{PASS}', '{otherwise}')"
 
 
 # ------------------------------------------------------------------- tagging
@@ -103,12 +94,8 @@ def tag_layers(
 def _flags(
     df: DataFrame, *, bronze: bool = False, silver: bool = False, quarantine: bool = False
 ) -> DataFrame:
-    return df.select(
-        "*",
-        F.lit(bronze).alias(IN_BRONZE),
-        F.lit(silver).alias(IN_SILVER),
-        F.lit(quarantine).alias(IN_QUARANTINE),
-    )
+    flags = {IN_BRONZE: bronze, IN_SILVER: silver, IN_QUARANTINE: quarantine}
+    return df.selectExpr("*", *[f"{'true' if on else 'false'} AS {n}" for n, on in flags.items()])
 
 
 def as_silver(df: DataFrame) -> DataFrame:
@@ -128,73 +115,70 @@ def tag_classified(classified: DataFrame, intake: Intake) -> DataFrame:
     )
 
 
-def _silver(condition: Column) -> Column:
-    return F.col(IN_SILVER) & condition
-
-
 # ---------------------------------------------------------- checks of a table
 # Check names and message layouts are fixed values: downstream reports and
 # history queries rely on them.
 
+_LAYER_COUNTS = {
+    "bronze_n": f"count_if({IN_BRONZE})",
+    "silver_n": f"count_if({IN_SILVER})",
+    "quarantine_n": f"count_if({IN_QUARANTINE})",
+}
+_SILVER_COUNT = {"silver_n": _LAYER_COUNTS["silver_n"]}
+
+
+def _silver_count_if(condition: str) -> str:
+    return f"count_if({IN_SILVER} AND {condition})"
+
 
 def row_count_delta(spec: CheckSpec) -> Check:
     """Share of bronze rows that did not reach silver, against three limits."""
-    bronze, silver = F.col("bronze_n"), F.col("silver_n")
-    dropped = F.greatest(bronze - silver, F.lit(0).cast("bigint"))
-    pct = percentage(dropped, bronze)
-    status = (
-        F.when((pct >= spec.fail_drop_pct) | (pct > spec.max_drop_pct), F.lit(FAIL))
-        .when(pct >= spec.warn_drop_pct, F.lit(WARN))
-        .otherwise(F.lit(PASS))
+    dropped = "greatest(bronze_n - silver_n, 0L)"
+    pct = percentage(dropped, "bronze_n")
+    fail, most, warn = (
+        sql.double(v) for v in (spec.fail_drop_pct, spec.max_drop_pct, spec.warn_drop_pct)
     )
     return Check(
         name="row_count_delta",
-        status=status,
-        message=text(
-            "Bronze=", bronze, ", Silver=", silver, ", dropped=", dropped,
-            " (", percentage_text(dropped, bronze), "%)",
-        ),
-        aggregates=_layer_counts(),
-        metrics=(
-            bronze.alias("bronze_count"),
-            silver.alias("silver_count"),
-            dropped.alias("dropped"),
-            percentage_2(dropped, bronze).alias("drop_pct"),
-            F.lit(float(spec.max_drop_pct)).alias("max_drop_pct"),
+        status=f"CASE WHEN {pct} >= {fail} OR {pct} > {most} THEN '{FAIL}'"
+        f" WHEN {pct} >= {warn} THEN '{WARN}' ELSE '{PASS}' END",
+        message=sql.message(
+            "Bronze={bronze_n}, Silver={silver_n}, dropped={dropped} ({pct}%)",
+            dropped=dropped,
+            pct=percentage_text(dropped, "bronze_n"),
         ),
+        aggregates=_LAYER_COUNTS,
+        metrics={
+            "bronze_count": "bronze_n",
+            "silver_count": "silver_n",
+            "dropped": dropped,
+            "drop_pct": percentage_2(dropped, "bronze_n"),
+            "max_drop_pct": most,
+        },
     )
 
 
-def _layer_counts() -> dict[str, Column]:
-    return {
-        "bronze_n": F.count_if(F.col(IN_BRONZE)),
-        "silver_n": F.count_if(F.col(IN_SILVER)),
-        "quarantine_n": F.count_if(F.col(IN_QUARANTINE)),
-    }
-
-
 def quarantine_reconciliation(has_reason: bool = True) -> Check:
     """Silver and quarantine together account for bronze, and every rejection says why.
     Without a reason column all rejections count as unexplained."""
-    bronze, silver, quarantine = F.col("bronze_n"), F.col("silver_n"), F.col("quarantine_n")
-    accounted, blanks = silver + quarantine, F.col("blank_reasons")
-    unexplained = bad.blank("rejection_reason") if has_reason else F.lit(True)
+    unexplained = bad.blank("rejection_reason") if has_reason else "true"
     return Check(
         name="quarantine_reconciliation",
-        status=pass_if((accounted == bronze) & (blanks == 0)),
-        message=text(
-            "Bronze=", bronze, ", Silver=", silver, ", Quarantine=", quarantine,
-            ", accounted=", accounted, ", blank_reasons=", blanks,
-        ),
-        aggregates=_layer_counts()
-        | {"blank_reasons": F.count_if(F.col(IN_QUARANTINE) & unexplained)},
-        metrics=(
-            bronze.alias("bronze_count"),
-            silver.alias("silver_count"),
-            quarantine.alias("quarantine_count"),
-            accounted.alias("accounted"),
-            blanks.alias("blank_rejection_reasons"),
+        status=pass_if("silver_n + quarantine_n = bronze_n AND blank_reasons = 0"),
+        message=sql.message(
+            "Bronze={bronze_n}, Silver={silver_n}, Quarantine={quarantine_n}, "
+            "accounted={accounted}, blank_reasons={blank_reasons}",
+            accounted="(silver_n + quarantine_n)",
         ),
+        aggregates=_LAYER_COUNTS
+        | {"blank_reasons": f"count_if({IN_QUARANTINE} AND {unexplained})"},
+        metrics={
+            "bronze_count": "bronze_n",
+            "silver_count": "silver_n",
+            "quarantine_count": "quarantine_n",
+            "accounted": "silver_n + quarantine_n",
+            "blank_rejection_reasons": "blank_reasons",
+        },
     )
 
 
@@ -209,9 +193,9 @@ def schema_drift(
     """Actual against expected column names; a matter of metadata, not of rows."""
     bronze, silver = set(bronze_columns), set(silver_columns)
     dropped, added = sorted(bronze - silver), sorted(silver - bronze)
-    planned = set(expected_bronze or ()) - set(expected_silver or ())
-    if expected_bronze is None or expected_silver is None:
-        planned = set()
+    planned: set[str] = set()
+    if expected_bronze is not None and expected_silver is not None:
+        planned = set(expected_bronze) - set(expected_silver)
     issues = []
     for layer, actual, expected in (
         ("bronze", bronze, expected_bronze),
@@ -232,25 +216,20 @@ def schema_drift(
         notes.append(f"columns dropped bronze to silver: {_listing(dropped)}")
     if added:
         notes.append(f"columns added in silver: {_listing(added)}")
-    summary = "; ".join(notes + issues) or "Schemas align with expectations"
     return Check(
         name="schema_drift",
-        status=F.lit(FAIL if issues else PASS),
-        message=F.lit(summary),
-        metrics=(
-            _names(sorted(bronze)).alias("bronze_columns"),
-            _names(sorted(silver)).alias("silver_columns"),
-            _names(dropped).alias("dropped_columns"),
-            _names(added).alias("added_columns"),
-            _names(sorted(planned)).alias("expected_dropped"),
-        ),
+        status=sql.text(FAIL if issues else PASS),
+        message=sql.text("; ".join(notes + issues) or "Schemas align with expectations"),
+        metrics={
+            "bronze_columns": sql.strings(sorted(bronze)),
+            "silver_columns": sql.strings(sorted(silver)),
+            "dropped_columns": sql.strings(dropped),
+            "added_columns": sql.strings(added),
+            "expected_dropped": sql.strings(sorted(planned)),
+        },
     )
 
 
-def _names(columns: Sequence[str]) -> Column:
-    return F.array(*[F.lit(c) for c in columns]).cast("array<string>")
-
-
 def _listing(names: Sequence[str]) -> str:
     return "[" + ", ".join(names) + "]"
 
@@ -259,32 +238,33 @@ def null_rates(df: DataFrame, limits: Mapping[str, float], layer: str = "silver"
     """Share of NULL or blank values per column; an empty table passes."""
     checks = []
     for column, limit in limits.items():
-        name = f"null_pct_{layer}_{column}"
+        check_name = f"null_pct_{layer}_{column}"
         if column not in df.columns:
-            checks.append(_absent(name, column, layer))
+            checks.append(_absent(check_name, column, layer))
             continue
-        nulls, total = F.col(f"nulls_{column}"), F.col("silver_n")
-        divisor = F.greatest(total, F.lit(1).cast("bigint"))
+        alias = f"nulls_{column}"
+        nulls, total = sql.name(alias), "greatest(silver_n, 1L)"
         checks.append(
             Check(
-                name=name,
-                status=pass_if(percentage(nulls, divisor) <= limit),
-                message=text(
-                    f"{layer}.{column}: ", nulls, "/", divisor, " null/blank (",
-                    percentage_text(nulls, divisor), f"%), limit={limit}%",
+                name=check_name,
+                status=pass_if(f"{percentage(nulls, total)} <= {sql.double(limit)}"),
+                message=sql.message(
+                    sql.plain(f"{layer}.{column}: ")
+                    + "{nulls}/{total} null/blank ({pct}%), "
+                    + f"limit={limit}%",
+                    nulls=nulls,
+                    total=total,
+                    pct=percentage_text(nulls, total),
                 ),
-                aggregates={
-                    "silver_n": F.count_if(F.col(IN_SILVER)),
-                    f"nulls_{column}": F.count_if(_silver(bad.blank(column))),
+                aggregates=_SILVER_COUNT | {alias: _silver_count_if(bad.blank(column))},
+                metrics={
+                    "layer": sql.text(layer),
+                    "column": sql.text(column),
+                    "nulls": nulls,
+                    "total": total,
+                    "null_pct": percentage_2(nulls, total),
+                    "limit_pct": sql.double(limit),
                 },
-                metrics=(
-                    F.lit(layer).alias("layer"),
-                    F.lit(column).alias("column"),
-                    nulls.alias("nulls"),
-                    divisor.alias("total"),
-                    percentage_2(nulls, divisor).alias("null_pct"),
-                    F.lit(float(limit)).alias("limit_pct"),
-                ),
             )
         )
     return checks
@@ -303,93 +283,97 @@ def uniqueness(
     """
     checks = []
     for column in columns:
-        name = f"unique_{layer}_{column}"
+        check_name = f"unique_{layer}_{column}"
         if column not in df.columns:
-            checks.append(_absent(name, column, layer))
+            checks.append(_absent(check_name, column, layer))
             continue
-        total, distinct = F.col("silver_n"), F.col(f"distinct_{column}")
-        surplus = total - distinct
-        value = F.sha2(F.col(column), 256) if column in long else F.col(column)
-        null_seen = F.max(_silver(value.isNull()).cast("int"))
+        alias, source = f"distinct_{column}", sql.name(column)
+        distinct = sql.name(alias)
+        value = f"sha2({source}, 256)" if column in long else source
         checks.append(
             Check(
-                name=name,
-                status=pass_if(surplus == 0),
-                message=text(f"{layer}.{column}: ", surplus, " duplicate value(s)"),
-                aggregates={
-                    "silver_n": F.count_if(F.col(IN_SILVER)),
-                    f"distinct_{column}": F.count_distinct(F.when(F.col(IN_SILVER), value))
-                    + F.coalesce(null_seen, F.lit(0)),
-                },
-                metrics=(
-                    F.lit(layer).alias("layer"),
-                    F.lit(column).alias("column"),
-                    total.alias("total"),
-                    distinct.alias("distinct"),
-                    surplus.alias("duplicates"),
+                name=check_name,
+                status=pass_if(f"silver_n = {distinct}"),
+                message=sql.message(
+                    sql.plain(f"{layer}.{column}: ") + "{surplus} duplicate value(s)",
+                    surplus=f"(silver_n - {distinct})",
                 ),
+                aggregates=_SILVER_COUNT
+                | {
+                    alias: f"count(DISTINCT if({IN_SILVER}, {value}, NULL))"
+                    f" + coalesce(max(int({IN_SILVER} AND {source} IS NULL)), 0)"
+                },
+                metrics={
+                    "layer": sql.text(layer),
+                    "column": sql.text(column),
+                    "total": "silver_n",
+                    "distinct": distinct,
+                    "duplicates": f"silver_n - {distinct}",
+                },
             )
         )
     return checks
 
 
 def email_format(df: DataFrame, column: str = "email", layer: str = "silver") -> Check:
-    name = f"email_format_{layer}"
+    check_name = f"email_format_{layer}"
     if column not in df.columns:
-        return _absent(name, column, layer, bare=True)
-    count = F.col("bad_emails")
+        return _absent(check_name, column, layer, bare=True)
     return Check(
-        name=name,
-        status=pass_if(count == 0),
-        message=text(f"{layer}: ", count, " invalid email(s)"),
-        aggregates={"bad_emails": F.count_if(_silver(bad.malformed(column)))},
-        metrics=(count.alias("invalid_emails"), F.lit(layer).alias("layer")),
+        name=check_name,
+        status=pass_if("bad_emails = 0"),
+        message=sql.message(sql.plain(layer) + ": {bad_emails} invalid email(s)"),
+        aggregates={"bad_emails": _silver_count_if(bad.malformed(column))},
+        metrics={"invalid_emails": "bad_emails", "layer": sql.text(layer)},
     )
 
 
 def amount_positive(df: DataFrame, column: str = "amount", layer: str = "silver") -> Check:
-    name = f"amount_positive_{layer}"
+    check_name = f"amount_positive_{layer}"
     if column not in df.columns:
-        return _absent(name, column, layer, bare=True)
-    count = F.col("bad_amounts")
+        return _absent(check_name, column, layer, bare=True)
     return Check(
-        name=name,
-        status=pass_if(count == 0),
-        message=text(f"{layer}: ", count, " non-positive/null amount(s)"),
-        aggregates={"bad_amounts": F.count_if(_silver(bad.not_positive(column)))},
-        metrics=(count.alias("bad_amounts"), F.lit(layer).alias("layer")),
+        name=check_name,
+        status=pass_if("bad_amounts = 0"),
+        message=sql.message(sql.plain(layer) + ": {bad_amounts} non-positive/null amount(s)"),
+        aggregates={"bad_amounts": _silver_count_if(bad.not_positive(column))},
+        metrics={"bad_amounts": "bad_amounts", "layer": sql.text(layer)},
     )
 
 
 def allowed_values(
     df: DataFrame, column: str, allowed: Sequence[str], layer: str = "silver"
 ) -> Check:
-    name = f"allowed_values_{layer}_{column}"
+    check_name = f"allowed_values_{layer}_{column}"
     if column not in df.columns:
-        return _absent(name, column, layer, bare=True)
-    count = F.col(f"outside_{column}")
+        return _absent(check_name, column, layer, bare=True)
+    alias = f"outside_{column}"
+    count = sql.name(alias)
     return Check(
-        name=name,
-        status=pass_if(count == 0),
-        message=text(
-            f"{layer}.{column}: ", count, f" value(s) outside {_listing(list(allowed))}"
-        ),
-        aggregates={f"outside_{column}": F.count_if(_silver(bad.not_in(column, allowed)))},
-        metrics=(
-            count.alias("bad_values"),
-            _names(allowed).alias("allowed"),
-            F.lit(layer).alias("layer"),
-            F.lit(column).alias("column"),
+        name=check_name,
+        status=pass_if(f"{count} = 0"),
+        message=sql.message(
+            sql.plain(f"{layer}.{column}: ")
+            + "{n} value(s) outside "
+            + sql.plain(_listing(allowed)),
+            n=count,
         ),
+        aggregates={alias: _silver_count_if(bad.not_in(column, allowed))},
+        metrics={
+            "bad_values": count,
+            "allowed": sql.strings(allowed),
+            "layer": sql.text(layer),
+            "column": sql.text(column),
+        },
     )
 
 
-def _absent(name: str, column: str, layer: str, bare: bool = False) -> Check:
-    metrics = () if bare else (F.lit(column).alias("column"), F.lit(layer).alias("layer"))
+def _absent(check_name: str, column: str, layer: str, bare: bool = False) -> Check:
+    metrics = {} if bare else {"column": sql.text(column), "layer": sql.text(layer)}
     return Check(
-        name=name,
-        status=F.lit(FAIL),
-        message=F.lit(f"Column '{column}' not found in {layer}"),
+        name=check_name,
+        status=sql.text(FAIL),
+        message=sql.text(f"Column '{column}' not found in {layer}"),
         metrics=metrics,
     )
 
@@ -469,24 +453,23 @@ def check_references(
     table: str = "_cross_",
 ) -> DataFrame:
     """Child rows without a partner. With no parent table the check is passed as skipped."""
-    name = f"referential_integrity_{layer}"
+    check_name = f"referential_integrity_{layer}"
     if parent is None:
-        skipped = Check(name, F.lit(PASS), F.lit("Skipped referential checks (no parent table)"))
-        return named(evaluate(child.select(), [skipped]), table)
-    orphans = F.col("unmatched")
+        note = sql.text("Skipped referential checks (no parent table)")
+        return named(evaluate(child.select(), [Check(check_name, sql.text(PASS), note)]), table)
     check = Check(
-        name=name,
-        status=pass_if(orphans == 0),
-        message=text(f"{layer}: ", orphans, f" {what}"),
-        metrics=(orphans.alias("orphan_orders"), F.lit(layer).alias("layer")),
+        name=check_name,
+        status=pass_if("unmatched = 0"),
+        message=sql.message(sql.plain(layer) + ": {unmatched} " + sql.plain(what)),
+        metrics={"orphan_orders": "unmatched", "layer": sql.text(layer)},
     )
     counted = count_unmatched(child, column, parent, parent_column)
-    return named(_unfold(counted, [check], 1), table)
+    return named(_unfold(counted, [check]), table)
 
 
 def named(rows: DataFrame, table: str) -> DataFrame:
     """Check rows under the name of the table they belong to."""
-    return rows.select(F.lit(table).alias("table_name"), "*")
+    return rows.selectExpr(f"{sql.text(table)} AS table_name", "*")
 
 
 # ------------------------------------------------------------ lead-time suite
@@ -494,51 +477,53 @@ def named(rows: DataFrame, table: str) -> DataFrame:
 # united and folded into one row. Inputs of different size meet without a join.
 
 
-def fact(name: str) -> Column:
-    return F.max(F.when(F.col("fact") == name, F.col("n")))
+def fact(label: str) -> str:
+    return f"max(if(fact = {sql.text(label)}, n, NULL))"
+
+
+def _fold(*labels: str) -> dict[str, str]:
+    return {label: fact(label) for label in labels}
 
 
-def _facts(one_row: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(n).alias("fact"), F.col(n).alias("n")) for n in names]
-    return one_row.select(F.inline(F.array(*pairs)))
+def _facts(one_row: DataFrame, labels: Sequence[str]) -> DataFrame:
+    pairs = ", ".join(f"struct({sql.text(x)} AS fact, {sql.name(x)} AS n)" for x in labels)
+    return one_row.selectExpr(f"inline(array({pairs}))")
 
 
 def event_facts(events: DataFrame, model: StageModel) -> DataFrame:
     """Facts about the stage events. Rows are first folded per batch and stage, which
     also shows repeated pairs."""
-    counts = {"bad_stages": F.count_if(bad.present_but_not_in("stage", model.stages))}
+    counts = {"bad_stages": f"count_if({bad.present_but_not_in('stage', model.stages)})"}
     for column in model.max_null_pct:
         if column in events.columns:
-            counts[f"nulls_{column}"] = F.count_if(bad.blank(column))
+            counts[f"nulls_{column}"] = f"count_if({bad.blank(column)})"
     folded = events.groupBy(
         F.col("batch_id").alias("_batch"), F.col("stage").alias("_stage")
-    ).agg(F.count(F.lit(1)).alias("events"), *[c.alias(n) for n, c in counts.items()])
-    names = ["events", *counts]
-    totals = folded.agg(
-        *[F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias(n) for n in names],
-        F.count(F.lit(1)).alias("pairs"),
+    ).agg(F.count(F.lit(1)).alias("events"), *[F.expr(c).alias(n) for n, c in counts.items()])
+    labels = ["events", *counts]
+    totals = folded.selectExpr(
+        *[f"coalesce(sum({sql.name(n)}), 0L) AS {sql.name(n)}" for n in labels],
+        "count(1) AS pairs",
     )
-    return _facts(totals, [*names, "pairs"])
+    return _facts(totals, [*labels, "pairs"])
 
 
 def span_facts(
     spans: DataFrame, column: str, prefix: str, target: float | None = None
 ) -> DataFrame:
     """How many spans are negative, and how many exceed the target."""
-    days = F.col(column)
-    counts = {f"{prefix}_negative": F.count_if(days < 0)}
+    days = sql.name(column)
+    counts = {f"{prefix}_negative": f"count_if({days} < 0)"}
     if target is not None:
-        counts[f"{prefix}_over"] = F.count_if(days > target)
-    return _facts(spans.agg(*[c.alias(n) for n, c in counts.items()]), list(counts))
+        counts[f"{prefix}_over"] = f"count_if({days} > {sql.double(target)})"
+    counted = spans.selectExpr(*[f"{how} AS {label}" for label, how in counts.items()])
+    return _facts(counted, list(counts))
 
 
 def layer_facts(summary: DataFrame) -> DataFrame:
     """Facts from a one-row layer summary."""
-    counts = summary.select(
-        F.col("bronze").alias("bronze_rows"),
-        F.col("silver").alias("silver_rows"),
-        F.col("quarantine").alias("quarantine_rows"),
-    )
+    layers = ("bronze", "silver", "quarantine")
+    counts = summary.selectExpr(*[f"{x} AS {x}_rows" for x in layers])
     return _facts(counts, counts.columns)
 
 
@@ -575,42 +560,42 @@ def check_lead_times(
     return named(evaluate(union_results(parts), checks), table)
 
 
-def movement_reconciliation(name: str) -> Check:
+def movement_reconciliation(check_name: str) -> Check:
     """Counts only: silver and quarantine account for bronze."""
-    bronze, silver, quarantine = (
-        F.col(f"{layer}_rows") for layer in ("bronze", "silver", "quarantine")
-    )
     return Check(
-        name=name,
-        status=pass_if(silver + quarantine == bronze),
-        message=text("Bronze=", bronze, ", Silver=", silver, ", Quarantine=", quarantine),
-        aggregates={f"{x}_rows": fact(f"{x}_rows") for x in ("bronze", "silver", "quarantine")},
-        metrics=(
-            bronze.alias("bronze"), silver.alias("silver"), quarantine.alias("quarantine")
+        name=check_name,
+        status=pass_if("silver_rows + quarantine_rows = bronze_rows"),
+        message=sql.message(
+            "Bronze={bronze_rows}, Silver={silver_rows}, Quarantine={quarantine_rows}"
         ),
+        aggregates=_fold("bronze_rows", "silver_rows", "quarantine_rows"),
+        metrics={
+            "bronze": "bronze_rows", "silver": "silver_rows", "quarantine": "quarantine_rows"
+        },
     )
 
 
 def stage_null_rates(model: StageModel, event_columns: Sequence[str]) -> list[Check]:
-    total = F.greatest(F.col("events"), F.lit(1).cast("bigint"))
+    total = "greatest(events, 1L)"
     checks = []
     for column, limit in model.max_null_pct.items():
-        name = f"null_pct_stage_{column}"
+        check_name = f"null_pct_stage_{column}"
         if column not in event_columns:
-            checks.append(_absent(name, column, "stage_events"))
+            checks.append(_absent(check_name, column, "stage_events"))
             continue
-        nulls = F.col(f"nulls_{column}")
+        label = f"nulls_{column}"
+        nulls = sql.name(label)
         checks.append(
             Check(
-                name=name,
-                status=pass_if(percentage(nulls, total) <= limit),
-                message=text(
-                    f"stage_events.{column}: ", nulls, "/", total,
-                    " (", percentage_text(nulls, total), "%)",
+                name=check_name,
+                status=pass_if(f"{percentage(nulls, total)} <= {sql.double(limit)}"),
+                message=sql.message(
+                    sql.plain(f"stage_events.{column}: ") + "{nulls}/{total} ({pct}%)",
+                    nulls=nulls,
+                    total=total,
+                    pct=percentage_text(nulls, total),
                 ),
-                aggregates={
-                    "events": fact("events"), f"nulls_{column}": fact(f"nulls_{column}")
-                },
+                aggregates=_fold("events", label),
             )
         )
     return checks
@@ -620,50 +605,49 @@ def allowed_stages() -> Check:
     """Stages outside the model; an unknown (NULL) stage is the null check's matter."""
     return Check(
         name="allowed_stages",
-        status=pass_if(F.col("bad_stages") == 0),
-        message=text("invalid stage rows: ", F.col("bad_stages")),
-        aggregates={"bad_stages": fact("bad_stages")},
+        status=pass_if("bad_stages = 0"),
+        message=sql.message("invalid stage rows: {bad_stages}"),
+        aggregates=_fold("bad_stages"),
     )
 
 
 def unique_batch_stage() -> Check:
-    surplus = F.col("events") - F.col("pairs")
     return Check(
         name="unique_batch_stage",
-        status=pass_if(surplus == 0),
-        message=text("duplicate batch+stage: ", surplus),
-        aggregates={"events": fact("events"), "pairs": fact("pairs")},
+        status=pass_if("events = pairs"),
+        message=sql.message("duplicate batch+stage: {surplus}", surplus="(events - pairs)"),
+        aggregates=_fold("events", "pairs"),
     )
 
 
 def non_negative_lead_times() -> Check:
-    names = ("stage_negative", "d2d_negative", "e2e_negative")
-    negative = reduce(lambda a, b: a + b, [F.col(n) for n in names])
+    labels = ("stage_negative", "d2d_negative", "e2e_negative")
+    negative = f"({' + '.join(labels)})"
     return Check(
         name="non_negative_lead_times",
-        status=pass_if(negative == 0),
-        message=text("negative lead-time rows: ", negative),
-        aggregates={n: fact(n) for n in names},
+        status=pass_if(f"{negative} = 0"),
+        message=sql.message("negative lead-time rows: {n}", n=negative),
+        aggregates=_fold(*labels),
     )
 
 
 def e2e_target_breach(model: StageModel) -> Check:
-    return _breach("e2e", f" batch(es) above E2E target {model.e2e_target_days}d")
+    return _breach("e2e", f"batch(es) above E2E target {model.e2e_target_days}d")
 
 
 def d2d_target_breach(model: StageModel) -> Check:
-    return _breach("d2d", f" handoff(s) above D2D target {model.d2d_target_days}d")
+    return _breach("d2d", f"handoff(s) above D2D target {model.d2d_target_days}d")
 
 
 def _breach(prefix: str, what: str) -> Check:
     """Late is a warning, never a failure."""
-    over = F.col(f"{prefix}_over")
+    over = f"{prefix}_over"
     return Check(
         name=f"{prefix}_target_breach",
-        status=pass_if(over == 0, WARN),
-        message=text(over, what),
-        aggregates={f"{prefix}_over": fact(f"{prefix}_over")},
-        metrics=(over.alias("over_target"),),
+        status=pass_if(f"{over} = 0", WARN),
+        message=sql.message(f"{{{over}}} {what}"),
+        aggregates=_fold(over),
+        metrics={"over_target": over},
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltgate.context import RunContext
 from siltgate.contracts import Intake
+from siltgate.functions import sql
 from siltgate.operators.dedup import REPEAT, mark_repeats
 from siltgate.operators.lookups import UNMATCHED, mark_unmatched
 from siltgate.sources.staging import Staging
@@ -27,25 +28,25 @@ def classify(
     cannot be decided counts as failed.
     """
     rows = mark_repeats(bronze, intake.key, intake.order_by, staging)
-    for name, build in intake.derived:
-        rows = rows.withColumn(name, build(bronze))
+    for name, value in intake.derived:
+        expression = value if isinstance(value, str) else value(bronze.schema)
+        rows = rows.withColumn(name, F.expr(expression))
     if intake.lookup is not None:
         if parent is None:
             raise ValueError(f"{intake.name}: a parent table is needed for its lookup")
         lookup = intake.lookup
         rows = mark_unmatched(rows, lookup.column, parent, lookup.parent_column, staging)
-    verdict = first_failure(intake)
-    helpers = [c for c in (REPEAT, UNMATCHED) if c in rows.columns]
-    return rows.withColumn(REASON, verdict).drop(*helpers)
+    kept = [F.col(c) for c in rows.columns if c not in (REPEAT, UNMATCHED)]
+    return rows.select(*kept, F.expr(first_failure(intake)).alias(REASON))
 
 
-def first_failure(intake: Intake) -> Column:
-    chain = F.when(F.col(REPEAT), F.lit(intake.duplicate_reason))
-    for rule in intake.rules:
-        chain = chain.when(F.coalesce(rule.bad(), F.lit(True)), F.lit(rule.reason))
+def first_failure(intake: Intake) -> str:
+    tests = [(REPEAT, intake.duplicate_reason)]
+    tests += [(f"coalesce({rule.bad}, true)", rule.reason) for rule in intake.rules]
     if intake.lookup is not None:
-        chain = chain.when(F.col(UNMATCHED), F.lit(intake.lookup.reason))
-    return chain
+        tests.append((UNMATCHED, intake.lookup.reason))
+    branches = [f"WHEN {test} THEN {sql.text(reason)}" for test, reason in tests]
+    return f"CASE {' '.join(branches)} END"
 
 
 def silver_view(classified: DataFrame, intake: Intake) -> DataFrame:
@@ -55,7 +56,7 @@ def silver_view(classified: DataFrame, intake: Intake) -> DataFrame:
 
 def silver_projection(intake: Intake) -> list[Column]:
     return [
-        intake.fills[name]().alias(name) if name in intake.fills else F.col(name)
+        F.expr(intake.fills[name]).alias(name) if name in intake.fills else F.col(name)
         for name in intake.silver_columns
     ]
 

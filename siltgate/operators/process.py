@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltgate.contracts import StageModel
-from siltgate.functions.lookups import map_value
+from siltgate.functions import sql
 from siltgate.functions.numbers import clamp_negative, days_between, mean_of_hundredths
 
 
@@ -39,7 +39,7 @@ def stage_events(
         F.count(F.lit(1)).alias("line_count"),
         F.sum(F.col(quantity).try_cast("double")).alias("total_quantity"),
     )
-    return folded.withColumn("stage_order", map_value(model.stage_order, F.col("stage")))
+    return folded.withColumn("stage_order", F.expr(sql.map_value(model.stage_order, "stage")))
 
 
 def stage_lead_times(events: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.context import RunContext
-from siltgate.functions.lookups import map_value
+from siltgate.functions import sql
 from siltgate.operators.checks import PASS, severity, status_of, with_overall
 
 RESULT_COLUMNS = [
@@ -111,11 +111,12 @@ def run_snapshot(results: DataFrame) -> DataFrame:
 
 def advised(results: DataFrame) -> DataFrame:
     """Result rows with the urgency and advice of their check family."""
-    family = check_family(F.col("check_name"))
-    return results.select(
-        "*",
-        map_value({k: v[0] for k, v in ADVICE.items()}, family).alias("urgency"),
-        map_value({k: v[1] for k, v in ADVICE.items()}, family).alias("advice"),
+    urgency = sql.map_value({k: v[0] for k, v in ADVICE.items()}, "_family")
+    advice = sql.map_value({k: v[1] for k, v in ADVICE.items()}, "_family")
+    return (
+        results.selectExpr("*", f"{check_family('check_name')} AS _family")
+        .selectExpr("*", f"{urgency} AS urgency", f"{advice} AS advice")
+        .drop("_family")
     )
 
 
@@ -126,17 +127,16 @@ def findings(results: DataFrame) -> DataFrame:
     )
 
 
-def check_family(check_name: Column) -> Column:
-    """The check's kind, without the layer and column that its name carries."""
+def check_family(column: str) -> str:
+    """The check's kind, without the layer and column that its name carries, as SQL."""
     named = [k for k in ADVICE if k not in ("null_pct", "unique", "unique_batch_stage")]
-    chain = (
-        F.when(check_name.startswith("null_pct_"), F.lit("null_pct"))
-        .when(check_name == "unique_batch_stage", F.lit("unique_batch_stage"))
-        .when(check_name.startswith("unique_"), F.lit("unique"))
-    )
-    for kind in named:
-        chain = chain.when(check_name.contains(kind), F.lit(kind))
-    return chain
+    tests = [
+        (f"startswith({column}, 'null_pct_')", "null_pct"),
+        (f"{column} = 'unique_batch_stage'", "unique_batch_stage"),
+        (f"startswith({column}, 'unique_')", "unique"),
+        *[(f"contains({column}, '{kind}')", kind) for kind in named],
+    ]
+    return "CASE " + " ".join(f"WHEN {test} THEN '{kind}'" for test, kind in tests) + " END"
 
 
 def decode_snapshot(snapshots: DataFrame) -> DataFrame:

@@ -6,11 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siltgate.contracts import Intake, Rule, StageModel
 from siltgate.functions import predicates as bad
-from siltgate.functions.lookups import map_value
+from siltgate.functions import sql
 from siltgate.functions.timestamps import first_timestamp
 from siltgate.operators import process
 from siltgate.operators.classify import classify
@@ -117,17 +116,19 @@ def movement_intake(
         order_by=tuple(order_by),
         duplicate_reason=columns.duplicate_reason,
         derived=(
-            ("stage", lambda df: map_value(model.code_to_stage, F.col(columns.code))),
+            ("stage", sql.map_value(model.code_to_stage, sql.name(columns.code))),
             (
                 "event_ts",
-                lambda df: first_timestamp(df, columns.entry_time, columns.posting_date),
+                lambda schema: first_timestamp(
+                    schema, columns.entry_time, columns.posting_date
+                ),
             ),
         ),
         rules=(
-            Rule(columns.missing_reason, lambda: bad.any_blank(required)),
-            Rule(columns.unmapped_reason, lambda: F.col("stage").isNull()),
-            Rule(columns.quantity_reason, lambda: bad.negative_or_missing(columns.quantity)),
-            Rule(columns.time_reason, lambda: F.col("event_ts").isNull()),
+            Rule(columns.missing_reason, bad.any_blank(required)),
+            Rule(columns.unmapped_reason, "stage IS NULL"),
+            Rule(columns.quantity_reason, bad.negative_or_missing(columns.quantity)),
+            Rule(columns.time_reason, "event_ts IS NULL"),
         ),
         bronze_columns=tuple(bronze_columns),
         silver_columns=(*bronze_columns, "stage", "event_ts"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siltgate.contracts import CheckSpec, Intake, Lookup, Rule
 from siltgate.functions import predicates as bad
@@ -31,16 +30,12 @@ def customer_intake(
         order_by=tuple(order_by),
         duplicate_reason="duplicate_customer_id",
         rules=(
-            Rule("invalid_or_blank_email", lambda: bad.blank("email") | bad.malformed("email")),
-            Rule("blank_name", lambda: bad.blank("name")),
+            Rule("invalid_or_blank_email", f"({bad.blank('email')} OR {bad.malformed('email')})"),
+            Rule("blank_name", bad.blank("name")),
         ),
         bronze_columns=tuple(bronze_columns),
         silver_columns=tuple(silver_columns),
-        fills={
-            "country": lambda: F.when(bad.blank("country"), F.lit(UNKNOWN_COUNTRY)).otherwise(
-                F.col("country")
-            )
-        },
+        fills={"country": f"if({bad.blank('country')}, '{UNKNOWN_COUNTRY}', country)"},
     )
 
 
@@ -58,9 +53,9 @@ def order_intake(
         order_by=tuple(order_by),
         duplicate_reason="duplicate_order_id",
         rules=(
-            Rule("non_positive_or_null_amount", lambda: bad.not_positive("amount")),
-            Rule("invalid_status", lambda: bad.not_in("status", allowed_status)),
-            Rule("blank_customer_id", lambda: bad.blank("customer_id")),
+            Rule("non_positive_or_null_amount", bad.not_positive("amount")),
+            Rule("invalid_status", bad.not_in("status", allowed_status)),
+            Rule("blank_customer_id", bad.blank("customer_id")),
         ),
         lookup=Lookup("customer_id", "customer_id", "orphan_customer_id"),
         bronze_columns=tuple(bronze_columns),

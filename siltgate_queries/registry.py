@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from siltgate.context import RunContext
 from siltgate.contracts import CheckSpec
 from siltgate.functions import predicates as bad
-from siltgate.functions.lookups import map_value
+from siltgate.functions import sql
 from siltgate.functions.timestamps import first_timestamp
 from siltgate.operators import checks, dedup, lookups, process, report
 from siltgate.operators.classify import (
@@ -160,20 +160,17 @@ def dedup_first_seen(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def code_to_stage_map(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.col("event_type")
-    return b.table(spark, sf, "events").select(
-        "event_id",
-        "event_type",
-        map_value(b.EVENT_STAGES.code_to_stage, code).alias("stage"),
-        map_value(b.EVENT_STAGES.stage_order, code).alias("stage_order"),
+    stage = sql.map_value(b.EVENT_STAGES.code_to_stage, "event_type")
+    order = sql.map_value(b.EVENT_STAGES.stage_order, "event_type")
+    return b.table(spark, sf, "events").selectExpr(
+        "event_id", "event_type", f"{stage} AS stage", f"{order} AS stage_order"
     )
 
 
 def event_ts_fallback(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.bronze_movements(spark, sf)
-    return raw.select(
-        "doc_id", "seq", first_timestamp(raw, "entry_ts", "posting_date").alias("event_ts")
-    )
+    event_ts = first_timestamp(raw.schema, "entry_ts", "posting_date")
+    return raw.selectExpr("doc_id", "seq", f"{event_ts} AS event_ts")
 
 
 def scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -307,7 +304,7 @@ def check_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
         drift = checks.schema_drift(
             raw[table].columns, silver, expected_bronze, expected_silver, flag_extra=strict
         )
-        counted = replace(drift, metrics=(*drift.metrics, F.col("_rows").alias("rows")))
+        counted = replace(drift, metrics={**drift.metrics, "rows": "_rows"})
         parts.append(checks.named(checks.evaluate(raw[table], [counted]), table))
     return checks.union_results(parts)
 
@@ -414,12 +411,12 @@ def check_referential_integrity(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_metrics_single_pass(spark: SparkSession, sf: str) -> DataFrame:
     """All row-level measures of the raw orders in one aggregate over one scan."""
-    return b.bronze_orders(spark, sf).agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(bad.blank("customer_id")).alias("blank_customer_id"),
-        F.count_if(bad.blank("amount")).alias("blank_amount"),
-        F.count_if(bad.not_positive("amount")).alias("bad_amount"),
-        F.count_if(bad.not_in("status", shop.ALLOWED_STATUS)).alias("bad_status"),
+    return b.bronze_orders(spark, sf).selectExpr(
+        "count(1) AS total_rows",
+        f"count_if({bad.blank('customer_id')}) AS blank_customer_id",
+        f"count_if({bad.blank('amount')}) AS blank_amount",
+        f"count_if({bad.not_positive('amount')}) AS bad_amount",
+        f"count_if({bad.not_in('status', shop.ALLOWED_STATUS)}) AS bad_status",
     )
 
 

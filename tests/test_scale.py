@@ -20,7 +20,7 @@ HOT_INTAKE = Intake(
     key=("k",),
     order_by=("o",),
     duplicate_reason="repeat",
-    rules=(Rule("bad", lambda: not_positive("v")),),
+    rules=(Rule("bad", not_positive("v")),),
     lookup=Lookup("fk", "p", "orphan"),
     bronze_columns=("k", "o", "fk", "v"),
     silver_columns=("k", "v"),
