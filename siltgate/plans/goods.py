@@ -32,36 +32,36 @@ LIFE_CYCLE = StageModel(
         "customer",
     ),
     code_to_stage={
-        "101S": "supplier",
-        "Z01": "supplier",
-        "541": "raw_material_procurement",
-        "542": "raw_material_procurement",
-        "Z02": "raw_material_procurement",
-        "561": "inbound_logistics",
-        "562": "inbound_logistics",
-        "Z03": "inbound_logistics",
         "101": "raw_material_receipt",
         "103": "raw_material_receipt",
         "105": "quality_inspection_and_release",
         "321": "quality_inspection_and_release",
         "322": "quality_inspection_and_release",
-        "101F": "manufacturing",
         "261": "manufacturing",
         "262": "manufacturing",
+        "101F": "manufacturing",
         "531": "manufacturing",
-        "309": "packaging",
-        "Z04": "packaging",
-        "501": "finished_goods",
-        "Z05": "finished_goods",
         "311": "warehouse",
         "313": "warehouse",
         "315": "warehouse",
+        "601": "customer_shipment",
+        "602": "customer_shipment",
         "641": "distribution_center",
         "643": "distribution_center",
         "647": "distribution_center",
         "Z07": "distribution_center",
-        "601": "customer_shipment",
-        "602": "customer_shipment",
+        "101S": "supplier",
+        "541": "raw_material_procurement",
+        "542": "raw_material_procurement",
+        "561": "inbound_logistics",
+        "562": "inbound_logistics",
+        "309": "packaging",
+        "501": "finished_goods",
+        "Z01": "supplier",
+        "Z02": "raw_material_procurement",
+        "Z03": "inbound_logistics",
+        "Z04": "packaging",
+        "Z05": "finished_goods",
         "Z06": "customer",
     },
 )

@@ -11,6 +11,7 @@ import atexit
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -44,7 +45,7 @@ class Staging:
         """For results that are still lazy when the caller gets them: the tables stay
         until the driver program ends."""
         staging = cls(spark)
-        atexit.register(staging.clear)
+        atexit.register(staging._clear_at_exit)
         return staging
 
     def __enter__(self) -> Staging:
@@ -65,6 +66,12 @@ class Staging:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def _clear_at_exit(self) -> None:
+        try:
+            self.clear()
+        except (Py4JError, OSError):
+            pass  # the JVM is gone already; the folder's retention rule takes over
+
     def clear(self) -> None:
         while self._folders:
             path = self._files.Path(self._folders.pop())

@@ -169,3 +169,15 @@ def test_lead_time_gate_warns(movement_tables):
     slowest = process.slowest_handoffs(d2d, 1).collect()
     assert [(r.batch_id, r.d2d_lead_time_days) for r in slowest] == [("BATCH003", 2.08)]
     assert events.filter(F.col("stage_order").isNull()).isEmpty()
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_lead_times_do_not_depend_on_partitioning(spark, movement_tables, partitions):
+    intake = goods.movement_intake(samples.MOVEMENT_COLUMNS)
+    judged = goods.classify_movements(samples.movements(spark).repartition(partitions), intake)
+    again = goods.movement_stage_events(split(judged, intake, CTX)[0])
+    events = movement_tables[3]
+    assert Counter(again.collect()) == Counter(events.collect())
+    assert Counter(process.d2d_lead_times(again).collect()) == Counter(
+        process.d2d_lead_times(events).collect()
+    )
