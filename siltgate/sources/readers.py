@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,16 @@ def read_layer(spark: SparkSession, where: str) -> DataFrame:
     return spark.read.parquet(where) if "/" in where else spark.table(where)
 
 
+def read_layer_if_present(spark: SparkSession, where: str) -> DataFrame | None:
+    """A layer table, or None when nothing was ever stored there."""
+    try:
+        return read_layer(spark, where)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return None
+        raise
+
+
 def read_positioned(spark: SparkSession, path: str) -> DataFrame:
     """Parquet rows with ``_file`` and ``_position``: a stable, unique arrival order."""
     return spark.read.parquet(path).select(

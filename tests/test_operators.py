@@ -33,7 +33,8 @@ def only(df, **wanted):
 
 def test_blank(spark):
     df = spark.createDataFrame([(None,), ("",), ("   ",), ("\t",), ("a",)], "v STRING")
-    assert column(df.selectExpr(predicates.blank("v") + " AS x")) == [True, True, True, False, False]
+    got = column(df.selectExpr(predicates.blank("v") + " AS x"))
+    assert got == [True, True, True, False, False]
     assert column(spark.range(1).selectExpr(predicates.blank("id") + " AS x")) == [False]
 
 
@@ -102,7 +103,8 @@ def test_percentages(spark):
     assert column(df.selectExpr(numbers.percentage_text("p", "t") + " AS x")) == [
         "33.3", "0.0", "12.5", "66.7",
     ]
-    assert column(df.selectExpr(numbers.percentage_2("p", "t") + " AS x")) == [33.33, 0.0, 12.5, 66.67]
+    rounded = df.selectExpr(numbers.percentage_2("p", "t") + " AS x")
+    assert column(rounded) == [33.33, 0.0, 12.5, 66.67]
 
 
 def test_mean_of_hundredths(spark):
@@ -222,7 +224,9 @@ def test_lookups_and_null_keys(spark):
 
 
 def test_union_of_quarantines_and_histogram(spark):
-    a = spark.createDataFrame([(1, "r1", "t")], "x INT, rejection_reason STRING, rejected_at STRING")
+    a = spark.createDataFrame(
+        [(1, "r1", "t")], "x INT, rejection_reason STRING, rejected_at STRING"
+    )
     b = spark.createDataFrame(
         [(2, "r2", "t"), (3, "r2", "t")], "y INT, rejection_reason STRING, rejected_at STRING"
     )
@@ -339,7 +343,8 @@ def test_skipped_references(spark):
 def test_status_folding_and_gate(spark):
     def results(*statuses):
         rows = [("r", "t", str(i), s, "m") for i, s in enumerate(statuses)]
-        schema = "run_id STRING, table_name STRING, check_name STRING, status STRING, message STRING"
+        names = ("run_id", "table_name", "check_name", "status", "message")
+        schema = ", ".join(f"{n} STRING" for n in names)
         return spark.createDataFrame(rows, schema)
 
     for statuses, expected in (

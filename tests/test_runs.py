@@ -70,6 +70,23 @@ def test_failed_gate_leaves_history(spark, tmp_path):
     assert "quarantine_reconciliation" in story.analysis_md
 
 
+def test_without_quarantine_the_drop_is_judged(spark, tmp_path):
+    layers = LayerNames(str(tmp_path))
+    customer = shop.customer_intake(samples.CUSTOMER_COLUMNS)
+    rows = samples.customers(spark)
+    writers.write_layer(rows, layers.bronze("customers"))
+    kept = rows.filter("email IS NOT NULL").select(*shop.CUSTOMER_SILVER)
+    writers.write_layer(kept, layers.silver("customers"))
+    results = runs.check_tables(
+        spark, [shop.customer_checks(customer)], layers, FIRST,
+        {"customers": customer.bronze_columns},
+    )
+    found = {r.check_name: (r.status, r.message) for r in results.collect()}
+    assert "quarantine_reconciliation" not in found
+    assert found["row_count_delta"] == ("WARN", "Bronze=13, Silver=12, dropped=1 (7.7%)")
+    assert readers.read_layer_if_present(spark, "no_such_table") is None
+
+
 def test_lead_time_run(spark, tmp_path):
     layers = LayerNames(str(tmp_path))
     summary = runs.run_goods(spark, samples.movements(spark), layers, FIRST)
