@@ -19,15 +19,15 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def staging_root(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local session may fall back to a
-    temporary folder of this machine."""
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
+    temporary folder of this machine, which then is its checkpoint folder."""
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="siltgate-")
-    spark.conf.set(CHECKPOINT_CONF, fallback)
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="siltgate-"))
+    return context.getCheckpointDir()
 
 
 class Staging:

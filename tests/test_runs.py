@@ -119,6 +119,31 @@ def test_staged_tables_are_removed(spark):
         spark.read.parquet(path).count()
 
 
+class _Session:
+    """As much of a session as the choice of the staging folder looks at."""
+
+    def __init__(self, configured, checkpoint_dir, master):
+        self.conf = {"spark.checkpoint.dir": configured}
+        self.sparkContext = self
+        self.master = master
+        self._dir = checkpoint_dir
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, path):
+        self._dir = path
+
+
+def test_choice_of_the_staging_folder():
+    assert staging_root(_Session("s3a://x/", None, "yarn")) == "s3a://x"
+    assert staging_root(_Session(None, "hdfs://y", "yarn")) == "hdfs://y"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_root(_Session(None, None, "yarn"))
+    local = _Session(None, None, "local[2]")
+    assert staging_root(local) == staging_root(local) == local.getCheckpointDir()
+
+
 def test_csv_pads_short_rows_and_keeps_text(spark, tmp_path):
     source = tmp_path / "raw.csv"
     source.write_text("code,qty,note\n007,1,\n008,2\n,3,x\n")
