@@ -108,7 +108,8 @@ def links(fps: DataFrame, staging: Staging) -> DataFrame:
         .select("key")
     )
     met = staging.table(met, "simhash-keys")
-    near_by = staging.table(ball.join(met, "key").select("fp").distinct(), "simhash-candidates")
+    # Spark takes exploded rows to be as few as their fingerprints, so joins are told.
+    near_by = staging.table(ball.join(met.hint("merge"), "key").select("fp").distinct(), "simhash-candidates")
 
     ones = [0, *[_flip(k) for k in range(BITS)]]
     pairs = [
@@ -134,7 +135,7 @@ def links(fps: DataFrame, staging: Staging) -> DataFrame:
         "simhash-variants",
     )
     return (
-        variants.join(middle, "variant")
+        variants.join(middle.hint("merge"), "variant")
         .filter("fp != centre")
         .select(F.col("centre").alias("a"), F.col("fp").alias("b"))
         .distinct()
