@@ -29,6 +29,60 @@ def parts_for(rows: int, rows_each: int) -> int:
     return max(1, -(-rows // rows_each))
 
 
+WORDS = 4  # 64-bit words of a Bloom filter's block; a key sets one bit in each
+BITS_EACH = 16
+MOST_BLOCKS = 1 << 17  # at 32 bytes: a filter never exceeds 4 MB of bits
+
+
+def _bits(key: Column) -> list[Column]:
+    """One bit of each word, chosen by a second hash of the key."""
+    h = F.xxhash64(key, F.lit("bits"))
+    return [
+        F.call_function(
+            "shiftleft",
+            F.lit(1).cast("long"),
+            F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"),
+        )
+        for i in range(WORDS)
+    ]
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def bloom_blocks(keys: DataFrame, key: str, blocks: int) -> DataFrame:
+    """A blocked Bloom filter of ``keys``: (_block, _w0 to _w3), the bits folded by OR."""
+    words = [b.alias(f"_w{i}") for i, b in enumerate(_bits(F.col(key)))]
+    return (
+        keys.select(_block(F.col(key), blocks).alias("_block"), *words)
+        .groupBy("_block")
+        .agg(*[F.bit_or(f"_w{i}").alias(f"_w{i}") for i in range(WORDS)])
+    )
+
+
+def blocks_for(keys: int, most: int = MOST_BLOCKS) -> int:
+    wanted = -(-max(1, keys) * BITS_EACH // (64 * WORDS))
+    return min(most, 1 << (wanted - 1).bit_length())
+
+
+def maybe_in(
+    df: DataFrame, column: str, keys: DataFrame, key: str, count: int, most: int = MOST_BLOCKS
+) -> DataFrame:
+    """``df`` with ``_possible``: false where ``column`` is surely none of ``keys``, and
+    where it is NULL. A block is one row and there are at most ``most``, so the filter is
+    broadcast however many keys there are; with more of them it lets more pass."""
+    blocks = blocks_for(count, most)
+    bits = F.broadcast(bloom_blocks(keys, key, blocks))
+    probed = df.withColumn("_at", _block(F.col(column), blocks)).join(
+        bits, F.col("_at") == bits["_block"], "left"
+    )
+    possible = F.col(column).isNotNull()
+    for i, bit in enumerate(_bits(F.col(column))):
+        possible = possible & (F.col(f"_w{i}").bitwiseAND(bit) != 0)
+    return probed.select(*df.columns, F.coalesce(possible, F.lit(False)).alias("_possible"))
+
+
 def components(edges: DataFrame, staging: Staging) -> DataFrame:
     """Connected components of an undirected graph: (node, root), the root being the
     component's least node; nodes without an edge don't appear.

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.llm.common import maybe_in
 from siltgate.sources.staging import Staging
 
 LINE_END = "(?<=[.!?\\n])"
@@ -52,25 +53,36 @@ def chunk_spans(hashed: Column, divisor: int) -> Column:
     return F.when(F.size(hashed) < 2, none).otherwise(_let(hashed, spans))
 
 
-def _chunks(docs: DataFrame, divisor: int) -> DataFrame:
-    """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes."""
-    hashed = line_hashes(lines(F.col("_body")))
+def _chunks(docs: DataFrame, divisor: int, reach: int | None = None) -> DataFrame:
+    """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes.
 
-    def with_hash(h: Column) -> Column:
-        return F.transform(
-            chunk_spans(h, divisor),
-            lambda c: F.struct(
-                c["s"].alias("s"),
-                c["e"].alias("e"),
-                F.xxhash64(F.slice(h, c["s"] + 1, c["e"] - c["s"] + 1)).alias("chunk"),
-            ),
-        )
-
-    return docs.select("_doc", "_text", F.inline(_let(hashed, with_hash)))
+    With ``reach`` also the chunk's bytes and the hashes of up to that many lines
+    before it, nearest first, and behind it.
+    """
 
+    def shown(u: Column, h: Column, c: Column) -> Column:
+        s, e = c["s"], c["e"]
+        fields = [
+            s.alias("s"),
+            e.alias("e"),
+            F.xxhash64(F.slice(h, s + 1, e - s + 1)).alias("chunk"),
+        ]
+        if reach is not None:
+            before = F.slice(h, F.greatest(s - reach, F.lit(0)) + 1, F.least(s, F.lit(reach)))
+            fields += [
+                F.array_join(F.slice(u, s + 1, e - s + 1), "").alias("bytes"),
+                F.reverse(before).alias("before"),
+                F.slice(h, e + 2, F.lit(reach)).alias("after"),
+            ]
+        return F.struct(*fields)
+
+    def made(u: Column) -> Column:
+        return _let(
+            line_hashes(u),
+            lambda h: F.transform(chunk_spans(h, divisor), lambda c: shown(u, h, c)),
+        )
 
-def _spans_text(units: Column, s: Column, e: Column) -> Column:
-    return F.array_join(F.slice(units, s + 1, e - s + 1), "")
+    return docs.select("_doc", "_text", F.inline(_let(lines(F.col("_body")), made)))
 
 
 def _common(a: Column, b: Column) -> Column:
@@ -86,7 +98,7 @@ def remove_repeated_chunks(
     docs: DataFrame,
     staging: Staging,
     divisor: int = 2,
-    reach: int = 16,
+    reach: int = 8,
     least_words: int = 8,
     whole_from: float | None = None,
 ) -> DataFrame:
@@ -106,107 +118,72 @@ def remove_repeated_chunks(
     doc_id and text count as one document and get the same text. Extra columns pass
     through; an empty table stays empty.
 
-    Chunks move as hashes: repeated hashes are counted with map-side folding, joined
-    back to their places, and each hash's first place sends its text to the others. A
-    hot chunk's places are the large side of a join whose other side is unique, which
-    adaptive execution can split. Nothing is gathered but the places of one document.
+    Hashes of all chunks are counted with map-side folding. A Bloom filter of bounded
+    size, made of the repeated ones, keeps most others from the join that finds the
+    places of repeated chunks, with their bytes. The first place of each goes to the
+    others, whose spans of lines are then gathered by document. A hot chunk's places
+    are the large side of joins whose other side is unique, which adaptive execution
+    can split. Texts are shuffled once, to meet their spans.
     """
+    keys = ["_doc", "_text"]
     named = docs.select(
         F.struct("*").alias("_in"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"),
         F.xxhash64("text").alias("_text"),
-        F.coalesce(F.col("text"), F.lit("")).alias("_body"),
     )
-    chunks = _chunks(named, divisor)
-    repeated = staging.table(
-        chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk"),
-        "repeated-chunks",
+    bodies = named.select(*keys, F.coalesce(F.col("_in")["text"], F.lit("")).alias("_body"))
+    counted = _chunks(bodies, divisor).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    repeated = staging.table(counted.filter("n > 1").select("chunk"), "repeated-chunks")
+    shown = maybe_in(_chunks(bodies, divisor, reach), "chunk", repeated, "chunk", repeated.count())
+    places = staging.table(
+        shown.filter("_possible").drop("_possible").join(repeated, "chunk"), "chunk-places"
     )
-    places = staging.table(chunks.join(repeated, "chunk"), "chunk-places")
-    first = places.groupBy("chunk").agg(F.min(F.struct("_doc", "_text", "s", "e")).alias("at"))
-    first = staging.table(first.select("chunk", "at.*"), "chunk-firsts")
-
-    def around(h: Column, s: Column, e: Column) -> tuple[Column, Column]:
-        """Hashes of the lines before s, nearest first, and of those behind e."""
-        before = F.slice(h, F.greatest(s - reach, F.lit(0)) + 1, F.least(s, F.lit(reach)))
-        return F.reverse(before), F.slice(h, e + 2, F.lit(reach))
-
-    firsts = first.groupBy("_doc", "_text").agg(
-        F.collect_list(F.struct("chunk", "s", "e")).alias("_firsts")
+    at = F.struct("_doc", "_text", "s")
+    first = places.groupBy("chunk").agg(
+        F.min(F.struct(at.alias("at"), "bytes", "before", "after")).alias("first")
     )
-
-    def shown(u: Column, h: Column, c: Column) -> Column:
-        before, after = around(h, c["s"], c["e"])
-        return F.struct(
-            c["chunk"].alias("chunk"),
-            _spans_text(u, c["s"], c["e"]).alias("bytes"),
-            before.alias("before"),
-            after.alias("after"),
-        )
-
-    unit_array = lines(F.col("_body"))
-    keys = ["_doc", "_text"]
-    texts = named.select(*keys, "_body")
-    originals = (
-        texts.join(firsts, keys)
+    spans = (
+        places.join(first, "chunk")
+        .filter((at != F.col("first.at")) & (F.col("bytes") == F.col("first.bytes")))
         .select(
-            F.inline(
-                _let(
-                    unit_array,
-                    lambda u: _let(
-                        line_hashes(u), lambda h: F.transform("_firsts", lambda c: shown(u, h, c))
-                    ),
-                )
-            )
+            *keys,
+            (F.col("s") - _common(F.col("before"), F.col("first.before"))).alias("low"),
+            (F.col("e") + _common(F.col("after"), F.col("first.after"))).alias("high"),
         )
-        .dropDuplicates(["chunk"])
-    )
-    later = places.join(first.select("chunk", F.struct("_doc", "_text", "s").alias("_at")), "chunk").filter(
-        F.struct("_doc", "_text", "s") != F.col("_at")
-    )
-    later = (
-        later.select("chunk", *keys, "s", "e")
-        .join(originals, "chunk")
         .groupBy(*keys)
-        .agg(F.collect_set(F.struct("s", "e", "bytes", "before", "after")).alias("_later"))
+        .agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
     )
 
-    def gone(u: Column, h: Column) -> Column:
+    def gone(u: Column) -> Column:
         """Numbers of the lines that go."""
 
         def span(c: Column) -> Column:
-            before, after = around(h, c["s"], c["e"])
-            low = c["s"] - _common(before, c["before"])
-            high = c["e"] + _common(after, c["after"])
-            same = _spans_text(u, c["s"], c["e"]) == c["bytes"]
-            words = F.size(F.split(F.btrim(_spans_text(u, low, high), F.lit(" \t\r\n")), "\\s+"))
-            return F.when(same & (words >= least_words), F.sequence(low, high)).otherwise(
+            text = F.array_join(F.slice(u, c["low"] + 1, c["high"] - c["low"] + 1), "")
+            words = F.size(F.split(F.btrim(text, F.lit(" \t\r\n")), "\\s+"))
+            return F.when(words >= least_words, F.sequence(c["low"], c["high"])).otherwise(
                 F.array().cast("array<int>")
             )
 
-        return F.array_distinct(F.flatten(F.transform("_later", span)))
+        return F.array_distinct(F.flatten(F.transform("_spans", span)))
 
     def rest(u: Column, out: Column) -> Column:
         kept = F.array_except(F.sequence(F.lit(0), F.size(u) - 1), out)
         return F.array_join(F.transform(kept, lambda i: F.get(u, i)), "")
 
-    edited = _let(
-        unit_array,
-        lambda u: _let(
-            _let(line_hashes(u), lambda h: gone(u, h)),
-            lambda out: F.struct(
-                F.size(out).cast("long").alias("n"),
-                F.when(F.size(out) == 0, F.array_join(u, "")).otherwise(rest(u, out)).alias("text"),
-            ),
-        ),
-    )
-    joined = named.join(later, keys, "left").withColumn(
-        "_new", F.when(F.col("_later").isNotNull() & (F.col("_body") != ""), edited)
+    def edited(u: Column) -> Column:
+        return _let(
+            gone(u),
+            lambda out: F.struct(F.size(out).cast("long").alias("n"), rest(u, out).alias("text")),
+        )
+
+    joined = named.join(spans, keys, "left").withColumn(
+        "_new", F.when(F.col("_spans").isNotNull(), _let(lines(F.col("_in")["text"]), edited))
     )
-    lost = F.char_length("_body") - F.char_length("_new.text")
+    size = F.char_length(F.col("_in")["text"])
+    lost = size - F.char_length(F.col("_new")["text"])
     applies = F.col("_new").isNotNull()
     if whole_from is not None:
-        applies = applies & (lost < F.char_length("_body") * F.lit(whole_from))
+        applies = applies & (lost < size * F.lit(whole_from))
     text = F.when(applies, F.col("_new")["text"]).otherwise(F.col("_in")["text"]).alias("text")
     return joined.select(
         *[text if c == "text" else F.col("_in")[c].alias(c) for c in docs.columns],

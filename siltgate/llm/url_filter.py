@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.llm.common import MOST_BLOCKS, maybe_in
 from siltgate.sources.staging import Staging
 
 ALLOW, BLOCK = "allow", "block"
-WORDS = 4  # 64-bit words of a block; one bit is set in each
-BITS_EACH = 16
-MOST_BLOCKS = 1 << 17  # at 32 bytes: the filter never exceeds 4 MB of bits
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -56,42 +54,19 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return F.array_max(fits)
 
 
-def _bits(url: Column) -> list[Column]:
-    """One bit of each word, chosen by a second hash of the URL."""
-    h = F.xxhash64(url, F.lit("bits"))
-    return [
-        F.call_function(
-            "shiftleft",
-            F.lit(1).cast("long"),
-            F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int"),
-        )
-        for i in range(WORDS)
-    ]
-
-
-def bloom_blocks(listed: DataFrame, blocks: int) -> DataFrame:
-    """The filter of ``listed`` (listed_url): (block, w0 to w3), the bits folded by OR."""
-    words = [b.alias(f"w{i}") for i, b in enumerate(_bits(F.col("listed_url")))]
-    return (
-        listed.select(_block(F.col("listed_url"), blocks), *words)
-        .groupBy("block")
-        .agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
-    )
-
-
-def _block(url: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(blocks)).cast("int").alias("block")
-
-
 def judge_urls(
-    pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str]], staging: Staging
+    pages: DataFrame,
+    listed: DataFrame,
+    rules: Sequence[tuple[str, str]],
+    staging: Staging,
+    most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of ``pages`` (page_id, url).
 
     The longest fitting rule decides; it fits its host and all subdomains where the
     path begins with the rule's. Where none fits, a URL whose canonical form is in
     ``listed`` (listed_url, canonical forms) is blocked and any other allowed. A block of
-    the Bloom filter is one row of at most ``MOST_BLOCKS``, so the filter is broadcast
+    the Bloom filter is one row of at most ``most_blocks``, so the filter is broadcast
     whatever the list's length; only URLs that it passes are shuffled to the exact join
     with the list. With a longer list more URLs pass; none is judged wrongly.
 
@@ -102,25 +77,13 @@ def judge_urls(
     known = staging.table(
         listed.select("listed_url").filter("listed_url != ''").distinct(), "listed-urls"
     )
-    wanted = -(-max(1, known.count()) * BITS_EACH // (64 * WORDS))
-    blocks = min(MOST_BLOCKS, 1 << (wanted - 1).bit_length())
     host, path = split_url(F.col("url"))
     judged = (
         pages.select("page_id", host.alias("host"), path.alias("path"))
         .withColumn("_fit", longest_rule(F.col("host"), F.col("path"), rules))
         .withColumn("_url", F.when(F.col("_fit").isNull(), canonical(F.col("host"), F.col("path"))))
     )
-    keyed = judged.select("*", _block(F.coalesce("_url", F.lit("")), blocks).alias("_block"), *[
-        b.alias(f"_b{i}") for i, b in enumerate(_bits(F.coalesce("_url", F.lit(""))))
-    ])
-    bits = F.broadcast(bloom_blocks(known, blocks))
-    inside = [F.col(f"w{i}").bitwiseAND(F.col(f"_b{i}")) != 0 for i in range(WORDS)]
-    possible = F.col("_url").isNotNull() & (F.col("_url") != "")
-    for test in inside:
-        possible = possible & test
-    probed = keyed.join(bits, keyed["_block"] == bits["block"], "left").withColumn(
-        "_possible", F.coalesce(possible, F.lit(False))
-    )
+    probed = maybe_in(judged, "_url", known, "listed_url", known.count(), most_blocks)
     # Two branches, so that what the filter holds back is not shuffled.
     passed = probed.filter("_possible").join(known, F.col("_url") == known["listed_url"], "left")
     held = probed.filter("NOT _possible").withColumn("listed_url", F.lit(None).cast("string"))

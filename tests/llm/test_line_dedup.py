@@ -19,7 +19,7 @@ def units(text):
     return [u for u in re.split(r"(?<=[.!?\n])", text) if u]
 
 
-def brute(spark, docs, divisor=2, reach=16, least_words=8):
+def brute(spark, docs, divisor=2, reach=8, least_words=8):
     """The same law in plain loops; boundary flags come from Spark's hash of two longs."""
     rows = [(i, t or "", units(t or "")) for i, t in docs]
     hashed = [[hash64(u.strip(" \t\r\n")) for u in us] for _, _, us in rows]
