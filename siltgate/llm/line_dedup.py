@@ -53,27 +53,19 @@ def chunk_spans(hashed: Column, divisor: int) -> Column:
     return F.when(F.size(hashed) < 2, none).otherwise(_let(hashed, spans))
 
 
-def _chunks(docs: DataFrame, divisor: int, reach: int | None = None) -> DataFrame:
-    """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes.
-
-    With ``reach`` also the chunk's bytes and the hashes of up to that many lines
-    before it, nearest first, and behind it.
-    """
+def _chunks(docs: DataFrame, divisor: int, with_bytes: bool = False) -> DataFrame:
+    """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes;
+    on demand also its bytes."""
 
     def shown(u: Column, h: Column, c: Column) -> Column:
-        s, e = c["s"], c["e"]
+        place, size = c["s"] + 1, c["e"] - c["s"] + 1
         fields = [
-            s.alias("s"),
-            e.alias("e"),
-            F.xxhash64(F.slice(h, s + 1, e - s + 1)).alias("chunk"),
+            c["s"].alias("s"),
+            c["e"].alias("e"),
+            F.xxhash64(F.slice(h, place, size)).alias("chunk"),
         ]
-        if reach is not None:
-            before = F.slice(h, F.greatest(s - reach, F.lit(0)) + 1, F.least(s, F.lit(reach)))
-            fields += [
-                F.array_join(F.slice(u, s + 1, e - s + 1), "").alias("bytes"),
-                F.reverse(before).alias("before"),
-                F.slice(h, e + 2, F.lit(reach)).alias("after"),
-            ]
+        if with_bytes:
+            fields.append(F.array_join(F.slice(u, place, size), "").alias("bytes"))
         return F.struct(*fields)
 
     def made(u: Column) -> Column:
@@ -85,20 +77,16 @@ def _chunks(docs: DataFrame, divisor: int, reach: int | None = None) -> DataFram
     return docs.select("_doc", "_text", F.inline(_let(lines(F.col("_body")), made)))
 
 
-def _common(a: Column, b: Column) -> Column:
-    """How many elements two arrays have in common from their beginning on."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    return _let(
-        same,
-        lambda t: F.coalesce(F.nullif(F.array_position(t, False), F.lit(0)) - 1, F.size(t)).cast("int"),
-    )
+def _firsts(places: DataFrame, kind: str, at: Column, keys: list[str]) -> DataFrame:
+    """(_doc, _text, s, e) of the places of each kind but its first."""
+    first = places.groupBy(kind).agg(F.min(at).alias("first"))
+    return places.join(first, kind).filter(at != F.col("first")).select(*keys, "s", "e")
 
 
 def remove_repeated_chunks(
     docs: DataFrame,
     staging: Staging,
     divisor: int = 2,
-    reach: int = 8,
     least_words: int = 8,
     whole_from: float | None = None,
 ) -> DataFrame:
@@ -107,10 +95,10 @@ def remove_repeated_chunks(
 
     Lines end at line breaks and sentence ends. Of a chunk that occurs repeatedly,
     within one text or several, the first occurrence stays: the least doc_id (NULL
-    first), then the least place. The others are removed once their bytes equal the
-    first's, with the lines on either side, up to ``reach``, that equal those around
-    the first; so a shared passage goes whole if it holds one whole chunk. A stretch of
-    fewer than ``least_words`` words stays, as chance repeats it. With ``whole_from``, a
+    first), then the least place. The others are removed if the bytes of all equal the
+    first's. A shared passage loses what lies between its first and its last boundary,
+    at a ``divisor`` of 2 all but a line at either end on average. A chunk of fewer than
+    ``least_words`` words stays, as chance repeats it. With ``whole_from``, a
     document of which at least that share of characters would go is left as it is: it
     is a copy of a document, not the host of a passage.
 
@@ -119,11 +107,13 @@ def remove_repeated_chunks(
     through; an empty table stays empty.
 
     Hashes of all chunks are counted with map-side folding. A Bloom filter of bounded
-    size, made of the repeated ones, keeps most others from the join that finds the
-    places of repeated chunks, with their bytes. The first place of each goes to the
-    others, whose spans of lines are then gathered by document. A hot chunk's places
-    are the large side of joins whose other side is unique, which adaptive execution
-    can split. Texts are shuffled once, to meet their spans.
+    size, made of the repeated ones, keeps most others from being stored with their
+    places and bytes. For each hash the least and the greatest bytes are compared,
+    again folded before they move; where they differ the hash is no chunk and the bytes
+    are in its place. The first place then goes to the others, whose spans are gathered
+    by document. A hot chunk's places are the large side of joins whose other side is
+    unique, which adaptive execution can split. Texts are shuffled once, to meet their
+    spans, and only those that may have one.
     """
     keys = ["_doc", "_text"]
     named = docs.select(
@@ -134,33 +124,32 @@ def remove_repeated_chunks(
     bodies = named.select(*keys, F.coalesce(F.col("_in")["text"], F.lit("")).alias("_body"))
     counted = _chunks(bodies, divisor).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     repeated = staging.table(counted.filter("n > 1").select("chunk"), "repeated-chunks")
-    shown = maybe_in(_chunks(bodies, divisor, reach), "chunk", repeated, "chunk", repeated.count())
-    places = staging.table(
-        shown.filter("_possible").drop("_possible").join(repeated, "chunk"), "chunk-places"
-    )
+    shown = maybe_in(_chunks(bodies, divisor, True), "chunk", repeated, "chunk", repeated.count())
+    folder = staging.folder("chunk-places")
+    shown.filter("_possible").drop("_possible").write.option("compression", "zstd").parquet(folder)
+    places = docs.sparkSession.read.parquet(folder)
     at = F.struct("_doc", "_text", "s")
-    first = places.groupBy("chunk").agg(
-        F.min(F.struct(at.alias("at"), "bytes", "before", "after")).alias("first")
+    same = places.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("bytes").alias("low"), F.max("bytes").alias("high")
     )
-    spans = (
-        places.join(first, "chunk")
-        .filter((at != F.col("first.at")) & (F.col("bytes") == F.col("first.bytes")))
-        .select(
-            *keys,
-            (F.col("s") - _common(F.col("before"), F.col("first.before"))).alias("low"),
-            (F.col("e") + _common(F.col("after"), F.col("first.after"))).alias("high"),
-        )
-        .groupBy(*keys)
-        .agg(F.collect_set(F.struct("low", "high")).alias("_spans"))
+    same = staging.table(same.filter("n > 1").selectExpr("chunk", "low = high AS alike"), "chunks-alike")
+    spans = _firsts(places.join(same.filter("alike"), "chunk", "left_semi"), "chunk", at, keys)
+    apart = same.filter("NOT alike").select(F.col("chunk").alias("_apart"))
+    if clashes := apart.count():
+        few = maybe_in(places, "chunk", apart, "_apart", clashes).filter("_possible")
+        few = few.join(apart, F.col("chunk") == F.col("_apart"), "left_semi")
+        spans = spans.union(_firsts(few, "bytes", at, keys))
+    spans = staging.table(
+        spans.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "chunk-spans"
     )
 
     def gone(u: Column) -> Column:
         """Numbers of the lines that go."""
 
         def span(c: Column) -> Column:
-            text = F.array_join(F.slice(u, c["low"] + 1, c["high"] - c["low"] + 1), "")
+            text = F.array_join(F.slice(u, c["s"] + 1, c["e"] - c["s"] + 1), "")
             words = F.size(F.split(F.btrim(text, F.lit(" \t\r\n")), "\\s+"))
-            return F.when(words >= least_words, F.sequence(c["low"], c["high"])).otherwise(
+            return F.when(words >= least_words, F.sequence(c["s"], c["e"])).otherwise(
                 F.array().cast("array<int>")
             )
 
@@ -176,9 +165,14 @@ def remove_repeated_chunks(
             lambda out: F.struct(F.size(out).cast("long").alias("n"), rest(u, out).alias("text")),
         )
 
-    joined = named.join(spans, keys, "left").withColumn(
-        "_new", F.when(F.col("_spans").isNotNull(), _let(lines(F.col("_in")["text"]), edited))
+    owners = spans.select(F.xxhash64(*keys).alias("_owner"))
+    marked = maybe_in(
+        named.withColumn("_key", F.xxhash64(*keys)), "_key", owners, "_owner", owners.count()
     )
+    new = F.when(F.col("_spans").isNotNull(), _let(lines(F.col("_in")["text"]), edited))
+    joined = marked.filter("_possible").join(spans, keys, "left").select("_in", new.alias("_new"))
+    kept = marked.filter("NOT _possible").select("_in", F.lit(None).cast(joined.schema["_new"].dataType).alias("_new"))
+    joined = joined.union(kept)
     size = F.char_length(F.col("_in")["text"])
     lost = size - F.char_length(F.col("_new")["text"])
     applies = F.col("_new").isNotNull()

@@ -19,7 +19,7 @@ def units(text):
     return [u for u in re.split(r"(?<=[.!?\n])", text) if u]
 
 
-def brute(spark, docs, divisor=2, reach=8, least_words=8):
+def brute(spark, docs, divisor=2, least_words=8):
     """The same law in plain loops; boundary flags come from Spark's hash of two longs."""
     rows = [(i, t or "", units(t or "")) for i, t in docs]
     hashed = [[hash64(u.strip(" \t\r\n")) for u in us] for _, _, us in rows]
@@ -47,14 +47,9 @@ def brute(spark, docs, divisor=2, reach=8, least_words=8):
         us, them, h, h0 = rows[k][2], rows[k0][2], hashed[k], hashed[k0]
         if (k, s) == (k0, s0) or us[s : e + 1] != them[s0 : e0 + 1]:
             continue
-        left = right = 0
-        while left < min(reach, s, s0) and h[s - left - 1] == h0[s0 - left - 1]:
-            left += 1
-        while right < reach and max(e + right + 1 - len(h), e0 + right + 1 - len(h0)) < 0 and h[e + right + 1] == h0[e0 + right + 1]:
-            right += 1
-        span = "".join(us[s - left : e + right + 1]).strip(" \t\r\n")
+        span = "".join(us[s : e + 1]).strip(" \t\r\n")
         if len(re.split(r"\s+", span)) >= least_words:
-            gone[k].update(range(s - left, e + right + 1))
+            gone[k].update(range(s, e + 1))
     return [
         (i, t and "".join(u for n, u in enumerate(us) if n not in out), len(out))
         for (i, t), (_, _, us), out in zip(docs, rows, gone, strict=True)
@@ -95,14 +90,23 @@ def test_passages_go_and_clean_documents_stay(spark, staging):
 
 
 def test_whole_copies_can_stay(spark, staging):
-    text = cases.AWKWARD[0][1] + " Thirteen fourteen fifteen sixteen."
+    text = "One two three four five. Six seven eight nine.\nTen eleven twelve. Thirteen fourteen."
     df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
-    stay = line_dedup.remove_repeated_chunks(df, staging, whole_from=0.75).collect()
+    stay = line_dedup.remove_repeated_chunks(df, staging, whole_from=0.3, least_words=3).collect()
     assert [r.text for r in stay] == [text, text]
-    gone = line_dedup.remove_repeated_chunks(df, staging).orderBy("doc_id").collect()
+    gone = line_dedup.remove_repeated_chunks(df, staging, least_words=3).orderBy("doc_id").collect()
     assert [r.text for r in gone] == [text, ""]
 
 
+def test_hash_clashes_are_told_apart(spark, staging, monkeypatch):
+    """With a hash that tells nothing, bytes alone decide."""
+    monkeypatch.setattr(line_dedup, "line_hashes", lambda u: F.transform(u, lambda x: F.length(x) * 0 + 7))
+    texts = ["A b c d e f g h. I j k l m n.", "Q r s t u v w x. Y z a b c d.", "A b c d e f g h. I j k l m n."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in line_dedup.remove_repeated_chunks(df, staging).orderBy("doc_id").collect()]
+    assert out == [texts[0], texts[1], ""]
+
+
 def test_awkward_rows(spark, staging):
     docs = cases.awkward(spark, True)
     rows = line_dedup.remove_repeated_chunks(docs, staging)
