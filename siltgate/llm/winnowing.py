@@ -118,7 +118,7 @@ def _identity(docs: DataFrame) -> DataFrame:
 
 
 def followers(rows: DataFrame, staging: Staging) -> DataFrame:
-    """(_row, n_chars, _next) of each distinct row: the row of the next doc_id, after the
+    """(_row, doc_id, n_chars, _next) of each distinct row: the row of the next doc_id, after the
     last the first. Rows are dealt out by ranges; each part's last row is followed by
     the first of the next part, of which there are as many as parts."""
     ranged = staging.table(
@@ -140,7 +140,7 @@ def followers(rows: DataFrame, staging: Staging) -> DataFrame:
     return staging.table(
         ranged.withColumn("_lead", F.lead("_row").over(inside))
         .join(after, "_part")
-        .select("_row", "n_chars", F.coalesce("_lead", "_after").alias("_next")),
+        .select("_row", "doc_id", "n_chars", F.coalesce("_lead", "_after").alias("_next")),
         "followers",
     )
 
@@ -155,25 +155,26 @@ def fingerprint_documents(docs: DataFrame, staging: Staging, k: int = 5, window:
     result. A NULL text is empty. A single document is followed by itself. An empty
     table gives no rows; other columns are ignored.
 
-    Only texts move: they are shuffled once, by row, for both joins. The next
-    document's row sends its beginning and its hashes to the row before.
+    Texts are shuffled once: both joins read (_row, text) by row, so that Spark reuses
+    the exchange. The next document's row sends its beginning and its hashes to the row
+    before, together with what else that row's result needs.
     """
     rows = _identity(docs)
-    after = followers(rows, staging)
-    to = after.select(
-        F.col("_row").alias("_to"), F.floor(F.col("n_chars") / 4).cast("int").alias("_most"), "_next"
-    )
-    texts = rows.select("_row", "doc_id", "text", "n_chars")
+    to = followers(rows, staging).withColumnRenamed("_row", "_to")
+    texts = rows.select("_row", "text")
+    quarter = F.floor(F.col("n_chars") / 4).cast("int")
     sent = (
         texts.join(to, texts["_row"] == to["_next"])
         .select(
             "_to",
-            F.substring("text", F.lit(1), F.col("_most")).alias("_begin"),
+            "doc_id",
+            "n_chars",
+            F.substring("text", F.lit(1), quarter).alias("_begin"),
             F.array_distinct(hashes(winnow(F.col("text"), k, window))).alias("_next_hashes"),
         )
         .dropDuplicates(["_to"])
     )
-    kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 4)).cast("int")
+    kept = F.col("n_chars").cast("int") - quarter
     edited = F.concat(F.substring("text", F.lit(1), kept), "_begin")
     joined = (
         texts.join(sent, texts["_row"] == sent["_to"])
