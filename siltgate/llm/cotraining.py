@@ -26,12 +26,12 @@ def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     don't show: a constant, the share in capitals, of the commonest, of distinct ones."""
     counts = Counter(_TOKEN.findall(text))
     digest = xxhash.xxh32_intdigest
-    hashed = {digest(t.lower().encode("utf-8", "surrogatepass")) for t in counts}
+    hashed = {digest(t.lower().encode("utf-8", "surrogatepass")) & 0x7FFFFFFF for t in counts}
     total = max(sum(counts.values()), 1)
     upper = sum(n for t, n in counts.items() if t.isupper() and len(t) > 1)
     most = max(counts.values(), default=0)
     shares = [1.0, 4.0 * upper / total, 4.0 * most / total, -math.log((len(counts) + 1) / (total + 1))]
-    return np.sort(np.fromiter(hashed, dtype=np.int64, count=len(hashed))), np.array(shares)
+    return np.sort(np.fromiter(hashed, dtype=np.int32, count=len(hashed))), np.array(shares)
 
 
 def meta_features(lang: str | None, source: str | None, n_chars: int | None, text: str) -> np.ndarray:
@@ -171,14 +171,14 @@ def _features(batch: pa.RecordBatch) -> tuple[list, list]:
     return text, meta
 
 
-FEATURES = "label double, held boolean, words array<long>, shares array<double>, meta array<float>"
+FEATURES = "label double, held boolean, words array<int>, shares array<double>, meta array<float>"
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    labelled_rows: int = 6_000,
-    pool_rows: int = 4_000,
+    labelled_rows: int = 4_000,
+    pool_rows: int = 2_000,
     rounds: int = 3,
     confident: float = 0.97,
     most_new: float = 0.25,
@@ -220,7 +220,7 @@ def train(
             columns = [
                 batch["label"],
                 pa.array(held, type=pa.bool_()),
-                pa.array([t[0] for t in text], type=pa.list_(pa.int64())),
+                pa.array([t[0] for t in text], type=pa.list_(pa.int32())),
                 pa.array([t[1] for t in text], type=pa.list_(pa.float64())),
                 pa.array([m[1] for m in meta], type=pa.list_(pa.float32())),
             ]
@@ -242,15 +242,18 @@ def fit_views(
 ) -> Model:
     """The co-training itself, on rows of ``FEATURES``; without labels of both kinds all
     documents score one half or better and are kept."""
-    key = [np.asarray(w).tobytes() + np.asarray(m).tobytes() for w, m in zip(sample["words"], sample["meta"], strict=True)]
+    key = [
+        xxhash.xxh64_intdigest(np.asarray(w).tobytes() + np.asarray(m).tobytes())
+        for w, m in zip(sample["words"], sample["meta"], strict=True)
+    ]
     sample = sample.assign(_key=key).sort_values(["_key", "label"], ignore_index=True)
     label, held = sample["label"].to_numpy(dtype=float), sample["held"].to_numpy(dtype=bool)
     known = ~np.isnan(label)
     fit, test, pool = (np.flatnonzero(x) for x in (known & ~held, known & held, ~known))
     if len(set(label[fit])) < 2:
-        nothing = np.zeros(0, dtype=np.int64), np.zeros(TEXT_DENSE), np.zeros(META_WIDTH)
+        nothing = np.zeros(0, dtype=np.int32), np.zeros(TEXT_DENSE), np.zeros(META_WIDTH)
         return Model(*nothing, (1.0, 0.0), (1.0, 0.0), (0.5, 0.5, 0.0), threshold)
-    hashed = [np.asarray(w, dtype=np.int64) for w in sample["words"]]
+    hashed = [np.asarray(w, dtype=np.int32) for w in sample["words"]]
     words = telling_words([hashed[i] for i in fit], label[fit])
     text = [known_words(words, h, np.asarray(x)) for h, x in zip(hashed, sample["shares"], strict=True)]
     meta = [(np.arange(META_WIDTH), np.asarray(m)) for m in sample["meta"]]
