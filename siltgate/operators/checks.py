@@ -680,9 +680,10 @@ def union_results(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def enforce_gate(results: DataFrame) -> None:
-    """Raise if any check failed; WARN passes. Call it after the results are stored."""
-    failed = results.filter(F.col("status") == FAIL)
-    first = failed.select("table_name", "check_name", "message").take(5)
-    if first:
-        shown = "; ".join(f"{r.table_name}.{r.check_name}: {r.message}" for r in first)
-        raise QualityGateError(f"quality gate failed: {shown}")
+    """Raise if any check failed, naming all that did; WARN passes. Call it after the
+    results are stored. The contracts set the number of checks."""
+    failed = results.filter(F.col("status") == FAIL).orderBy("table_name", "check_name")
+    rows = failed.select("table_name", "check_name", "message").collect()
+    if rows:
+        shown = "; ".join(f"{r.table_name}.{r.check_name}: {r.message}" for r in rows)
+        raise QualityGateError(f"quality gate failed, {len(rows)} check(s): {shown}")

@@ -43,6 +43,10 @@ ADVICE = {
     "d2d_target_breach": (14, "Start with the longest waits between stages."),
 }
 
+# Of a check outside the families above, which a caller may have named or made.
+NO_ADVICE = "See what the check measures."
+NO_MESSAGE = "no message"
+
 
 def result_rows(checks: DataFrame, ctx: RunContext) -> DataFrame:
     """Check rows of a run with run id, overall status and clock; ``check_no`` is kept
@@ -163,10 +167,11 @@ def narrative(results: DataFrame, mode: str = "offline") -> DataFrame:
         F.col("status") != PASS,
         F.struct(
             "table_name",
-            "urgency",
+            F.coalesce("urgency", F.lit(len(ADVICE) + 1)).alias("urgency"),
             F.concat(
                 F.lit("- **"), "status", F.lit("** `"), "table_name", F.lit("."), "check_name",
-                F.lit("`: "), "message", F.lit(" - "), "advice",
+                F.lit("`: "), F.coalesce("message", F.lit(NO_MESSAGE)), F.lit(" - "),
+                F.coalesce("advice", F.lit(NO_ADVICE)),
             ).alias("line"),
         ),
     )

@@ -12,7 +12,6 @@ from siltgate.functions import predicates as bad
 from siltgate.functions import sql
 from siltgate.functions.timestamps import first_timestamp
 from siltgate.operators import process
-from siltgate.operators.classify import classify
 
 # The stages of a batch's life in order, and the movement codes that
 # mark each stage.
@@ -135,10 +134,6 @@ def movement_intake(
     )
 
 
-def classify_movements(bronze: DataFrame, intake: Intake) -> DataFrame:
-    return classify(bronze, intake)
-
-
 def movement_stage_events(
     silver: DataFrame,
     columns: MovementColumns = SAP_COLUMNS,

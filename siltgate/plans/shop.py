@@ -4,11 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
-
 from siltgate.contracts import CheckSpec, Intake, Lookup, Rule
 from siltgate.functions import predicates as bad
-from siltgate.operators.classify import classify
 
 # The order states a silver order may have, and the stand-in for a
 # missing country.
@@ -86,11 +83,3 @@ def order_checks(intake: Intake, allowed_status: Sequence[str] = ALLOWED_STATUS)
         allowed={"status": tuple(allowed_status)},
         max_drop_pct=50.0,
     )
-
-
-def classify_customers(bronze: DataFrame, intake: Intake) -> DataFrame:
-    return classify(bronze, intake)
-
-
-def classify_orders(bronze: DataFrame, silver_customers: DataFrame, intake: Intake) -> DataFrame:
-    return classify(bronze, intake, silver_customers)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+# What Spark says where the catalog of a name does not exist.
+NO_CATALOG = ("CATALOG_NOT_FOUND", "REQUIRES_SINGLE_PART_NAMESPACE")
+
 HISTORY_TABLES = ("dq_results", "dq_run_snapshots", "dq_agent_reports")
 
 
@@ -55,7 +58,9 @@ def ensure_namespace(spark: SparkSession, catalog: str, schema: str) -> str:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{catalog}`.`{schema}`")
         spark.sql(f"USE `{catalog}`.`{schema}`")
         return f"{catalog}.{schema}"
-    except (AnalysisException, PySparkException):
+    except AnalysisException as error:
+        if error.getCondition() not in NO_CATALOG:
+            raise
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
         spark.sql(f"USE `{schema}`")
         return schema

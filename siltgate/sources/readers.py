@@ -9,14 +9,19 @@ from pyspark.sql import types as T
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header; an empty field is NULL, short rows are padded with NULL.
 
     Without a schema the types are inferred, which costs a pass over the file
-    and turns code columns such as ``007`` into numbers.
+    and turns code columns such as ``007`` into numbers. Quoted line breaks belong to
+    their field only with ``multi_line``, which reads each file in one task.
     """
     reader = spark.read.option("header", True).option("nullValue", "")
+    reader = reader.option("multiLine", multi_line)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 
@@ -45,9 +50,15 @@ def read_positioned(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Append-only history; runs written under older schemas read with NULLs."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_history(spark: SparkSession, where: str) -> DataFrame:
+    """A history by path or table name, its run ids as they were written. Runs written
+    to a folder under older schemas read with NULLs."""
+    if "/" not in where:
+        return spark.table(where)
+    found = spark.read.option("mergeSchema", True).parquet(where)
+    fields = [f for f in found.schema.fields if f.name != "run_id"]
+    typed = T.StructType([*fields, T.StructField("run_id", T.StringType())])
+    return spark.read.schema(typed).parquet(where)
 
 
 def preview(df: DataFrame, order_by: list[str], rows: int = 20) -> DataFrame:

@@ -31,18 +31,26 @@ def land(df: DataFrame, where: str) -> Observation:
     return write_layer(df.withColumn(ARRIVAL, F.monotonically_increasing_id()), where)
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    """Add a run's rows to a history kept in one folder per run.
+def append_history(df: DataFrame, where: str) -> None:
+    """Add a run's rows to a history, a folder or (without a slash) a catalog table, that
+    is partitioned by ``run_id``, a string.
 
     Writing the same run again (a retried job) replaces that run and leaves all
     other runs alone.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    typed = df.withColumn("run_id", F.col("run_id").cast("string"))
+    if "/" not in where and spark.catalog.tableExists(where):
+        columns = spark.table(where).columns
+        writer = typed.select(*columns).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").insertInto(where)
+        return
+    writer = typed.write.mode("overwrite").partitionBy("run_id")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    if "/" in where:
+        writer.parquet(where)
+    else:
+        writer.saveAsTable(where, format="parquet")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

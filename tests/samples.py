@@ -1,168 +1,91 @@
-"""Small sample tables whose outcome is known row by row."""
+"""Invented sample tables, as CSV text, whose outcome is known row by row."""
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-
-CUSTOMER_COLUMNS = ("customer_id", "name", "email", "country", "signup_date", "raw_source")
-ORDER_COLUMNS = (
-    "order_id", "customer_id", "order_date", "amount", "currency", "status", "ingested_at",
+from pyspark.sql import functions as F
+
+from siltgate.plans import goods
+from siltgate.sources.readers import read_csv
+
+CUSTOMERS = """customer_id,name,email,country,signup_date,raw_source
+K1,Anna Test,anna@shop.test,FI,2020-05-01,app
+K2,Bert Test,bert@shop.test,,2020-05-02,app
+K3,  ,carl@shop.test,FI,2020-05-03,app
+K4,Dora Test,dora.shop.test,FI,2020-05-04,desk
+K1,Anna Again,again@shop.test,SE,2020-05-05,desk
+K5,Emil Test,,FI,2020-05-06,desk
+K6,Faye Test,faye@shop.test,NO
+"""
+
+ORDERS = """order_id,customer_id,order_date,amount,currency,status,ingested_at
+P1,K1,2020-06-01,10.5,EUR,paid,2020-06-01 10:00:00
+P2,K2,2020-06-01,0,EUR,paid,2020-06-01 10:00:00
+P3,K6,2020-06-02,7,EUR,lost,2020-06-02 10:00:00
+P4,,2020-06-02,7,EUR,pending,2020-06-02 10:00:00
+P5,K3,2020-06-03,8,EUR,shipped,2020-06-03 10:00:00
+P1,K2,2020-06-04,11,EUR,refunded,2020-06-04 10:00:00
+P6,K6,2020-06-05,12.25,EUR,cancelled,2020-06-05 10:00:00
+P7,K2,2020-06-05,,EUR,paid,2020-06-05 10:00:00
+"""
+
+CUSTOMER_SCHEMA = (
+    "customer_id STRING, name STRING, email STRING, country STRING, signup_date DATE, "
+    "raw_source STRING"
+)
+ORDER_SCHEMA = (
+    "order_id STRING, customer_id STRING, order_date DATE, amount DOUBLE, currency STRING, "
+    "status STRING, ingested_at TIMESTAMP"
+)
+MOVEMENT_SCHEMA = (
+    "MBLNR BIGINT, MJAHR INT, ZEILE INT, MATNR STRING, WERKS STRING, CHARG STRING, "
+    "BWART STRING, MENGE INT, MEINS STRING, BUDAT DATE, CPUDT_TIME TIMESTAMP, "
+    "LIFNR STRING, KUNNR STRING"
 )
 
-_PEOPLE = [
-    ("C001", "Alice Sharma", "alice.sharma@example.com", "IN", "2024-01-10", "crm"),
-    ("C002", "Bob Chen", "bob.chen@example.com", "US", "2024-01-12", "crm"),
-    ("C003", "Cara Lopez", "cara.lopez@example.com", "MX", "2024-01-15", "web"),
-    ("C004", "Dan Patel", None, "IN", "2024-02-01", "crm"),
-    ("C005", "Eve Okonkwo", "eve.okonkwo@example.com", "NG", "2024-02-03", "web"),
-    ("C006", "Frank Mueller", "frank.mueller@example.com", "DE", "2024-02-05", "crm"),
-    ("C002", "Bob Chen", "bob.chen@example.com", "US", "2024-01-12", "crm"),
-    ("C007", "Grace Kim", "not-an-email", "KR", "2024-02-10", "web"),
-    ("C008", "Hiro Tanaka", "hiro.tanaka@example.com", "JP", "2024-02-12", "crm"),
-    ("C009", None, "iris.novak@example.com", "CZ", "2024-02-14", "web"),
-    ("C010", "James Brown", "james.brown@example.com", "US", "2024-02-20", "crm"),
-    ("C011", "Kelly Wong", "kelly.wong@example.com", None, "2024-03-01", "web"),
-    ("C012", "Liam OBrien", "liam.obrien@example.com", "IE", "2024-03-05", "crm"),
-]
-
-_ORDERS = [
-    ("O1001", "C001", 1, 120.50, "INR", "paid"),
-    ("O1002", "C002", 2, 45.00, "USD", "shipped"),
-    ("O1003", "C003", 3, -10.00, "MXN", "paid"),
-    ("O1004", "C005", 4, 200.00, "NGN", "pending"),
-    ("O1005", "C006", 5, 89.99, "EUR", "paid"),
-    ("O1006", "C008", 6, 1500.0, "JPY", "shipped"),
-    ("O1007", "C010", 7, None, "USD", "paid"),
-    ("O1008", "C012", 8, 75.25, "EUR", "cancelled"),
-    ("O1002", "C002", 2, 45.00, "USD", "shipped"),
-    ("O1009", "C999", 9, 30.00, "USD", "paid"),
-    ("O1010", "C001", 10, 55.00, "INR", "UNKNOWN"),
-    ("O1011", "C005", 11, 12.00, "NGN", "refunded"),
-    ("O1012", None, 12, 99.00, "USD", "paid"),
-]
-
-
-def customers(spark: SparkSession) -> DataFrame:
-    rows = [
-        (*r[:4], date.fromisoformat(r[4]), r[5], at) for at, r in enumerate(_PEOPLE)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "customer_id STRING, name STRING, email STRING, country STRING, signup_date DATE, "
-        "raw_source STRING, _arrival BIGINT",
-    )
-
-
-def orders(spark: SparkSession) -> DataFrame:
-    rows = [
-        (o, c, date(2024, 3, d), a, cur, s, datetime(2024, 3, d + 1, 1), at)
-        for at, (o, c, d, a, cur, s) in enumerate(_ORDERS)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "order_id STRING, customer_id STRING, order_date DATE, amount DOUBLE, currency STRING, "
-        "status STRING, ingested_at TIMESTAMP, _arrival BIGINT",
-    )
 
+def columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
 
-MOVEMENT_COLUMNS = (
-    "MBLNR", "MJAHR", "ZEILE", "MATNR", "WERKS", "CHARG", "BWART", "MENGE", "MEINS", "BUDAT",
-    "CPUDT_TIME", "LIFNR", "KUNNR",
-)
 
-# document, line, material, plant, batch, code, quantity, unit, entry time, vendor, customer;
-# the document number counts from 4900000000 and all years are 2024.
-_RM1, _FG1, _RM2, _FG2 = "RM-API-100", "FG-TAB-200", "RM-EXC-300", "FG-INJ-400"
-_MOVES = [
-    (1, 1, _RM1, "SG01", "BATCH001", "Z01", 1000, "KG", "01-02 08:00", "V1001", None),
-    (1, 2, _RM1, "SG01", "BATCH001", "Z01", 1000, "KG", "01-03 17:00", "V1001", None),
-    (2, 1, _RM1, "SG01", "BATCH001", "Z02", 1000, "KG", "01-04 09:00", "V1001", None),
-    (2, 2, _RM1, "SG01", "BATCH001", "Z02", 1000, "KG", "01-06 15:00", "V1001", None),
-    (3, 1, _RM1, "SG01", "BATCH001", "Z03", 1000, "KG", "01-07 06:00", "V1001", None),
-    (3, 2, _RM1, "SG01", "BATCH001", "561", 1000, "KG", "01-09 18:00", "V1001", None),
-    (4, 1, _RM1, "SG01", "BATCH001", "101", 1000, "KG", "01-10 08:30", "V1001", None),
-    (4, 2, _RM1, "SG01", "BATCH001", "103", 1000, "KG", "01-10 11:00", "V1001", None),
-    (5, 1, _RM1, "SG01", "BATCH001", "321", 1000, "KG", "01-11 09:00", "V1001", None),
-    (5, 2, _RM1, "SG01", "BATCH001", "105", 1000, "KG", "01-15 16:00", "V1001", None),
-    (6, 1, _RM1, "SG01", "BATCH001", "261", 800, "KG", "01-16 06:00", None, "PO1001"),
-    (6, 2, _FG1, "SG01", "BATCH001", "101F", 5000, "EA", "01-24 20:00", None, "PO1001"),
-    (7, 1, _FG1, "SG01", "BATCH001", "Z04", 5000, "EA", "01-25 07:00", None, None),
-    (7, 2, _FG1, "SG01", "BATCH001", "309", 5000, "EA", "01-27 18:00", None, None),
-    (8, 1, _FG1, "SG01", "BATCH001", "501", 5000, "EA", "01-28 09:00", None, None),
-    (8, 2, _FG1, "SG01", "BATCH001", "Z05", 5000, "EA", "01-29 14:00", None, None),
-    (9, 1, _FG1, "SG01", "BATCH001", "311", 5000, "EA", "01-30 08:00", None, None),
-    (9, 2, _FG1, "SG01", "BATCH001", "315", 5000, "EA", "01-31 16:00", None, None),
-    (10, 1, _FG1, "SG01", "BATCH001", "641", 5000, "EA", "02-01 07:00", None, None),
-    (10, 2, _FG1, "DC01", "BATCH001", "Z07", 5000, "EA", "02-03 15:00", None, None),
-    (11, 1, _FG1, "DC01", "BATCH001", "601", 5000, "EA", "02-04 09:00", None, "C9001"),
-    (11, 2, _FG1, "DC01", "BATCH001", "601", 0, "EA", "02-05 12:00", None, "C9001"),
-    (12, 1, _FG1, "DC01", "BATCH001", "Z06", 5000, "EA", "02-06 10:00", None, "C9001"),
-    (12, 2, _FG1, "DC01", "BATCH001", "Z06", 5000, "EA", "02-07 16:00", None, "C9001"),
-    (101, 1, _RM2, "UK01", "BATCH002", "Z01", 500, "KG", "03-01 08:00", "V2002", None),
-    (101, 2, _RM2, "UK01", "BATCH002", "Z01", 500, "KG", "03-02 12:00", "V2002", None),
-    (102, 1, _RM2, "UK01", "BATCH002", "Z02", 500, "KG", "03-03 09:00", "V2002", None),
-    (102, 2, _RM2, "UK01", "BATCH002", "Z02", 500, "KG", "03-07 17:00", "V2002", None),
-    (103, 1, _RM2, "UK01", "BATCH002", "Z03", 500, "KG", "03-08 06:00", "V2002", None),
-    (103, 2, _RM2, "UK01", "BATCH002", "561", 500, "KG", "03-12 20:00", "V2002", None),
-    (104, 1, _RM2, "UK01", "BATCH002", "101", 500, "KG", "03-13 09:00", "V2002", None),
-    (104, 2, _RM2, "UK01", "BATCH002", "103", 500, "KG", "03-13 11:00", "V2002", None),
-    (105, 1, _RM2, "UK01", "BATCH002", "321", 500, "KG", "03-14 08:00", "V2002", None),
-    (105, 2, _RM2, "UK01", "BATCH002", "322", 500, "KG", "03-20 10:00", "V2002", None),
-    (105, 3, _RM2, "UK01", "BATCH002", "105", 500, "KG", "03-22 16:00", "V2002", None),
-    (106, 1, _RM2, "UK01", "BATCH002", "261", 400, "KG", "03-23 06:00", None, "PO2002"),
-    (106, 2, _FG2, "UK01", "BATCH002", "101F", 2000, "EA", "04-02 21:00", None, "PO2002"),
-    (107, 1, _FG2, "UK01", "BATCH002", "Z04", 2000, "EA", "04-03 07:00", None, None),
-    (107, 2, _FG2, "UK01", "BATCH002", "309", 2000, "EA", "04-05 18:00", None, None),
-    (108, 1, _FG2, "UK01", "BATCH002", "501", 2000, "EA", "04-06 09:00", None, None),
-    (108, 2, _FG2, "UK01", "BATCH002", "Z05", 2000, "EA", "04-07 12:00", None, None),
-    (109, 1, _FG2, "UK01", "BATCH002", "311", 2000, "EA", "04-08 08:00", None, None),
-    (109, 2, _FG2, "UK01", "BATCH002", "315", 2000, "EA", "04-10 17:00", None, None),
-    (110, 1, _FG2, "UK01", "BATCH002", "641", 2000, "EA", "04-11 07:00", None, None),
-    (110, 2, _FG2, "DC02", "BATCH002", "Z07", 2000, "EA", "04-14 16:00", None, None),
-    (111, 1, _FG2, "DC02", "BATCH002", "601", 2000, "EA", "04-15 09:00", None, "C9002"),
-    (111, 2, _FG2, "DC02", "BATCH002", "601", 2000, "EA", "04-16 13:00", None, "C9002"),
-    (112, 1, _FG2, "DC02", "BATCH002", "Z06", 2000, "EA", "04-17 10:00", None, "C9002"),
-    (112, 2, _FG2, "DC02", "BATCH002", "Z06", 2000, "EA", "04-18 15:00", None, "C9002"),
-    (201, 1, _RM1, "US01", "BATCH003", "Z01", 200, "KG", "05-01 08:00", "V3003", None),
-    (201, 2, _RM1, "US01", "BATCH003", "999", 200, "KG", "05-02 09:00", "V3003", None),
-    (202, 1, _RM1, "US01", "BATCH003", "Z02", 200, "KG", "05-03 10:00", None, None),
-    (202, 2, None, "US01", "BATCH003", "101", 200, "KG", "05-04 11:00", "V3003", None),
-    (203, 1, _RM1, "US01", None, "101", 100, "KG", "05-05 12:00", "V3003", None),
-    (204, 1, _RM1, "US01", "BATCH003", "101", -50, "KG", "05-06 13:00", "V3003", None),
-    (4, 1, _RM1, "SG01", "BATCH001", "101", 1000, "KG", "01-10 08:30", "V1001", None),
-]
-
-
-def movements(spark: SparkSession) -> DataFrame:
-    rows = []
-    for at, (doc, line, mat, plant, batch, code, qty, unit, time, vendor, cust) in enumerate(
-        _MOVES
-    ):
-        stamp = datetime.fromisoformat(f"2024-{time}:00")
-        rows.append(
-            (
-                4900000000 + doc, 2024, line, mat, plant, batch, code, qty, unit, stamp.date(),
-                stamp, vendor, cust, at,
-            )
-        )
-    return spark.createDataFrame(
-        rows,
-        "MBLNR BIGINT, MJAHR INT, ZEILE INT, MATNR STRING, WERKS STRING, CHARG STRING, "
-        "BWART STRING, MENGE INT, MEINS STRING, BUDAT DATE, CPUDT_TIME TIMESTAMP, "
-        "LIFNR STRING, KUNNR STRING, _arrival BIGINT",
+def stored(spark: SparkSession, folder: Path, name: str, text: str, schema: str) -> DataFrame:
+    """The text as a CSV file, read back, with its rows numbered."""
+    path = folder / f"{name}.csv"
+    path.write_text(text)
+    return read_csv(spark, str(path), schema).withColumn(
+        "_arrival", F.monotonically_increasing_id()
     )
 
 
-# Expected days per stage, in the order of the life cycle, by batch.
-STAGE_DAYS = {
-    "BATCH001": [1.38, 2.25, 2.5, 0.1, 4.29, 8.58, 2.46, 1.21, 1.33, 2.33, 1.13, 1.25],
-    "BATCH002": [1.17, 4.33, 4.58, 0.08, 8.33, 10.63, 2.46, 1.13, 2.38, 3.38, 1.17, 1.21],
-    "BATCH003": [0.0, 0.0],
-}
-HANDOFF_DAYS = {
-    "BATCH001": [0.67, 0.63, 0.6, 0.92, 0.58, 0.46, 0.63, 0.75, 0.63, 0.75, 0.92],
-    "BATCH002": [0.88, 0.54, 0.54, 0.88, 0.58, 0.42, 0.63, 0.83, 0.58, 0.71, 0.88],
-    "BATCH003": [2.08],
-}
+# Batches: the stage they stop before, and the hours of work in a stage and of waiting
+# for the next.
+BATCHES = {"LOT-A": (12, 30, 12), "LOT-B": (12, 6, 54), "LOT-C": (3, 18, 24)}
+
+
+def movements_text() -> str:
+    """Two lines for each stage of each batch, then lines that must be rejected."""
+    code_of = {stage: code for code, stage in reversed(goods.LIFE_CYCLE.code_to_stage.items())}
+    lines = [",".join(columns(MOVEMENT_SCHEMA))]
+
+    def line(doc: int, at: int, material: str, lot: str, code: str, amount: object, now: datetime) -> str:
+        return f"{doc},2021,{at},{material},W1,{lot},{code},{amount},KG,{now:%Y-%m-%d},{now},,"
+
+    for n, (lot, (stages, work, wait)) in enumerate(BATCHES.items(), start=1):
+        now = datetime(2021, 3, 1, 6)
+        for at, stage in enumerate(goods.LIFE_CYCLE.stages[:stages]):
+            lines.append(line(n, 2 * at, f"MAT{n}", lot, code_of[stage], 100, now))
+            now += timedelta(hours=work)
+            lines.append(line(n, 2 * at + 1, f"MAT{n}", lot, code_of[stage], 40, now))
+            now += timedelta(hours=wait)
+    late = datetime(2021, 9, 1)
+    lines += [
+        line(1, 0, "MAT1", "LOT-A", "101", 5, late),  # the key of an earlier line
+        line(9, 1, "", "LOT-A", "101", 5, late),
+        line(9, 2, "MAT1", "", "101", 5, late),
+        line(9, 3, "MAT1", "LOT-A", "none", 5, late),
+        line(9, 4, "MAT1", "LOT-A", "101", -1, late),
+    ]
+    return "\n".join(lines) + "\n"

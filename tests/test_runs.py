@@ -21,15 +21,19 @@ FIRST = RunContext("20240131T000000Z-00000001", datetime(2024, 1, 31, tzinfo=tim
 SECOND = RunContext("20240201T000000Z-00000002", datetime(2024, 2, 1, tzinfo=timezone.utc))
 
 
+def customers_of(spark, folder):
+    return samples.stored(spark, folder, "customers", samples.CUSTOMERS, samples.CUSTOMER_SCHEMA)
+
+
 def test_shop_run(spark, tmp_path):
     layers = LayerNames(str(tmp_path))
     # raw rows without an arrival number: one input split, so landing keeps their order
-    people, orders = (
-        t(spark).coalesce(1).drop("_arrival") for t in (samples.customers, samples.orders)
-    )
+    people = customers_of(spark, tmp_path).drop("_arrival")
+    orders = samples.stored(spark, tmp_path, "orders", samples.ORDERS, samples.ORDER_SCHEMA)
+    orders = orders.drop("_arrival")
     for ctx in (FIRST, SECOND, SECOND):  # the second run is retried
         summary = runs.run_shop(spark, people, orders, layers, ctx)
-    assert {tuple(r) for r in summary.collect()} == {("customers", 13, 9, 4), ("orders", 13, 7, 6)}
+    assert {tuple(r) for r in summary.collect()} == {("customers", 7, 3, 4), ("orders", 8, 2, 6)}
     history = readers.read_history(spark, layers.history("dq_results"))
     assert {r.run_id: r["count"] for r in history.groupBy("run_id").count().collect()} == {
         FIRST.run_id: 18, SECOND.run_id: 18,
@@ -44,16 +48,16 @@ def test_shop_run(spark, tmp_path):
     content = json.loads(snapshot.report_json)
     assert [t["table"] for t in content["tables"]] == ["_cross_", "customers", "orders"]
     assert content["overall_status"] == "PASS"
-    assert json.loads(content["tables"][1]["checks"][0]["metrics"])["silver_count"] == 9
+    assert json.loads(content["tables"][1]["checks"][0]["metrics"])["silver_count"] == 3
     story = readers.read_history(spark, layers.history("dq_agent_reports")).collect()
     assert all("None." in r.analysis_md for r in story) and len(story) == 2
 
 
 def test_failed_gate_leaves_history(spark, tmp_path):
     layers = LayerNames(str(tmp_path))
-    customer = shop.customer_intake(samples.CUSTOMER_COLUMNS)
+    customer = shop.customer_intake(samples.columns(samples.CUSTOMER_SCHEMA))
     runs.load_layers(
-        spark, [runs.TableRun(samples.customers(spark), customer)], layers, FIRST
+        spark, [runs.TableRun(customers_of(spark, tmp_path), customer)], layers, FIRST
     )
     lost = readers.read_layer(spark, layers.quarantine("customers")).limit(1)
     with Staging(spark) as staging:
@@ -72,8 +76,8 @@ def test_failed_gate_leaves_history(spark, tmp_path):
 
 def test_without_quarantine_the_drop_is_judged(spark, tmp_path):
     layers = LayerNames(str(tmp_path))
-    customer = shop.customer_intake(samples.CUSTOMER_COLUMNS)
-    rows = samples.customers(spark)
+    customer = shop.customer_intake(samples.columns(samples.CUSTOMER_SCHEMA))
+    rows = customers_of(spark, tmp_path)
     writers.write_layer(rows, layers.bronze("customers"))
     kept = rows.filter("email IS NOT NULL").select(*shop.CUSTOMER_SILVER)
     writers.write_layer(kept, layers.silver("customers"))
@@ -83,14 +87,15 @@ def test_without_quarantine_the_drop_is_judged(spark, tmp_path):
     )
     found = {r.check_name: (r.status, r.message) for r in results.collect()}
     assert "quarantine_reconciliation" not in found
-    assert found["row_count_delta"] == ("WARN", "Bronze=13, Silver=12, dropped=1 (7.7%)")
+    assert found["row_count_delta"] == ("WARN", "Bronze=7, Silver=6, dropped=1 (14.3%)")
     assert readers.read_layer_if_present(spark, "no_such_table") is None
 
 
 def test_lead_time_run(spark, tmp_path):
     layers = LayerNames(str(tmp_path))
-    summary = runs.run_goods(spark, samples.movements(spark), layers, FIRST)
-    assert [tuple(r) for r in summary.collect()] == [("movements", 56, 51, 5)]
+    moves = samples.stored(spark, tmp_path, "moves", samples.movements_text(), samples.MOVEMENT_SCHEMA)
+    summary = runs.run_goods(spark, moves, layers, FIRST)
+    assert [tuple(r) for r in summary.collect()] == [("movements", 59, 54, 5)]
     sizes = {
         name: readers.read_layer(spark, where).count()
         for name, where in {
@@ -100,7 +105,7 @@ def test_lead_time_run(spark, tmp_path):
             "e2e": layers.gold("e2e_lead_times"),
         }.items()
     }
-    assert sizes == {"events": 26, "stage": 26, "d2d": 23, "e2e": 2}
+    assert sizes == {"events": 27, "stage": 27, "d2d": 24, "e2e": 2}
     results = runs.check_lead_time_layers(spark, layers, summary, FIRST)
     stored = readers.read_history(spark, layers.history("dq_results"))
     assert {r.overall_status for r in stored.collect()} == {"WARN"}
@@ -227,3 +232,43 @@ def test_run_context():
     ctx = RunContext.start()
     assert ctx.run_id[8] == "T" and ctx.run_id[15:17] == "Z-" and len(ctx.run_id) == 25
     assert ctx.iso_now.endswith("+00:00")
+
+
+def test_history_in_a_table_keeps_run_ids(spark):
+    for table in ("gate_history", "default.gate_history_2"):
+        for run in ("007", "2024-01-31", "007"):
+            writers.append_history(spark.createDataFrame([(run, 1)], "run_id STRING, a INT"), table)
+        rows = readers.read_history(spark, table).collect()
+        assert sorted((r.run_id, r.a) for r in rows) == [("007", 1), ("2024-01-31", 1)]
+
+
+def test_history_in_a_folder_keeps_run_ids(spark, tmp_path):
+    where = str(tmp_path / "history")
+    for run in ("007", "2024-01-31", "007"):
+        writers.append_history(spark.createDataFrame([(run, 1)], "run_id STRING, a INT"), where)
+    rows = readers.read_history(spark, where).collect()
+    assert sorted((r.run_id, r.a) for r in rows) == [("007", 1), ("2024-01-31", 1)]
+
+
+def test_csv_keeps_line_breaks(spark, tmp_path):
+    where = str(tmp_path / "csv")
+    rows = [(1, "a\nb"), (2, "c")]
+    writers.write_csv(spark.createDataFrame(rows, "k INT, v STRING"), where)
+    back = readers.read_csv(spark, where, "k INT, v STRING", multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_unknown_checks_are_told(spark):
+    from siltgate.operators import checks, report
+
+    columns = (
+        "run_id STRING, check_no INT, table_name STRING, check_name STRING, status STRING, "
+        "message STRING, metrics_json STRING, overall_status STRING, checked_at STRING"
+    )
+    rows = [("r", n, "t", f"ledger_{n}", "FAIL", None if n else "off", "{}", "FAIL", "now") for n in range(9)]
+    results = spark.createDataFrame(rows, columns)
+    story = report.narrative(results).first().analysis_md
+    assert all(f"t.ledger_{n}`" in story for n in range(9)) and "None." not in story
+    with pytest.raises(checks.QualityGateError) as gate:
+        checks.enforce_gate(results)
+    assert all(f"t.ledger_{n}:" in str(gate.value) for n in range(9))
