@@ -5,8 +5,8 @@ reads. All checks of a table share a single pass: their aggregates are computed
 together into one row, which is then unfolded into ``(check_no, check_name,
 status, message, metrics_json)`` rows. Nothing is collected.
 
-Checks read a *tagged* frame: the rows of all layers with three flags telling
-which layers a row belongs to. It comes either from separate layer tables
+Checks read a *tagged* frame: rows of silver and quarantine with a flag for either, and
+how many rows of bronze each stands for. It comes either from separate layer tables
 (``tag_layers``) or straight from a classified table (``tag_classified``).
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltgate.contracts import CheckSpec, Intake, StageModel
@@ -26,7 +26,7 @@ from siltgate.functions.numbers import percentage, percentage_2, percentage_text
 from siltgate.operators.classify import REASON, silver_projection
 from siltgate.operators.lookups import count_unmatched
 
-IN_BRONZE, IN_SILVER, IN_QUARANTINE = "_in_bronze", "_in_silver", "_in_quarantine"
+BRONZE_ROWS, IN_SILVER, IN_QUARANTINE = "_bronze_rows", "_in_silver", "_in_quarantine"
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
 
 
@@ -36,24 +36,39 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
-    """``status``, ``message`` and ``metrics`` are SQL over the ``aggregates``."""
+    """``status``, ``message`` and ``metrics`` are SQL over the ``aggregates``, and over
+    ``distinct``, the aggregates that count distinct values."""
 
     name: str
     status: str
     message: str
     aggregates: Mapping[str, str] = field(default_factory=dict)
     metrics: Mapping[str, str] = field(default_factory=dict)
+    distinct: Mapping[str, str] = field(default_factory=dict)
 
 
 # ---------------------------------------------------------------- evaluation
 
 
 def evaluate(df: DataFrame, checks: Sequence[Check], first_no: int = 1) -> DataFrame:
-    """Run the checks over ``df`` in one aggregation."""
-    aggregates = {"_rows": "count(1)"}
+    """Run the checks over ``df`` in one aggregation; of several distinct counts each is
+    taken on its own, over its column alone. In one aggregate they would make Spark
+    shuffle a copy of every row for each of them."""
+    aggregates, distinct = {"_rows": "count(1)"}, {}
     for check in checks:
         aggregates.update(check.aggregates)
-    counted = df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in aggregates.items()])
+        distinct.update(check.distinct)
+    if len(distinct) < 2:
+        passes = [aggregates | distinct]
+    else:
+        passes = [aggregates, *[{alias: how} for alias, how in distinct.items()]]
+    parts = [
+        df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in one.items()]) for one in passes
+    ]
+    counted = parts[0]
+    if len(parts) > 1:
+        united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        counted = united.selectExpr(*[f"max({sql.name(c)}) AS {sql.name(c)}" for c in united.columns])
     return _unfold(counted, checks, first_no)
 
 
@@ -79,7 +94,7 @@ def pass_if(condition: str, otherwise: str = FAIL) -> str:
 def tag_layers(
     silver: DataFrame, bronze: DataFrame | None = None, quarantine: DataFrame | None = None
 ) -> DataFrame:
-    """Rows of separate layer tables under one schema. Bronze is only counted."""
+    """Rows of separate layer tables under one schema. Bronze is one row, its count."""
     tagged = _flags(silver, silver=True)
     if quarantine is not None:
         kept = [c for c in quarantine.columns if c == "rejection_reason"]
@@ -87,15 +102,16 @@ def tag_layers(
             _flags(quarantine.select(*kept), quarantine=True), allowMissingColumns=True
         )
     if bronze is not None:
-        tagged = tagged.unionByName(_flags(bronze.select(), bronze=True), allowMissingColumns=True)
+        counted = bronze.agg(F.count(F.lit(1)).alias(BRONZE_ROWS))
+        tagged = tagged.drop(BRONZE_ROWS).unionByName(counted, allowMissingColumns=True)
     return tagged
 
 
-def _flags(
-    df: DataFrame, *, bronze: bool = False, silver: bool = False, quarantine: bool = False
-) -> DataFrame:
-    flags = {IN_BRONZE: bronze, IN_SILVER: silver, IN_QUARANTINE: quarantine}
-    return df.selectExpr("*", *[f"{'true' if on else 'false'} AS {n}" for n, on in flags.items()])
+def _flags(df: DataFrame, *, silver: bool = False, quarantine: bool = False) -> DataFrame:
+    flags = {IN_SILVER: silver, IN_QUARANTINE: quarantine}
+    return df.selectExpr(
+        "*", f"0L AS {BRONZE_ROWS}", *[f"{'true' if on else 'false'} AS {n}" for n, on in flags.items()]
+    )
 
 
 def as_silver(df: DataFrame) -> DataFrame:
@@ -109,7 +125,7 @@ def tag_classified(classified: DataFrame, intake: Intake) -> DataFrame:
     return classified.select(
         *silver_projection(intake),
         F.col(REASON).alias("rejection_reason"),
-        F.lit(True).alias(IN_BRONZE),
+        F.lit(1).cast("long").alias(BRONZE_ROWS),
         accepted.alias(IN_SILVER),
         (~accepted).alias(IN_QUARANTINE),
     )
@@ -120,7 +136,7 @@ def tag_classified(classified: DataFrame, intake: Intake) -> DataFrame:
 # history queries rely on them.
 
 _LAYER_COUNTS = {
-    "bronze_n": f"count_if({IN_BRONZE})",
+    "bronze_n": f"coalesce(sum({BRONZE_ROWS}), 0L)",
     "silver_n": f"count_if({IN_SILVER})",
     "quarantine_n": f"count_if({IN_QUARANTINE})",
 }
@@ -298,8 +314,8 @@ def uniqueness(
                     sql.plain(f"{layer}.{column}: ") + "{surplus} duplicate value(s)",
                     surplus=f"(silver_n - {distinct})",
                 ),
-                aggregates=_SILVER_COUNT
-                | {
+                aggregates=_SILVER_COUNT,
+                distinct={
                     alias: f"count(DISTINCT if({IN_SILVER}, {value}, NULL))"
                     f" + coalesce(max(int({IN_SILVER} AND {source} IS NULL)), 0)"
                 },
@@ -443,7 +459,7 @@ def check_classified(classified: DataFrame, intake: Intake, spec: CheckSpec) ->
 
 
 def check_references(
-    child: DataFrame,
+    child: DataFrame | None,
     parent: DataFrame | None,
     column: str,
     parent_column: str,
@@ -452,11 +468,14 @@ def check_references(
     layer: str = "silver",
     table: str = "_cross_",
 ) -> DataFrame:
-    """Child rows without a partner. With no parent table the check is passed as skipped."""
+    """Child rows without a partner. Where either table is missing the check is passed as
+    skipped."""
     check_name = f"referential_integrity_{layer}"
-    if parent is None:
-        note = sql.text("Skipped referential checks (no parent table)")
-        return named(evaluate(child.select(), [Check(check_name, sql.text(PASS), note)]), table)
+    if child is None or parent is None:
+        absent = "parent" if parent is None else "child"
+        note = sql.text(f"Skipped referential checks (no {absent} table)")
+        one = SparkSession.active().range(1)
+        return named(_unfold(one, [Check(check_name, sql.text(PASS), note)]), table)
     check = Check(
         name=check_name,
         status=pass_if("unmatched = 0"),

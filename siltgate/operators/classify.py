@@ -89,13 +89,16 @@ def summary_of_layers(
     bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, table: str
 ) -> DataFrame:
     """The same row from stored layers; the counts come from file footers."""
-    sizes = [
-        df.select(F.lit(layer).alias("layer"))
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).withColumn("layer", F.lit(layer))
         for layer, df in (("bronze", bronze), ("silver", silver), ("quarantine", quarantine))
     ]
-    merged = sizes[0].unionByName(sizes[1]).unionByName(sizes[2])
+    merged = counts[0].unionByName(counts[1]).unionByName(counts[2])
     return merged.agg(
-        *[F.count_if(F.col("layer") == x).alias(x) for x in ("bronze", "silver", "quarantine")]
+        *[
+            F.max(F.when(F.col("layer") == x, F.col("n"))).alias(x)
+            for x in ("bronze", "silver", "quarantine")
+        ]
     ).select(F.lit(table).alias("table_name"), "bronze", "silver", "quarantine")
 
 

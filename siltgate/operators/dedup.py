@@ -19,17 +19,11 @@ from siltgate.sources.staging import Staging
 REPEAT = "_repeat"
 
 
-def first_rows(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """One row per key: the least by ``order_by``, then by the remaining columns.
-
-    NULL keys form one group. The result has exactly one row per key even if
-    ``order_by`` leaves ties.
-    """
-    rest = [c for c in df.columns if c not in key and c not in order_by]
-    ordered = [c for c in order_by if c not in key]
-    folded = df.groupBy(*key).agg(F.min(F.struct(*ordered, *rest)).alias("_row"))
-    fields = [F.col(c) if c in key else F.col("_row")[c].alias(c) for c in df.columns]
-    return folded.select(*fields)
+def first_rows(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], staging: Staging | None = None
+) -> DataFrame:
+    """One row per key, the one that ``mark_repeats`` leaves unmarked."""
+    return mark_repeats(df, key, order_by, staging).filter(~F.col(REPEAT)).drop(REPEAT)
 
 
 def mark_repeats(
@@ -38,31 +32,74 @@ def mark_repeats(
     """Every row of ``df`` plus ``_repeat``: true unless the row is its key's first.
 
     1. (key, order) alone is aggregated to the first position of every key that
-       occurs more than once; unique keys drop out here.
-    2. The rows are left-joined to those keys. With ``staging`` the key table is
-       stored first, so its size is known when the join is planned: if it is
-       small, the wide rows are neither shuffled nor sorted. Otherwise it is a
-       sort-merge join whose hot partitions Spark splits.
+       occurs more than once; unique keys drop out here. The key table is stored.
+    2. The rows are left-joined to those keys, whose size is known when the join is
+       planned: if it is small, the wide rows are neither shuffled nor sorted. Otherwise
+       it is a sort-merge join whose hot partitions Spark splits.
+    3. Keys with several rows at their first position are looked for among the repeated
+       ones. If there are any, their tied rows are stored with a number, and the least by
+       the remaining columns, then by the number, is the first (``_break_ties``).
+
+    So each key, NULL being one like any other, has exactly one unmarked row. ``df`` is
+    read several times and must give the same rows each time; tables of a run without
+    ``staging`` stay until the driver program ends.
 
     The join compares keys null-safely. That matches the grouping (NULL is a
     key like any other), and because the join keys then differ from the
     grouping keys, both sides get their own exchange, which is what adaptive
     execution needs before it may split a skewed partition.
     """
+    staging = staging or Staging.until_exit(df.sparkSession)
     keys = [f"_key{i}" for i in range(len(key))]
     order, first = _order_and_first(df, order_by)
-    repeated = (
+    repeated = staging.table(
         df.groupBy(*[F.col(k).alias(a) for k, a in zip(key, keys, strict=True)])
         .agg(first.alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .filter(F.col("_copies") > 1)
-        .select(*keys, "_first", F.lit(True).alias("_seen_again"))
+        .select(*keys, "_first", F.lit(True).alias("_seen_again")),
+        "repeated-keys",
+    )
+    joined = df.join(repeated, _same_key(key, keys), "left").withColumn(
+        "_at_first", F.col("_seen_again").isNotNull() & order.eqNullSafe(F.col("_first"))
+    )
+    tied = staging.table(
+        joined.filter("_at_first").groupBy(*keys).count().filter("count > 1").select(*keys),
+        "tied-keys",
+    )
+    repeat = (F.col("_seen_again").isNotNull() & ~F.col("_at_first")).alias(REPEAT)
+    if tied.isEmpty():
+        return joined.select(*df.columns, repeat)
+    placed = joined.join(_renamed(tied), _same_key(keys, [f"_tied{k}" for k in keys]), "left")
+    alone = placed.filter("NOT _at_first OR _is_tied IS NULL").select(*df.columns, repeat)
+    return alone.union(_break_ties(placed.filter("_at_first AND _is_tied"), df, key, staging))
+
+
+def _break_ties(tied: DataFrame, df: DataFrame, key: Sequence[str], staging: Staging) -> DataFrame:
+    """Rows that share their key's first position, all but one a key marked. They are
+    numbered and stored, so that even rows alike in all columns can be told apart; the
+    least of a key folds on the map side."""
+    rows = staging.table(
+        tied.select(*df.columns, F.monotonically_increasing_id().alias("_tie")), "tied-rows"
     )
-    if staging is not None:
-        repeated = staging.table(repeated, "repeated-keys")
-    same_key = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(key, keys, strict=True)]
-    joined = df.join(repeated, reduce(lambda a, b: a & b, same_key), "left")
-    is_repeat = F.col("_seen_again").isNotNull() & ~order.eqNullSafe(F.col("_first"))
-    return joined.select(*df.columns, is_repeat.alias(REPEAT))
+    rest = [_comparable(f) for f in df.schema.fields if f.name not in key]
+    firsts = rows.groupBy(*key).agg(F.min(F.struct(*rest, "_tie"))["_tie"].alias("_winner"))
+    chosen = rows.join(firsts.select("_winner"), F.col("_tie") == F.col("_winner"), "left")
+    return chosen.select(*df.columns, F.col("_winner").isNull().alias(REPEAT))
+
+
+def _same_key(left: Sequence[str], right: Sequence[str]) -> Column:
+    pairs = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right, strict=True)]
+    return reduce(lambda a, b: a & b, pairs)
+
+
+def _renamed(tied: DataFrame) -> DataFrame:
+    return tied.select(*[F.col(k).alias(f"_tied{k}") for k in tied.columns], F.lit(True).alias("_is_tied"))
+
+
+def _comparable(column: T.StructField) -> Column:
+    """The column, or its JSON where Spark has no order for its type."""
+    unordered = "map<" in column.dataType.simpleString() or "variant" in column.dataType.simpleString()
+    return F.to_json(F.struct(column.name)) if unordered else F.col(column.name)
 
 
 # Types whose aggregation buffer is updated in place, so that min() can hash.

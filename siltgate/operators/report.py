@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltgate.context import RunContext
@@ -25,6 +25,11 @@ REPORT_SCHEMA = (
     "checks ARRAY<STRUCT<name: STRING, status: STRING, message: STRING, metrics: STRING>>>>"
 )
 
+KPI_SCHEMA = (
+    "avg_e2e_days DOUBLE, avg_d2d_days DOUBLE, avg_stage_days_by_stage MAP<STRING, DOUBLE>, "
+    "batches_with_e2e BIGINT, d2d_handoffs BIGINT, stage_count_expected INT"
+)
+
 # What to do about a failed check: order of urgency and advice, by check family.
 ADVICE = {
     "quarantine_reconciliation": (1, "Find the rows that reached neither silver nor quarantine."),
@@ -74,7 +79,7 @@ def latest_run(results: DataFrame) -> DataFrame:
     newest = results.agg(F.max("run_id")).scalar()
     return (
         results.filter(F.col("run_id") == newest)
-        .select("table_name", "check_name", "status", "message")
+        .select("run_id", "table_name", "check_name", "status", "message")
         .orderBy("table_name", "check_name")
     )
 
@@ -83,9 +88,15 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     return snapshots.orderBy(F.desc("created_at"), F.desc("run_id")).limit(1)
 
 
-def run_snapshot(results: DataFrame) -> DataFrame:
-    """One row per run: the nested report as JSON. The lists hold checks, whose number
-    is set by the contracts."""
+def of_run(kpis: DataFrame, ctx: RunContext) -> DataFrame:
+    """A KPI summary under the run it belongs to: ``run_id`` and ``kpi_summary``."""
+    return kpis.select(ctx.run_id_column().alias("run_id"), F.struct(*kpis.columns).alias("kpi_summary"))
+
+
+def run_snapshot(results: DataFrame, kpis: DataFrame | None = None) -> DataFrame:
+    """One row per run: the nested report as JSON, with the KPI summary of the run if
+    ``kpis`` (of ``of_run``) are given. The lists hold checks, whose number is set by the
+    contracts."""
     check = F.struct(
         "check_no",
         F.col("check_name").alias("name"),
@@ -105,9 +116,13 @@ def run_snapshot(results: DataFrame) -> DataFrame:
     runs = tables.groupBy("run_id", "overall_status", "checked_at").agg(
         F.array_sort(F.collect_list(entry)).alias("tables")
     )
+    parts = ["overall_status", "tables"]
+    if kpis is not None:
+        runs = runs.join(kpis, "run_id", "left")
+        parts.append("kpi_summary")
     return runs.select(
         "run_id",
-        F.to_json(F.struct("overall_status", "tables")).alias("report_json"),
+        F.to_json(F.struct(*parts)).alias("report_json"),
         "overall_status",
         F.col("checked_at").alias("created_at"),
     )
@@ -161,8 +176,15 @@ def decode_snapshot(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def narrative(results: DataFrame, mode: str = "offline") -> DataFrame:
-    """One Markdown report per run, its findings ordered by table and urgency."""
+def decode_kpis(snapshots: DataFrame) -> DataFrame:
+    """The KPI summaries of snapshots, one row per run."""
+    report = F.from_json("report_json", f"kpi_summary STRUCT<{KPI_SCHEMA}>")
+    return snapshots.select("run_id", report["kpi_summary"].alias("kpi")).select("run_id", "kpi.*")
+
+
+def narrative(results: DataFrame, mode: str = "offline", kpis: DataFrame | None = None) -> DataFrame:
+    """One Markdown report per run: the status of the run and of its tables, its lead times
+    if ``kpis`` (of ``of_run``) are given, and findings ordered by table and urgency."""
     finding = F.when(
         F.col("status") != PASS,
         F.struct(
@@ -176,20 +198,52 @@ def narrative(results: DataFrame, mode: str = "offline") -> DataFrame:
         ),
     )
     lines = F.transform(F.array_sort(F.collect_list(finding)), lambda f: f["line"])
-    return (
+    of_table = F.max(severity(F.col("status"))).over(Window.partitionBy("run_id", "table_name"))
+    tables = F.concat(F.lit("- `"), "table_name", F.lit("`: "), status_of(of_table))
+    runs = (
         advised(results)
+        .withColumn("_table", tables)
         .groupBy("run_id", "overall_status", "checked_at")
-        .agg(F.concat_ws("\n", lines).alias("_lines"))
-        .select(
-            "run_id",
-            F.lit(mode).alias("agent_mode"),
-            F.concat(
-                F.lit("## Summary\n\nOverall status: **"), "overall_status",
-                F.lit("**\n\n## Findings\n\n"),
-                F.when(F.col("_lines") == "", F.lit("None.")).otherwise(F.col("_lines")),
-                F.lit("\n"),
-            ).alias("analysis_md"),
-            "overall_status",
-            F.col("checked_at").alias("created_at"),
+        .agg(
+            F.concat_ws("\n", F.array_sort(F.collect_set("_table"))).alias("_tables"),
+            F.concat_ws("\n", lines).alias("_lines"),
         )
     )
+    if kpis is None:
+        lead_times = F.lit("")
+    else:
+        runs = runs.join(kpis, "run_id", "left")
+        lead_times = F.coalesce(_lead_times(), F.lit(""))
+    return runs.select(
+        "run_id",
+        F.lit(mode).alias("agent_mode"),
+        F.concat(
+            F.lit("## Summary\n\nOverall status: **"), "overall_status", F.lit("**\n\n## Tables\n\n"),
+            "_tables", lead_times, F.lit("\n\n## Findings\n\n"),
+            F.when(F.col("_lines") == "", F.lit("None.")).otherwise(F.col("_lines")),
+            F.lit("\n"),
+        ).alias("analysis_md"),
+        "overall_status",
+        F.col("checked_at").alias("created_at"),
+    )
+
+
+def _lead_times() -> Column:
+    """The section on a run's lead times; NULL without a KPI summary."""
+
+    def days(value: Column) -> Column:
+        return F.coalesce(F.concat(value.cast("string"), F.lit(" days")), F.lit("none"))
+
+    kpi = F.col("kpi_summary")
+    by_stage = F.array_sort(F.map_entries(kpi["avg_stage_days_by_stage"]))
+    stages = F.transform(
+        by_stage, lambda e: F.concat(F.lit("\n- Stage `"), e["key"], F.lit("`: "), days(e["value"]))
+    )
+    return F.when(
+        kpi.isNotNull(),
+        F.concat(
+            F.lit("\n\n## Lead times\n\n- End to end: "), days(kpi["avg_e2e_days"]),
+            F.lit("\n- Between stages: "), days(kpi["avg_d2d_days"]),
+            F.concat_ws("", stages),
+        ),
+    )

@@ -87,7 +87,8 @@ def check_tables(
     ``references`` lists ``(child, column, parent, parent_column)`` between silver
     tables. ``bronze_columns`` names the contract columns of each bronze table, so
     that helper columns such as an arrival number are not taken for drift. A table
-    without a stored quarantine is judged by the share of dropped rows instead.
+    without a stored quarantine is judged by the share of dropped rows instead; a
+    reference from or to a table that is not stored is skipped.
     """
     parts = []
     for spec in specs:
@@ -103,8 +104,8 @@ def check_tables(
     for child, column, parent, parent_column in references:
         parts.append(
             checks.check_references(
-                read_layer(spark, layers.silver(child)),
-                read_layer(spark, layers.silver(parent)),
+                read_layer_if_present(spark, layers.silver(child)),
+                read_layer_if_present(spark, layers.silver(parent)),
                 column,
                 parent_column,
             )
@@ -119,13 +120,15 @@ def load_lead_times(
     model: StageModel = LIFE_CYCLE,
     table: str = "movements",
 ) -> None:
-    """Write stage events and the three gold tables from silver movements."""
+    """Write stage events, the three gold tables and the KPI summary from silver movements."""
     silver = read_layer(spark, layers.silver(table))
     write_layer(movement_stage_events(silver, columns, model), layers.silver("stage_events"))
     events = read_layer(spark, layers.silver("stage_events"))
     write_layer(process.stage_lead_times(events), layers.gold("stage_lead_times"))
     write_layer(process.d2d_lead_times(events), layers.gold("d2d_lead_times"))
     write_layer(process.e2e_lead_times(events, model), layers.gold("e2e_lead_times"))
+    gold = [read_layer(spark, layers.gold(f"{kind}_lead_times")) for kind in ("stage", "d2d", "e2e")]
+    write_layer(process.kpi_summary(*gold, model), layers.gold("kpi_summary"))
 
 
 def check_lead_time_layers(
@@ -149,13 +152,14 @@ def check_lead_time_layers(
     return report.result_rows(rows, ctx)
 
 
-def store_and_gate(results: DataFrame, layers: LayerNames) -> None:
-    """Append results, snapshot and narrative to the history, then apply the gate."""
+def store_and_gate(results: DataFrame, layers: LayerNames, kpis: DataFrame | None = None) -> None:
+    """Append results, snapshot and narrative to the history, the latter two with the KPIs
+    of the run (see ``report.of_run``) if given, then apply the gate."""
     with Staging(results.sparkSession) as staging:
         stored = staging.table(results, "dq-results")
         append_history(report.history_rows(stored), layers.history("dq_results"))
-        append_history(report.run_snapshot(stored), layers.history("dq_run_snapshots"))
-        append_history(report.narrative(stored), layers.history("dq_agent_reports"))
+        append_history(report.run_snapshot(stored, kpis), layers.history("dq_run_snapshots"))
+        append_history(report.narrative(stored, kpis=kpis), layers.history("dq_agent_reports"))
         checks.enforce_gate(stored)
 
 
@@ -198,7 +202,8 @@ def run_goods(
     intake = movement_intake(_contract_columns(movements), columns, model)
     summary = load_layers(spark, [TableRun(movements, intake)], layers, ctx)
     load_lead_times(spark, layers, columns, model, intake.name)
-    store_and_gate(check_lead_time_layers(spark, layers, summary, ctx, model), layers)
+    kpis = report.of_run(read_layer(spark, layers.gold("kpi_summary")), ctx)
+    store_and_gate(check_lead_time_layers(spark, layers, summary, ctx, model), layers, kpis)
     return summary
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -26,9 +27,18 @@ ARRIVAL = "_arrival"
 
 
 def land(df: DataFrame, where: str) -> Observation:
-    """Store raw rows with an ``_arrival`` number, so that 'first seen' means the same
-    in every later pass. The number is unique and rises within each input split."""
-    return write_layer(df.withColumn(ARRIVAL, F.monotonically_increasing_id()), where)
+    """Store raw rows with an ``_arrival`` (file, block, number), so that 'first seen'
+    means the same in every later pass. It is unique. Rows of files go by file name, then
+    by their place in the file, however the files are cut and dealt to tasks; other rows
+    by partition."""
+    number = F.monotonically_increasing_id().alias("number")
+    source = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    try:
+        numbered = df.select("*", F.struct(*source, number).alias(ARRIVAL))
+    except AnalysisException:  # no file source
+        place = F.lit("").alias("file"), F.lit(0).cast("long").alias("block")
+        numbered = df.select("*", F.struct(*place, number).alias(ARRIVAL))
+    return write_layer(numbered, where)
 
 
 def append_history(df: DataFrame, where: str) -> None:

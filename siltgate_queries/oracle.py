@@ -7,6 +7,7 @@ EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 REJECTED_AT = "'2024-01-31T00:00:00+00:00'"
 RUN_1, RUN_2 = "20240131T000000Z-00000001", "20240201T000000Z-00000002"
 CLOCK_1 = "TIMESTAMP '2024-01-31 00:00:00'"
+CLOCK_2 = "TIMESTAMP '2024-02-01 00:00:00'"
 ALLOWED = ("pending", "paid", "shipped", "cancelled", "refunded")
 ALLOWED_SQL = ", ".join(f"'{s}'" for s in ALLOWED)
 ALLOWED_JSON = "[" + ",".join(f'"{s}"' for s in ALLOWED) + "]"
@@ -264,7 +265,9 @@ def row(table: str | None, no: int, name: str, status: str, message: str, metric
     )
 
 
-def recon(table: str, judged: str) -> str:
+def recon_of(table: str, counts: str) -> str:
+    """Over ``counts``, a query of one row: b, s, q and br rows of bronze, silver, quarantine
+    and quarantine without a reason."""
     return (
         row(
             table, 1, "quarantine_reconciliation", verdict("s + q = b AND br = 0"),
@@ -273,9 +276,27 @@ def recon(table: str, judged: str) -> str:
             "'{\"bronze_count\":' || b || ',\"silver_count\":' || s || ',\"quarantine_count\":'"
             " || q || ',\"accounted\":' || (s + q) || ',\"blank_rejection_reasons\":' || br || '}'",
         )
-        + f" FROM (SELECT count(*) AS b, count(*) FILTER (reason IS NULL) AS s,"
+        + f" FROM ({counts})"
+    )
+
+
+def recon(table: str, judged: str) -> str:
+    return recon_of(
+        table,
+        f"SELECT count(*) AS b, count(*) FILTER (reason IS NULL) AS s,"
         f" count(*) FILTER (reason IS NOT NULL) AS q,"
-        f" count(*) FILTER (reason IS NOT NULL AND trim(reason) = '') AS br FROM {judged})"
+        f" count(*) FILTER (reason IS NOT NULL AND trim(reason) = '') AS br FROM {judged}",
+    )
+
+
+def damaged(table: str, kept: str, unexplained: str) -> str:
+    """The reconciliation of orders whose silver rows fulfil ``kept`` too, and of whose
+    rejections those with ``unexplained`` have no reason."""
+    return recon_of(
+        table,
+        f"SELECT count(*) AS b, count(*) FILTER (reason IS NULL AND {kept}) AS s,"
+        f" count(*) FILTER (reason IS NOT NULL) AS q,"
+        f" count(*) FILTER (reason IS NOT NULL AND {unexplained}) AS br FROM judged_orders",
     )
 
 
@@ -626,23 +647,30 @@ SELECT '{RUN_1}' AS run_id,
 FROM whole
 """
 
-NARRATIVE = f"""
+def narrative(run_id: str, clock: str) -> str:
+    return f"""
 , checks AS ({RAW_CHECKS}),
 lines AS (
     SELECT table_name, {_advice(0)} AS urgency,
            '- **' || status || '** `' || table_name || '.' || check_name || '`: ' || message
                || ' - ' || {_advice(1)} AS line
-    FROM checks WHERE status <> 'PASS')
-SELECT '{RUN_1}' AS run_id, 'offline' AS agent_mode,
+    FROM checks WHERE status <> 'PASS'),
+tables AS (
+    SELECT '- `' || table_name || '`: ' || {STATUS_OF_TABLE} AS line FROM checks
+    GROUP BY table_name)
+SELECT '{run_id}' AS run_id, 'offline' AS agent_mode,
        '## Summary' || chr(10) || chr(10) || 'Overall status: **'
            || (SELECT {STATUS_OF_TABLE} FROM checks) || '**' || chr(10) || chr(10)
+           || '## Tables' || chr(10) || chr(10)
+           || (SELECT string_agg(line, chr(10) ORDER BY line) FROM tables) || chr(10) || chr(10)
            || '## Findings' || chr(10) || chr(10)
            || coalesce((SELECT string_agg(line, chr(10) ORDER BY table_name, urgency, line)
                         FROM lines), 'None.') || chr(10) AS analysis_md,
        (SELECT {STATUS_OF_TABLE} FROM checks) AS overall_status,
-       {CLOCK_1} AS created_at
+       {clock} AS created_at
 """
 
+
 CUSTOMER_COLUMNS = "customer_id, name, email, country, signup_seq, raw_source, seq"
 ORDER_COLUMNS = (
     "order_id, customer_id, order_date, amount, currency, status, ingested_at, seq"
@@ -679,6 +707,34 @@ ORDER_DRIFT = {
     "silver": ["order_id", "customer_id", "order_date", "amount", "currency", "status"],
 }
 
+KPIS = f"""
+        (SELECT {mean_2('e2e_lead_time_days')} FROM e2e) AS avg_e2e_days,
+               (SELECT {mean_2('d2d_lead_time_days')} FROM d2d) AS avg_d2d_days,
+               (SELECT '{{' || string_agg('"' || stage || '":' || CAST(avg_days AS VARCHAR), ','
+                                          ORDER BY stage) || '}}'
+                FROM (SELECT stage, {mean_2('stage_lead_time_days')} AS avg_days
+                      FROM stage_times GROUP BY stage)) AS avg_stage_days_by_stage,
+               (SELECT count(*) FROM e2e) AS batches_with_e2e,
+               (SELECT count(*) FROM d2d) AS d2d_handoffs,
+               4 AS stage_count_expected
+"""
+
+ORDER_DRIFT_PASSED = "columns dropped bronze to silver: [ingested_at, seq]"
+
+
+def order_drift(table: str) -> str:
+    both = ORDER_DRIFT["bronze"], ORDER_DRIFT["silver"], ORDER_DRIFT["bronze"]
+    told = drift(table, *both, "bronze_orders", ORDER_DRIFT_PASSED, "PASS")
+    return told.replace(",\"rows\":' || n || '}'", "}'").replace(" 1 AS check_no", " 2 AS check_no")
+
+
+def skipped(table: str, absent: str) -> str:
+    return row(
+        table, 1, "referential_integrity_silver", "'PASS'",
+        f"'Skipped referential checks (no {absent} table)'", "'{}'",
+    )
+
+
 ORACLE: dict[str, str] = {
     "dedup_first_seen": """
         SELECT * EXCLUDE (rn) FROM (
@@ -748,6 +804,27 @@ ORACLE: dict[str, str] = {
     "recon_customers": with_steps(recon("customers", "judged_customers"), "judged_customers"),
     "recon_orders": with_steps(recon("orders", "judged_orders"), "judged_orders"),
     "recon_movements": with_steps(movement_recon(1, "movements"), "judged_movements"),
+    "check_stored_layers": with_steps(
+        union(
+            damaged("sound", "true", "false"),
+            damaged("lost_rows", "order_id % 7 <> 0", "false"),
+            damaged("blank_reason", "true", "order_id % 2 = 0"),
+            damaged("no_reason", "true", "true"),
+            delta("no_quarantine", "judged_orders", 50.0, 5.0, 15.0),
+            *[
+                order_drift(case)
+                for case in ("sound", "lost_rows", "blank_reason", "no_reason", "no_quarantine")
+            ],
+            skipped("no_parent", "parent"),
+            skipped("no_child", "child"),
+            references(
+                "silver_orders", "customer_id",
+                "(SELECT * FROM silver_customers WHERE customer_id % 7 <> 0)", "customer_id",
+                "silver", "lost_parents",
+            ),
+        ),
+        "judged_orders", "silver_orders", "silver_customers",
+    ),
     "check_row_count_delta": with_steps(
         union(
             delta("customers", "judged_customers", 50.0, 5.0, 15.0),
@@ -864,19 +941,9 @@ ORACLE: dict[str, str] = {
         " GROUP BY stage",
         "stage_times",
     ),
-    "kpi_summary": with_steps(
-        f"""
-        SELECT (SELECT {mean_2('e2e_lead_time_days')} FROM e2e) AS avg_e2e_days,
-               (SELECT {mean_2('d2d_lead_time_days')} FROM d2d) AS avg_d2d_days,
-               (SELECT '{{' || string_agg('"' || stage || '":' || CAST(avg_days AS VARCHAR), ','
-                                          ORDER BY stage) || '}}'
-                FROM (SELECT stage, {mean_2('stage_lead_time_days')} AS avg_days
-                      FROM stage_times GROUP BY stage)) AS avg_stage_days_by_stage,
-               (SELECT count(*) FROM e2e) AS batches_with_e2e,
-               (SELECT count(*) FROM d2d) AS d2d_handoffs,
-               4 AS stage_count_expected
-        """,
-        "stage_times", "d2d", "e2e",
+    "kpi_summary": with_steps(f"SELECT {KPIS}", "stage_times", "d2d", "e2e"),
+    "kpis_from_snapshot": with_steps(
+        f"SELECT '{RUN_1}' AS run_id, {KPIS}", "judged_movements", "stage_times", "d2d", "e2e"
     ),
     "check_allowed_stages": with_steps(
         bad_stage(1, "'signup', 'view', 'click'"), "stage_events"
@@ -900,18 +967,19 @@ ORACLE: dict[str, str] = {
     ),
     "latest_run_results": with_steps(
         f"""
-        , runs AS (SELECT r.run_id, c.* FROM ({RAW_CHECKS}) c,
-                   (VALUES ('{RUN_1}'), ('{RUN_2}')) AS r(run_id))
-        SELECT table_name, check_name, status, message FROM runs
+        , runs AS (SELECT '{RUN_1}' AS run_id, * FROM ({RAW_CHECKS})
+                   UNION ALL SELECT '{RUN_2}', * FROM ({SHOP_CHECKS}))
+        SELECT run_id, table_name, check_name, status, message FROM runs
         WHERE run_id = (SELECT max(run_id) FROM runs)
         ORDER BY table_name, check_name
         """,
-        *RAW_STEPS,
+        *SHOP_STEPS,
     ),
     "findings_by_table": with_steps(FINDINGS, *RAW_STEPS),
     "report_snapshot_json": with_steps(SNAPSHOT, *RAW_STEPS),
     "findings_from_snapshot": with_steps(FINDINGS, *RAW_STEPS),
-    "narrative_report": with_steps(NARRATIVE, *RAW_STEPS),
+    "narrative_report": with_steps(narrative(RUN_1, CLOCK_1), *RAW_STEPS),
+    "narrative_history_latest": with_steps(narrative(RUN_2, CLOCK_2), *RAW_STEPS),
     "history_append_latest": with_steps(
         f"SELECT '{RUN_2}' AS run_id, table_name, check_name, status, message, metrics_json"
         f" FROM ({SHOP_CHECKS})",

@@ -23,8 +23,9 @@ from siltgate.operators.classify import (
     silver_view,
     union_quarantines,
 )
-from siltgate.plans import goods, shop
+from siltgate.plans import goods, runs, shop
 from siltgate.sources import readers, writers
+from siltgate.sources.layers import LayerNames
 from siltgate.sources.staging import Staging
 from siltgate_queries import bindings as b
 
@@ -106,23 +107,30 @@ def quarantines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
-    """All shop checks; the stored keys are shared between them."""
-    judged = shop_tables(spark, sf)
-    parts = [
-        checks.check_classified(judged["customers"], CUSTOMERS, CUSTOMER_CHECKS),
-        checks.check_classified(judged["orders"], ORDERS, ORDER_CHECKS),
-        checks.check_references(
-            silver_view(judged["orders"], ORDERS),
-            silver_view(judged["customers"], CUSTOMERS),
-            "customer_id",
-            "customer_id",
-        ),
+def stored_shop(spark: SparkSession, sf: str) -> LayerNames:
+    """Customers and orders judged once, with all layers stored."""
+    layers = LayerNames(Staging.until_exit(spark).folder("shop-layers"))
+    tables = [
+        runs.TableRun(b.bronze_customers(spark, sf), CUSTOMERS),
+        runs.TableRun(b.bronze_orders(spark, sf), ORDERS, parent="customers"),
     ]
-    return report.result_rows(checks.union_results(parts), ctx)
+    runs.load_layers(spark, tables, layers, CTX)
+    return layers
+
+
+def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
+    """All shop checks over the stored layers."""
+    return runs.check_tables(
+        spark,
+        [CUSTOMER_CHECKS, ORDER_CHECKS],
+        stored_shop(spark, sf),
+        ctx,
+        {"customers": b.CUSTOMER_BRONZE, "orders": b.ORDER_BRONZE},
+        [("orders", "customer_id", "customers", "customer_id")],
+    )
 
 
-def bronze_results(spark: SparkSession, sf: str) -> DataFrame:
+def bronze_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
     """The shop checks put to the raw tables, which fail most of them."""
     raw_customers, raw_orders = b.bronze_customers(spark, sf), b.bronze_orders(spark, sf)
     customer_rows = checks.evaluate(
@@ -149,14 +157,15 @@ def bronze_results(spark: SparkSession, sf: str) -> DataFrame:
             raw_orders, raw_customers, "customer_id", "customer_id", layer="bronze"
         ),
     ]
-    return report.result_rows(checks.union_results(parts), CTX)
+    return report.result_rows(checks.union_results(parts), ctx)
 
 
 # ------------------------------------------------------- scalar and scan queries
 
 
 def dedup_first_seen(spark: SparkSession, sf: str) -> DataFrame:
-    return dedup.first_rows(b.table(spark, sf, "lineitem"), b.LINE_KEY, b.LINE_ORDER)
+    lines = b.table(spark, sf, "lineitem")
+    return dedup.first_rows(lines, b.LINE_KEY, b.LINE_ORDER, Staging.until_exit(spark))
 
 
 def code_to_stage_map(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,6 +273,42 @@ def recon_movements(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def check_stored_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored order layers, damaged in one way a case, and references between them."""
+    layers = stored_shop(spark, sf)
+    bronze, silver, quarantine, parents = (
+        readers.read_layer(spark, where)
+        for where in (
+            layers.bronze("orders"),
+            layers.silver("orders"),
+            layers.quarantine("orders"),
+            layers.silver("customers"),
+        )
+    )
+    why = F.when(F.col("order_id") % 2 == 0, F.lit(" ")).otherwise(F.col("rejection_reason"))
+    cases = {
+        "sound": (silver, quarantine),
+        "lost_rows": (silver.filter("order_id % 7 <> 0"), quarantine),
+        "blank_reason": (silver, quarantine.withColumn("rejection_reason", why)),
+        "no_reason": (silver, quarantine.drop("rejection_reason")),
+        "no_quarantine": (silver, None),
+    }
+    parts = []
+    for case, (accepted, rejected) in cases.items():
+        spec = CheckSpec(case, ORDERS.bronze_columns, ORDERS.silver_columns, max_drop_pct=50.0)
+        parts.append(checks.check_layers(bronze, accepted, rejected, spec))
+    references = {
+        "no_parent": (silver, None),
+        "no_child": (None, parents),
+        "lost_parents": (silver, parents.filter("customer_id % 7 <> 0")),
+    }
+    for case, (child, parent) in references.items():
+        parts.append(
+            checks.check_references(child, parent, "customer_id", "customer_id", table=case)
+        )
+    return checks.union_results(parts)
+
+
 def check_row_count_delta(spark: SparkSession, sf: str) -> DataFrame:
     """Three tables against three sets of limits."""
     shop_rows = shop_tables(spark, sf)
@@ -542,11 +587,11 @@ def findings_by_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_run_results(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs of the raw checks kept in a history; the later one is shown."""
+    """Two different runs kept in a history, the raw checks and later the silver ones; the
+    later run is shown."""
     folder = Staging.until_exit(spark).folder("history-results")
-    runs = F.explode(F.array(F.lit(CTX.run_id), F.lit(LATER.run_id)))
-    both = report.history_rows(bronze_results(spark, sf)).withColumn("run_id", runs)
-    writers.append_history(both, folder)
+    for results in (shop_results(spark, sf, LATER), bronze_results(spark, sf)):
+        writers.append_history(report.history_rows(results), folder)
     return report.latest_run(readers.read_history(spark, folder))
 
 
@@ -574,6 +619,31 @@ def history_append_latest(spark: SparkSession, sf: str) -> DataFrame:
     return report.decode_snapshot(newest)
 
 
+def narrative_history_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs' narratives appended to a stored history, then the newest read back."""
+    folder = Staging.until_exit(spark).folder("history-narratives")
+    for results in (bronze_results(spark, sf, LATER), shop_results(spark, sf)):
+        writers.append_history(report.narrative(results), folder)
+    newest = report.latest_snapshot(readers.read_history(spark, folder))
+    return newest.select("run_id", "agent_mode", "analysis_md", "overall_status", "created_at")
+
+
+def kpis_from_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole run over movements, judged, folded, stored and checked; its KPIs are read
+    back from the snapshot in the history."""
+    layers = LayerNames(Staging.until_exit(spark).folder("goods-layers"))
+    bronze = runs.TableRun(b.bronze_movements(spark, sf), MOVEMENTS)
+    summary = runs.load_layers(spark, [bronze], layers, CTX)
+    runs.load_lead_times(spark, layers, b.EVENT_COLUMNS, b.EVENT_STAGES)
+    results = runs.check_lead_time_layers(spark, layers, summary, CTX, b.EVENT_STAGES)
+    kpis = report.of_run(readers.read_layer(spark, layers.gold("kpi_summary")), CTX)
+    writers.append_history(report.run_snapshot(results, kpis), layers.history("dq_run_snapshots"))
+    stored = readers.read_history(spark, layers.history("dq_run_snapshots"))
+    return report.decode_kpis(stored).withColumn(
+        "avg_stage_days_by_stage", F.to_json("avg_stage_days_by_stage")
+    )
+
+
 REGISTRY: dict[str, Query] = {
     "dedup_first_seen": dedup_first_seen,
     "code_to_stage_map": code_to_stage_map,
@@ -592,6 +662,7 @@ REGISTRY: dict[str, Query] = {
     "recon_customers": recon_customers,
     "recon_orders": recon_orders,
     "recon_movements": recon_movements,
+    "check_stored_layers": check_stored_layers,
     "check_row_count_delta": check_row_count_delta,
     "check_schema_drift": check_schema_drift,
     "check_null_pct": check_null_pct,
@@ -625,6 +696,8 @@ REGISTRY: dict[str, Query] = {
     "findings_from_snapshot": findings_from_snapshot,
     "narrative_report": narrative_report,
     "history_append_latest": history_append_latest,
+    "narrative_history_latest": narrative_history_latest,
+    "kpis_from_snapshot": kpis_from_snapshot,
     "scan_csv_roundtrip": scan_csv_roundtrip,
     "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
 }

@@ -153,6 +153,18 @@ def test_first_rows_keeps_one_of_identical_copies(spark):
     assert [tuple(r) for r in dedup.first_rows(df, ["k"], ["o"]).collect()] == [("a", 1, "w")]
 
 
+def test_ties_fall_to_the_remaining_columns(spark):
+    df = spark.createDataFrame(
+        [(1, 5, "b", {"x": 1}), (1, 5, "a", {"x": 2}), (1, 6, "c", {}), (None, None, "d", None),
+         (None, None, "d", None), (2, 1, "e", None)],
+        "k INT, o INT, v STRING, m MAP<STRING, INT>",
+    )
+    marked = dedup.mark_repeats(df, ["k"], ["o"])
+    assert marked.count() == 6
+    kept = marked.filter("NOT _repeat").collect()
+    assert sorted((str(r.k), r.v) for r in kept) == [("1", "a"), ("2", "e"), ("None", "d")]
+
+
 # ------------------------------------------------------------------- classify
 
 
@@ -475,3 +487,10 @@ def test_attributes_take_earliest_value_present(spark):
         order_by=("event_ts", "qty"),
     ).collect()[0]
     assert (row.uom, row.line_count, row.total_quantity, row.stage_order) == ("w", 3, 6.0, 1)
+
+
+def test_references_of_absent_tables_are_skipped(spark):
+    one = spark.range(3)
+    for child, parent in ((None, one), (one, None), (None, None)):
+        found = only(checks.check_references(child, parent, "id", "id"), table_name="_cross_")
+        assert found.status == "PASS" and found.message.startswith("Skipped")

@@ -111,6 +111,13 @@ def test_lead_time_run(spark, tmp_path):
     assert {r.overall_status for r in stored.collect()} == {"WARN"}
     found = {r.check_name: r.advice for r in report.findings(results).collect()}
     assert list(found) == ["d2d_target_breach"] and found["d2d_target_breach"]
+    snapshots = readers.read_history(spark, layers.history("dq_run_snapshots"))
+    kpis = report.decode_kpis(snapshots).first()
+    assert (kpis.run_id, kpis.batches_with_e2e, kpis.d2d_handoffs) == (FIRST.run_id, 2, 24)
+    assert len(kpis.avg_stage_days_by_stage) == 12 and kpis.avg_d2d_days > 0
+    story = readers.read_history(spark, layers.history("dq_agent_reports")).first().analysis_md
+    assert f"- Between stages: {kpis.avg_d2d_days} days" in story
+    assert "- Stage `customer`: " in story and "- `lead_time`: WARN" in story
 
 
 def test_staged_tables_are_removed(spark):
@@ -272,3 +279,43 @@ def test_unknown_checks_are_told(spark):
     with pytest.raises(checks.QualityGateError) as gate:
         checks.enforce_gate(results)
     assert all(f"t.ledger_{n}:" in str(gate.value) for n in range(9))
+
+
+def test_runs_in_table_form(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silt_runs")
+    layers = LayerNames("silt_runs", as_tables=True)
+    people = customers_of(spark, tmp_path)
+    orders = samples.stored(spark, tmp_path, "orders", samples.ORDERS, samples.ORDER_SCHEMA)
+    for run in ("007", "2024-01-31", "007"):
+        runs.run_shop(spark, people, orders, layers, RunContext(run, FIRST.now))
+    moves = samples.stored(spark, tmp_path, "moves", samples.movements_text(), samples.MOVEMENT_SCHEMA)
+    runs.run_goods(spark, moves, layers, RunContext("008", SECOND.now))
+    history = readers.read_history(spark, layers.history("dq_results"))
+    counts = {r.run_id: r["count"] for r in history.groupBy("run_id").count().collect()}
+    assert counts == {"007": 18, "2024-01-31": 18, "008": 10}
+    for table in ("dq_run_snapshots", "dq_agent_reports"):
+        kept = readers.read_history(spark, layers.history(table)).collect()
+        assert sorted(r.run_id for r in kept) == ["007", "008", "2024-01-31"]
+    assert readers.read_layer(spark, layers.silver("customers")).count() == 3
+    spark.sql("DROP DATABASE silt_runs CASCADE")
+
+
+@pytest.mark.parametrize("first_rows, second_rows", [(1, 400), (400, 1)])
+def test_arrival_follows_names_and_not_sizes(spark, tmp_path, first_rows, second_rows):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name, rows in (("a.csv", first_rows), ("b.csv", second_rows)):
+        lines = [f"1,{name}", *[f"{name}{n},x" for n in range(rows)]]
+        (source / name).write_text("\n".join(["k,v", *lines]) + "\n")
+    where = str(tmp_path / "landed")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "600")
+        writers.land(readers.read_csv(spark, str(source), "k STRING, v STRING"), where)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    landed = readers.read_layer(spark, where)
+    assert landed.filter("k = '1'").orderBy("_arrival").first().v == "a.csv"
+    numbered = landed.filter("v = 'x'").orderBy("_arrival").collect()
+    wanted = [f"{f}{n}" for f, n in (("a.csv", first_rows), ("b.csv", second_rows)) for n in range(n)]
+    assert [r.k for r in numbered] == wanted

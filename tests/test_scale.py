@@ -109,11 +109,37 @@ def test_split_without_broadcast(spark, hot, parents):
             spark.conf.set(name, value)
 
 
-def test_hot_key_leaves_each_map_task_once(spark, hot):
-    """Folding happens before the exchange: a hot key becomes one row per input task."""
-    first = dedup.first_rows(hot.repartition(4), ["k"], ["o"])
-    plan = formatted(first)
-    assert plan.index("partial_min") > plan.index("Exchange hashpartitioning(k")
+def test_rows_of_unique_keys_cross_no_exchange(spark, hot):
+    few = hot.filter("k > 0").unionByName(hot.filter("k > 0 AND k < 40").withColumn("o", F.lit(-1)))
+    with Staging(spark) as staging:
+        first = dedup.first_rows(few, ["k"], ["o"], staging)
+        assert "Exchange hashpartitioning" not in formatted(first)
+        assert first.count() == first.select("k").distinct().count()
+        assert first.filter("k < 40 AND o >= 0").isEmpty()
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_hot_ties_leave_one_row(spark, partitions):
+    """A third of the rows are one row repeated, a third one key at one position."""
+    i = F.col("id")
+    rows = spark.range(6000).select(
+        F.when(i % 3 == 0, -1).when(i % 3 == 1, -2).otherwise(i).alias("k"),
+        F.lit(1).alias("o"),
+        F.when(i % 3 == 0, 0).otherwise(i).alias("v"),
+    )
+    with Staging(spark) as staging:
+        marked = dedup.mark_repeats(rows.repartition(partitions), ["k"], ["o"], staging)
+        assert marked.count() == 6000
+        kept = marked.filter("NOT _repeat")
+        assert kept.count() == kept.select("k").distinct().count() == 2002
+        assert kept.filter("k = -2").first().v == 1
+
+
+def test_distinct_counts_are_taken_apart(spark):
+    df = spark.read.parquet(f"{SF_DIR}/customer.parquet")
+    columns = ["c_custkey", "c_name"]
+    plan = formatted(checks.evaluate(checks.as_silver(df), checks.uniqueness(df, columns)))
+    assert "Expand" not in plan and plan.count("FileScan parquet") == 3
 
 
 def test_count_unmatched_folds_before_joining(hot, parents):
