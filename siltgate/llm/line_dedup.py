@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siltgate.llm.common import maybe_in
 from siltgate.sources.staging import Staging
 
+PASSAGE_WORDS = 50  # a repeated run of whole lines of as many words is a repeated passage
 LINE_END = "(?<=[.!?\\n])"
 
 
@@ -53,9 +54,38 @@ def chunk_spans(hashed: Column, divisor: int) -> Column:
     return F.when(F.size(hashed) < 2, none).otherwise(_let(hashed, spans))
 
 
-def _chunks(docs: DataFrame, divisor: int, with_bytes: bool = False) -> DataFrame:
+def passage_spans(units: Column, words: int) -> Column:
+    """(s, e) of each run of lines from the line of a word to that of the ``words``-th word
+    from it, at most two for a line.
+
+    A run depends on its own lines only, so a shared run of lines of ``words`` words or
+    more shares them all, and each of its lines is in one of them.
+    """
+    base = F.lit(1 << 32)
+
+    def spans(line: Column) -> Column:
+        starts = F.greatest(F.size(line) - (words - 1), F.lit(0))
+        coded = F.zip_with(
+            F.slice(line, F.lit(1), starts),
+            F.slice(line, F.lit(words), starts),
+            lambda s, e: s.cast("long") * base + e,
+        )
+        return F.transform(
+            F.array_distinct(coded),  # of longs, which it hashes, not of structs
+            lambda c: F.struct(
+                F.shiftright(c, 32).cast("int").alias("s"), F.pmod(c, base).cast("int").alias("e")
+            ),
+        )
+
+    of_word = F.transform(units, lambda u, i: F.array_repeat(i, F.regexp_count(u, F.lit("\\S+"))))
+    return _let(F.flatten(of_word), spans)
+
+
+def _chunks(
+    docs: DataFrame, divisor: int, passage_words: int | None, with_bytes: bool = False
+) -> DataFrame:
     """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes;
-    on demand also its bytes."""
+    on demand also ``bytes``, the SHA-256 of its bytes."""
 
     def shown(u: Column, h: Column, c: Column) -> Column:
         place, size = c["s"] + 1, c["e"] - c["s"] + 1
@@ -65,14 +95,16 @@ def _chunks(docs: DataFrame, divisor: int, with_bytes: bool = False) -> DataFram
             F.xxhash64(F.slice(h, place, size)).alias("chunk"),
         ]
         if with_bytes:
-            fields.append(F.array_join(F.slice(u, place, size), "").alias("bytes"))
+            fields.append(F.unhex(F.sha2(F.array_join(F.slice(u, place, size), ""), 256)).alias("bytes"))
         return F.struct(*fields)
 
+    def spans(u: Column, h: Column) -> Column:
+        if passage_words is None:
+            return chunk_spans(h, divisor)
+        return F.concat(chunk_spans(h, divisor), passage_spans(u, passage_words))
+
     def made(u: Column) -> Column:
-        return _let(
-            line_hashes(u),
-            lambda h: F.transform(chunk_spans(h, divisor), lambda c: shown(u, h, c)),
-        )
+        return _let(line_hashes(u), lambda h: F.transform(spans(u, h), lambda c: shown(u, h, c)))
 
     return docs.select("_doc", "_text", F.inline(_let(lines(F.col("_body")), made)))
 
@@ -89,20 +121,23 @@ def remove_repeated_chunks(
     divisor: int = 2,
     least_words: int = 8,
     whole_from: float | None = None,
+    passage_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with two columns more and ``text`` without the chunks of lines that occur
     earlier: ``lines_removed`` and ``chars_removed``.
 
     Lines end at line breaks and sentence ends. Of a chunk that occurs repeatedly,
     within one text or several, the first occurrence stays: the least doc_id (NULL
-    first), then the least place. The others are removed if the bytes of all equal the
-    first's. A shared passage loses what lies between its first and its last boundary,
+    first), then the least place. The others are removed if the bytes of all, told by
+    their SHA-256, equal the first's. A shared passage loses what lies between its first and its last boundary,
     at a ``divisor`` of 2 all but a line at either end on average. A chunk of fewer than
-    ``least_words`` words stays, as chance repeats it. With ``whole_from``, a
+    ``least_words`` words stays, as chance repeats it. With ``passage_words``, the shortest
+    runs of lines of that many words are chunks too, from every line on: each repeated
+    run of whole lines of ``passage_words`` or more goes whole, one line included. With ``whole_from``, a
     document of which at least that share of characters would go is left as it is: it
     is a copy of a document, not the host of a passage.
 
-    A NULL text stays NULL, an empty one empty; one line has no chunk. Rows of equal
+    A NULL text stays NULL, an empty one empty; one line is no chunk but as a passage. Rows of equal
     doc_id and text count as one document and get the same text. Extra columns pass
     through; an empty table stays empty.
 
@@ -122,9 +157,10 @@ def remove_repeated_chunks(
         F.xxhash64("text").alias("_text"),
     )
     bodies = named.select(*keys, F.coalesce(F.col("_in")["text"], F.lit("")).alias("_body"))
-    counted = _chunks(bodies, divisor).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
+    counted = _chunks(bodies, divisor, passage_words).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
     repeated = staging.table(counted.filter("n > 1").select("chunk"), "repeated-chunks")
-    shown = maybe_in(_chunks(bodies, divisor, True), "chunk", repeated, "chunk", repeated.count())
+    shown = _chunks(bodies, divisor, passage_words, True)
+    shown = maybe_in(shown, "chunk", repeated, "chunk", repeated.count())
     folder = staging.folder("chunk-places")
     shown.filter("_possible").drop("_possible").write.option("compression", "zstd").parquet(folder)
     places = docs.sparkSession.read.parquet(folder)

@@ -99,7 +99,9 @@ def op6_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_repeated_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.remove_repeated_chunks(docs, Staging.until_exit(spark))
+    return line_dedup.remove_repeated_chunks(
+        docs, Staging.until_exit(spark), passage_words=line_dedup.PASSAGE_WORDS
+    )
 
 
 def op8_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
