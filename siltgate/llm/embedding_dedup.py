@@ -100,14 +100,46 @@ class MultiIndex:
         sums = (left[0][:, None] + right[0][None, :]).ravel()
         return int((sums <= sums[cell]).sum())
 
-    def calibrate(self, found: list[tuple[np.ndarray, np.ndarray]], recall: float, least: int) -> None:
-        """Visit as many cells as reach ``recall`` of the given true pairs."""
-        ranks = sorted(self.rank(a, int(self.cells(b[None])[0])) for a, b in found)
-        if ranks:
-            least = max(least, ranks[min(len(ranks) - 1, int(recall * len(ranks)))])
+    def calibrate(
+        self,
+        found: list[tuple[np.ndarray, np.ndarray]],
+        recall: float,
+        least: int,
+        planted: tuple[np.ndarray, np.ndarray] | None = None,
+        floor: float = 0.95,
+    ) -> None:
+        """Visit as many cells as reach ``recall`` of the given true pairs, and ``floor`` of
+        the ``planted`` ones, which a search from either end finds."""
+        ranks = [self.rank(a, int(self.cells(b[None])[0])) for a, b in found]
+        least = max(least, upper_quantile(ranks, recall))
+        if planted is not None:
+            ends = zip(*planted, self.cells(planted[0]), self.cells(planted[1]), strict=True)
+            ranks = [min(self.rank(a, int(y)), self.rank(b, int(x))) for a, b, x, y in ends]
+            least = max(least, upper_quantile(ranks, floor))
         self.visits = min(least, len(self.books[0]) * len(self.books[1]))
 
 
+def upper_quantile(ranks: list[int], share: float) -> int:
+    """The quantile with two standard errors on top; 0 for no ranks."""
+    if not ranks:
+        return 0
+    n = len(ranks)
+    return sorted(ranks)[min(n - 1, int(share * n + 2 * np.sqrt(n * share * (1 - share))))]
+
+
+def planted_pairs(
+    units: np.ndarray, lengths: np.ndarray, cosine: float, seed: int = 5
+) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors, and for each one at ``cosine`` from it in a random direction: the pairs that
+    are hardest to find. Vectors of one component have no such direction."""
+    units, lengths = units[lengths > 1], lengths[lengths > 1]
+    away = np.random.default_rng(seed).normal(size=units.shape)
+    away[np.arange(units.shape[1])[None, :] >= lengths[:, None]] = 0
+    away -= (away * units).sum(axis=1, keepdims=True) * units
+    away /= np.sqrt((away * away).sum(axis=1, keepdims=True))
+    return units, cosine * units + np.sqrt(1 - cosine * cosine) * away
+
+
 def usable(column: str) -> F.Column:
     """Whether a vector can link: not NULL, empty or zero, all components finite."""
     return F.coalesce(
@@ -126,6 +158,9 @@ def link_vectors(
     recall: float = 0.99,
     sample_rows: int = 8_000,
     probe_rows: int = 400,
+    more_probes: int = 4_000,
+    enough_pairs: int = 200,
+    planted_rows: int = 1_000,
     cell_rows: int = 8,
     block_rows: int = 2_000,
     book_most: int = 512,
@@ -135,7 +170,10 @@ def link_vectors(
     ``classes`` has (node, vector) with distinct, usable vectors. The codebooks are
     fitted on at most ``sample_rows`` vectors, those of least hash; at most
     ``probe_rows`` of them are compared with all vectors by brute force, which sets how
-    many cells a search must visit to find ``recall`` of the pairs. Every vector is
+    many cells a search must visit to find ``recall`` of the pairs; where fewer than
+    ``enough_pairs`` pairs are met, ``more_probes`` are compared. Whatever is met, as
+    many cells are visited as find 0.95 of pairs planted at ``cosine`` about
+    ``planted_rows`` vectors that are not fitted, if there are others. Every vector is
     indexed in its cell and searches from its own. Cells hold about ``cell_rows``
     vectors: the books grow with the square root of the table, up to ``book_most``
     centres. A cell with more than ``block_rows`` vectors or searches is split into
@@ -146,13 +184,17 @@ def link_vectors(
     empty = spark.createDataFrame([], f"a {_kind(classes)}, b {_kind(classes)}")
     if total < 2:
         return empty
-    sample = classes.orderBy(F.xxhash64("node")).limit(sample_rows).toPandas()
+    sample = classes.orderBy(F.xxhash64("node")).limit(sample_rows + planted_rows).toPandas()
     units = unit_rows(sample["vector"].tolist(), width)
     size = int(min(book_most, max(2, np.sqrt(total / cell_rows))))
-    index = MultiIndex(units, size)
-    index.calibrate(
-        _true_pairs(classes, sample[:probe_rows], units[:probe_rows], cosine), recall, least=4
-    )
+    index = MultiIndex(units[:sample_rows], size)
+    lengths = sample["vector"].map(len).to_numpy()[-planted_rows:]
+    planted = planted_pairs(units[-planted_rows:], lengths, cosine)
+    for probes in (probe_rows, more_probes):
+        pairs = _true_pairs(classes, sample[:probes], units[:probes], cosine)
+        if len(pairs) >= enough_pairs or len(sample) <= probes:
+            break
+    index.calibrate(pairs, recall, 4, planted)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row for the vector in its cell and one for every cell that it searches."""
@@ -232,12 +274,12 @@ def _true_pairs(
     classes: DataFrame, probes: pd.DataFrame, units: np.ndarray, cosine: float
 ) -> list[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a probe and any vector within ``cosine``, by comparing all: at most 200
-    of each Arrow batch and probe set come back, enough to see where they lie."""
+    of each 1,000 vectors and probe set come back, enough to see where they lie."""
     names, width = probes["node"].to_numpy(), units.shape[1]
     lengths = probes["vector"].map(len).to_numpy()
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b[at : at + 1000] for b in batches for at in range(0, len(b), 1000)):
             own = unit_rows(batch["vector"].tolist(), width)
             alike = (own @ units.T >= cosine) & (batch["node"].to_numpy()[:, None] != names[None, :])
             alike &= batch["vector"].map(len).to_numpy()[:, None] == lengths[None, :]
