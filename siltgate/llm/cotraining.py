@@ -171,7 +171,7 @@ def _features(batch: pa.RecordBatch) -> tuple[list, list]:
     return text, meta
 
 
-FEATURES = "label double, held boolean, words array<int>, shares array<double>, meta array<float>"
+FEATURES = "doc_id long, label double, held boolean, words array<int>, shares array<double>, meta array<float>"
 
 
 def train(
@@ -201,23 +201,36 @@ def train(
     order = F.xxhash64("doc_id")
     all_docs = _slim(docs)
     fields = ["doc_id", "text", "lang", "source", "n_chars", "label"]
-    # Ids first, so that no text takes part in choosing the rows.
-    ids = all_docs.select("doc_id").join(known.filter("label IS NOT NULL"), F.col("doc_id") == F.col("_labelled"))
+    # Ids first, each once, so that no text takes part in choosing the rows and no id's
+    # copies fill the limits.
+    every = all_docs.select("doc_id").distinct()
+    ids = every.join(known.filter("label IS NOT NULL"), F.col("doc_id") == F.col("_labelled"))
     chosen = ids.select("doc_id", "label").orderBy(order, "doc_id").limit(labelled_rows)
     others = (
-        all_docs.select("doc_id")
-        .join(known, F.col("doc_id") == F.col("_labelled"), "left_anti")
+        every.join(known, F.col("doc_id") == F.col("_labelled"), "left_anti")
         .select("doc_id", F.lit(None).cast("double").alias("label"))
         .orderBy(order, "doc_id")
         .limit(pool_rows)
     )
-    wanted = chosen.union(others).dropDuplicates(["doc_id"])
+    wanted = F.broadcast(chosen.union(others))
+    # Of the rows of one id the one of least hash: here once for each task, then once.
+    row = F.xxhash64("text", "lang", "source", "n_chars")
+    least = (
+        all_docs.withColumn("_row", row)
+        .join(wanted, "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("_row").alias("_row"))
+    )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
+            new = [i not in seen and not seen.add(i) for i in batch["doc_id"].to_pylist()]
+            batch = batch.filter(pa.array(new, type=pa.bool_()))
             text, meta = _features(batch)
             held = [xxhash.xxh32_intdigest(str(i), 5) % 5 == 0 for i in batch["doc_id"]]
             columns = [
+                batch["doc_id"],
                 batch["label"],
                 pa.array(held, type=pa.bool_()),
                 pa.array([t[0] for t in text], type=pa.list_(pa.int32())),
@@ -225,13 +238,15 @@ def train(
                 pa.array([m[1] for m in meta], type=pa.list_(pa.float32())),
             ]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["label", "held", "words", "shares", "meta"]
+                columns, names=["doc_id", "label", "held", "words", "shares", "meta"]
             )
 
     sample = (
-        all_docs.join(F.broadcast(wanted), "doc_id")
+        all_docs.withColumn("_row", row)
+        .join(F.broadcast(least), ["doc_id", "_row"])
         .select(*fields)
         .mapInArrow(make, FEATURES)
+        .dropDuplicates(["doc_id"])
         .toPandas()
     )
     return fit_views(sample, rounds, confident, most_new)
