@@ -177,8 +177,8 @@ FEATURES = "doc_id long, label double, held boolean, words array<int>, shares ar
 def train(
     docs: DataFrame,
     labels: DataFrame,
-    labelled_rows: int = 4_000,
-    pool_rows: int = 2_000,
+    labelled_rows: int = 6_000,
+    pool_rows: int = 4_000,
     rounds: int = 3,
     confident: float = 0.97,
     most_new: float = 0.25,
@@ -247,9 +247,26 @@ def train(
         .select(*fields)
         .mapInArrow(make, FEATURES)
         .dropDuplicates(["doc_id"])
-        .toPandas()
+        .toArrow()
     )
-    return fit_views(sample, rounds, confident, most_new)
+    return fit_views(_frame(sample), rounds, confident, most_new)
+
+
+def _frame(sample: pa.Table) -> pd.DataFrame:
+    """Rows of ``FEATURES`` whose lists are views of Arrow's own buffers, without a copy."""
+    sample = sample.combine_chunks()
+
+    def parts(column: str) -> list[np.ndarray]:
+        chunks = sample[column].chunks
+        return [
+            values[start - offsets[0] : end - offsets[0]]
+            for c in chunks
+            for values, offsets in [(c.flatten().to_numpy(zero_copy_only=False), c.offsets.to_numpy())]
+            for start, end in zip(offsets[:-1], offsets[1:], strict=True)
+        ]
+
+    flat = sample.select(["label", "held"]).to_pandas()
+    return flat.assign(**{c: pd.Series(parts(c), dtype=object) for c in ("words", "shares", "meta")})
 
 
 def fit_views(

@@ -30,3 +30,13 @@ def test_copies_of_an_id_are_one_row(spark, monkeypatch):
     assert len(rows) == 180 and rows["label"].notna().sum() == 120
     plain = sampled(monkeypatch, docs, labels, **limits)
     assert len(plain) == 180 and np.isclose(plain["label"].sum(), rows["label"].sum())
+
+
+def test_all_of_six_thousand_labelled_rows_are_learned_from(spark, monkeypatch):
+    docs = spark.range(11_000).selectExpr(
+        "id AS doc_id", "concat('word ', id) AS text", "'en' AS lang", "'a' AS source", "6L AS n_chars"
+    )
+    labels = spark.range(6_500).selectExpr("id AS doc_id", "int(id % 2) AS quality", "0 AS toxic")
+    rows = sampled(monkeypatch, docs, labels)
+    assert rows["label"].notna().sum() == 6_000 and len(rows) == 10_000
+    assert all(len(w) == 2 and w.dtype == np.int32 for w in rows["words"])
