@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 from siltgate.llm import (
     cotraining,
     embedding_dedup,
+    hard_negatives,
     line_dedup,
     ngram_scoring,
     packing,
     piece_codec,
     sharding,
     simhash_dedup,
+    spelling_variants,
+    superkmer_dedup,
     url_filter,
     winnowing,
 )
@@ -124,6 +127,23 @@ def op10_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score_documents(docs, model)
 
 
+def op11_pivotal_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling_variants.group_variants(docs, Staging.until_exit(spark))
+
+
+def op12_packed_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hard_negatives.mine_hard_negatives(vectors, Staging.until_exit(spark))
+
+
+def op13_superkmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = superkmer_dedup.remove_repeated_windows(docs, Staging.until_exit(spark))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return edited.select("doc_id", "n_words", "n_removed", kept)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -137,6 +157,9 @@ QUERIES = {
         op8_url_verdicts,
         op9_deleted_interpolation,
         op10_cotrained_quality,
+        op11_pivotal_spelling_variants,
+        op12_packed_hard_negatives,
+        op13_superkmer_windows,
     )
 }
 
