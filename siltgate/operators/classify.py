@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltgate.context import RunContext
 from siltgate.contracts import Intake
@@ -13,6 +14,7 @@ from siltgate.operators.lookups import UNMATCHED, mark_unmatched
 from siltgate.sources.staging import Staging
 
 REASON = "_reason"
+SILVER, QUARANTINE = "silver", "quarantine"
 
 
 def classify(
@@ -76,6 +78,35 @@ def split(
     return silver_view(classified, intake), quarantine_view(classified, intake, ctx)
 
 
+def layered(
+    classified: DataFrame, intake: Intake, ctx: RunContext
+) -> tuple[DataFrame, dict[str, T.StructType]] | None:
+    """Silver and quarantine as one table: every row under the columns of both, NULL
+    where its layer has none, and ``_layer``. With it the columns of each layer. None if
+    the layers hold a column of one name under two types."""
+    views = dict(zip((SILVER, QUARANTINE), split(classified, intake, ctx), strict=True))
+    schemas = {layer: view.schema for layer, view in views.items()}
+    kinds: dict[str, T.DataType] = {}
+    for schema in schemas.values():
+        for f in schema.fields:
+            if kinds.setdefault(f.name, f.dataType) != f.dataType:
+                return None
+    accepted = F.col(REASON).isNull()
+    rejected = {"rejection_reason": F.col(REASON), "rejected_at": F.lit(ctx.iso_now)}
+
+    def value(name: str) -> Column:
+        as_silver = F.expr(intake.fills[name]) if name in intake.fills else F.col(name)
+        if name not in schemas[QUARANTINE].names:
+            return F.when(accepted, as_silver)
+        as_rejected = rejected[name] if name in rejected else F.col(name)
+        if name not in schemas[SILVER].names:
+            return F.when(~accepted, as_rejected)
+        return F.when(accepted, as_silver).otherwise(as_rejected) if name in intake.fills else F.col(name)
+
+    layer = F.when(accepted, SILVER).otherwise(QUARANTINE)
+    return classified.select(*[value(c).alias(c) for c in kinds], layer.alias("_layer")), schemas
+
+
 def layer_summary(classified: DataFrame, table: str) -> DataFrame:
     """One row: bronze, silver and quarantine counts of a table, in one pass."""
     return classified.agg(

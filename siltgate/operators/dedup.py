@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from siltgate.sources.staging import Staging
 
 REPEAT = "_repeat"
+ARRIVAL = "_arrival"  # what ``land`` numbers rows by; no two rows share one
 
 
 def first_rows(
@@ -31,17 +32,18 @@ def mark_repeats(
 ) -> DataFrame:
     """Every row of ``df`` plus ``_repeat``: true unless the row is its key's first.
 
-    1. (key, order) alone is aggregated to the first position of every key that
-       occurs more than once; unique keys drop out here. The key table is stored.
+    1. Keys and order columns alone are scanned once and folded to the first position of
+       every key that occurs more than once, and whether several rows have it; unique
+       keys drop out here. The key table is stored.
     2. The rows are left-joined to those keys, whose size is known when the join is
        planned: if it is small, the wide rows are neither shuffled nor sorted. Otherwise
        it is a sort-merge join whose hot partitions Spark splits.
-    3. Keys with several rows at their first position are looked for among the repeated
-       ones. If there are any, their tied rows are stored with a number, and the least by
-       the remaining columns, then by the number, is the first (``_break_ties``).
+    3. Where a key has several rows at its first position, those rows are stored with a
+       number, and the least by the remaining columns, then by the number, is the
+       first (``_break_ties``).
 
     So each key, NULL being one like any other, has exactly one unmarked row. ``df`` is
-    read several times and must give the same rows each time; tables of a run without
+    read twice and must give the same rows each time; tables of a run without
     ``staging`` stay until the driver program ends.
 
     The join compares keys null-safely. That matches the grouping (NULL is a
@@ -51,22 +53,13 @@ def mark_repeats(
     """
     staging = staging or Staging.until_exit(df.sparkSession)
     keys = [f"_key{i}" for i in range(len(key))]
-    order, first = _order_and_first(df, order_by)
-    repeated = staging.table(
-        df.groupBy(*[F.col(k).alias(a) for k, a in zip(key, keys, strict=True)])
-        .agg(first.alias("_first"), F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-        .select(*keys, "_first", F.lit(True).alias("_seen_again")),
-        "repeated-keys",
-    )
-    joined = df.join(repeated, _same_key(key, keys), "left").withColumn(
+    repeated = staging.table(_repeated_keys(df, key, order_by, keys), "repeated-keys")
+    order = _order(df, order_by)
+    joined = df.join(repeated.drop("_tied"), _same_key(key, keys), "left").withColumn(
         "_at_first", F.col("_seen_again").isNotNull() & order.eqNullSafe(F.col("_first"))
     )
-    tied = staging.table(
-        joined.filter("_at_first").groupBy(*keys).count().filter("count > 1").select(*keys),
-        "tied-keys",
-    )
     repeat = (F.col("_seen_again").isNotNull() & ~F.col("_at_first")).alias(REPEAT)
+    tied = repeated.filter("_tied").select(*keys)
     if tied.isEmpty():
         return joined.select(*df.columns, repeat)
     placed = joined.join(_renamed(tied), _same_key(keys, [f"_tied{k}" for k in keys]), "left")
@@ -74,6 +67,35 @@ def mark_repeats(
     return alone.union(_break_ties(placed.filter("_at_first AND _is_tied"), df, key, staging))
 
 
+def _repeated_keys(
+    df: DataFrame, key: Sequence[str], order_by: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """(keys, _first, _tied, _seen_again) of the keys that occur more than once.
+
+    Rows are counted by key and position first, then a key's least position is taken with
+    its count, so one scan tells the ties too. Where positions are unique by
+    construction a key folds at once."""
+    order = _order(df, order_by)
+    slim = df.select(
+        *[F.col(k).alias(a) for k, a in zip(key, keys, strict=True)], order.alias("_order")
+    )
+    if list(order_by) == [ARRIVAL]:
+        slim = slim.withColumn("_n", F.lit(1).cast("long"))
+    else:
+        slim = slim.groupBy(*keys, "_order").agg(F.count(F.lit(1)).alias("_n"))
+    # NULL comes first, as in an ordering; a struct is never NULL.
+    has_null = F.max(F.col("_order").isNull())
+    at_null = F.max(F.when(F.col("_order").isNull(), F.col("_n")))
+    folded = slim.groupBy(*keys).agg(
+        F.when(~has_null, F.min("_order")).alias("_first"),
+        F.when(has_null, at_null).otherwise(F.min_by("_n", "_order")).alias("_alike"),
+        F.sum("_n").alias("_copies"),
+    )
+    return folded.filter("_copies > 1").select(
+        *keys, "_first", (F.col("_alike") > 1).alias("_tied"), F.lit(True).alias("_seen_again")
+    )
+
+
 def _break_ties(tied: DataFrame, df: DataFrame, key: Sequence[str], staging: Staging) -> DataFrame:
     """Rows that share their key's first position, all but one a key marked. They are
     numbered and stored, so that even rows alike in all columns can be told apart; the
@@ -106,13 +128,9 @@ def _comparable(column: T.StructField) -> Column:
 _FIXED_WIDTH = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
 
 
-def _order_and_first(df: DataFrame, order_by: Sequence[str]) -> tuple[Column, Column]:
-    """A row's position and the aggregate for the least position of a key; NULL comes
-    first, as in an ordering. Several columns are compared as a struct, which needs a
+def _order(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """A row's position. Several columns are compared as a struct, whose minimum needs a
     sort; one fixed-width column is aggregated by hashing."""
     if len(order_by) == 1 and isinstance(df.schema[order_by[0]].dataType, _FIXED_WIDTH):
-        order = F.col(order_by[0])
-        has_null = F.count(order) < F.count(F.lit(1))
-        return order, F.when(~has_null, F.min(order))
-    order = F.struct(*order_by)
-    return order, F.min(order)
+        return F.col(order_by[0])
+    return F.struct(*order_by)

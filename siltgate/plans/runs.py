@@ -1,9 +1,9 @@
 """End-to-end runs that store every layer.
 
 Before a table is split, the keys that decide its verdicts (repeated keys, keys
-without a parent) are stored. Silver and quarantine are then two filters over
-the same bronze rows and the same stored keys: they cannot disagree, and with few
-such keys neither shuffles the wide rows. Checks read the written layers. Results
+without a parent) are stored. The bronze rows are then judged and written once, into
+one folder for silver and one for quarantine, and with few such keys the wide rows
+cross no exchange. Checks read the written layers. Results
 are stored before the gate may raise, so a failed run leaves its history.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from siltgate.context import RunContext
 from siltgate.contracts import CheckSpec, Intake, StageModel
 from siltgate.operators import checks, process, report
-from siltgate.operators.classify import classify, split, summary_of_layers
+from siltgate.operators.classify import QUARANTINE, SILVER, classify, layered, split, summary_of_layers
+from siltgate.operators.dedup import ARRIVAL
 from siltgate.plans import shop
 from siltgate.plans.goods import (
     LIFE_CYCLE,
@@ -25,10 +26,11 @@ from siltgate.plans.goods import (
     movement_intake,
     movement_stage_events,
 )
+from siltgate.sources.files import is_catalog_of_its_own
 from siltgate.sources.layers import LayerNames
 from siltgate.sources.readers import read_layer, read_layer_if_present
 from siltgate.sources.staging import Staging
-from siltgate.sources.writers import ARRIVAL, append_history, land, write_layer
+from siltgate.sources.writers import append_history, land, write_layer, write_layers
 
 
 @dataclass(frozen=True)
@@ -56,14 +58,25 @@ def load_layers(
         bronze = read_layer(spark, layers.bronze(name))
         with Staging(spark) as staging:
             judged = classify(bronze, table.intake, parent, staging)
-            silver, quarantine = split(judged, table.intake, ctx)
-            write_layer(silver, layers.silver(name))
-            write_layer(quarantine, layers.quarantine(name))
+            _store_judged(judged, table.intake, layers, ctx)
         stored = [read_layer(spark, at(name)) for at in (layers.silver, layers.quarantine)]
         summaries.append(summary_of_layers(bronze, *stored, name))
     return checks.union_results(summaries)
 
 
+def _store_judged(judged: DataFrame, intake: Intake, layers: LayerNames, ctx: RunContext) -> None:
+    """Rows are judged and written once, to both layers; where the layers' columns don't go
+    together, once for each."""
+    places = {SILVER: layers.silver(intake.name), QUARANTINE: layers.quarantine(intake.name)}
+    both = layered(judged, intake, ctx)
+    if both is None or any(is_catalog_of_its_own(judged.sparkSession, w) for w in places.values()):
+        for view, where in zip(split(judged, intake, ctx), places.values(), strict=True):
+            write_layer(view, where)
+        return
+    rows, schemas = both
+    write_layers(rows, {layer: (where, schemas[layer]) for layer, where in places.items()})
+
+
 def _store_bronze(table: TableRun, where: str) -> None:
     """Rows whose intake goes by arrival, but that carry no arrival number, get one."""
     if table.bronze is None:

@@ -3,32 +3,54 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltgate.functions import sql
+from siltgate.sources.files import ESCAPES, Folders
+
 
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | str | None = None,
     multi_line: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
     """CSV with a header; an empty field is NULL, short rows are padded with NULL.
 
     Without a schema the types are inferred, which costs a pass over the file
     and turns code columns such as ``007`` into numbers. Quoted line breaks belong to
-    their field only with ``multi_line``, which reads each file in one task.
+    their field only with ``multi_line``, which reads each file in one task. ``escaped``
+    reads what ``write_csv(..., escaped=True)`` wrote: line breaks are codes there, so
+    files are split as any others.
     """
     reader = spark.read.option("header", True).option("nullValue", "")
     reader = reader.option("multiLine", multi_line)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    rows = reader.csv(path)
+    return rows.select(*[_unescape(f) for f in rows.schema.fields]) if escaped else rows
+
+
+def _unescape(field: T.StructField) -> Column:
+    value = F.col(sql.name(field.name))
+    if isinstance(field.dataType, T.StringType):
+        for plain, code in reversed(ESCAPES):
+            value = F.replace(value, F.lit(code), F.lit(plain))
+    return value.alias(field.name)
 
 
 def read_layer(spark: SparkSession, where: str) -> DataFrame:
     """A layer table by path, or by name when ``where`` has no slash."""
-    return spark.read.parquet(where) if "/" in where else spark.table(where)
+    if "/" not in where:
+        return spark.table(where)
+    try:
+        return spark.read.parquet(where)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND" and Folders(spark).recover(where.rstrip("/")):
+            return spark.read.parquet(where)
+        raise
 
 
 def read_layer_if_present(spark: SparkSession, where: str) -> DataFrame | None:
@@ -41,15 +63,6 @@ def read_layer_if_present(spark: SparkSession, where: str) -> DataFrame | None:
         raise
 
 
-def read_positioned(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet rows with ``_file`` and ``_position``: a stable, unique arrival order."""
-    return spark.read.parquet(path).select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_position"),
-    )
-
-
 def read_history(spark: SparkSession, where: str) -> DataFrame:
     """A history by path or table name, its run ids as they were written. Runs written
     to a folder under older schemas read with NULLs."""

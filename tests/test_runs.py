@@ -10,7 +10,7 @@ import samples
 from pyspark.sql import functions as F
 
 from siltgate.context import RunContext
-from siltgate.operators import checks, report
+from siltgate.operators import checks, dedup, report
 from siltgate.contracts import StageModel
 from siltgate.plans import goods, runs, shop
 from siltgate.sources import readers, writers
@@ -207,8 +207,6 @@ def test_landing_gives_a_stable_arrival(spark, tmp_path):
     writers.land(spark.range(100).repartition(5), where)
     landed = readers.read_layer(spark, where)
     assert landed.select("_arrival").distinct().count() == 100
-    positioned = readers.read_positioned(spark, where)
-    assert positioned.select("_file", "_position").distinct().count() == 100
     assert readers.preview(landed, ["_arrival"], 3).count() == 3
 
 
@@ -319,3 +317,119 @@ def test_arrival_follows_names_and_not_sizes(spark, tmp_path, first_rows, second
     numbered = landed.filter("v = 'x'").orderBy("_arrival").collect()
     wanted = [f"{f}{n}" for f, n in (("a.csv", first_rows), ("b.csv", second_rows)) for n in range(n)]
     assert [r.k for r in numbered] == wanted
+
+
+def test_arrival_is_one_number_found_by_hashing(spark, tmp_path):
+    """Names with blanks and signs; no path in the rows, no sort for the least arrival."""
+    source = tmp_path / "in put"
+    source.mkdir()
+    for name in ("b%20 c.csv", "a+ä.csv"):
+        (source / name).write_text("k,v\n" + "".join(f"{n % 3},{name}\n" for n in range(9)))
+    where = str(tmp_path / "landed")
+    writers.land(readers.read_csv(spark, str(source), "k STRING, v STRING"), where)
+    landed = readers.read_layer(spark, where)
+    assert landed.schema["_arrival"].dataType.simpleString() == "decimal(38,0)"
+    assert landed.select("_arrival").distinct().count() == 18
+    keys = dedup._repeated_keys(landed, ["k"], ["_arrival"], ["_key0"])
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and plan.count("Exchange") == 1
+    with Staging(spark) as staging:
+        first = dedup.first_rows(landed, ["k"], ["_arrival"], staging).collect()
+    assert {(r.k, r.v) for r in first} == {("0", "a+ä.csv"), ("1", "a+ä.csv"), ("2", "a+ä.csv")}
+
+
+def test_history_table_takes_new_columns(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE silt_history LOCATION '{tmp_path}/db'")
+    where = "silt_history.dq_results"
+    for rows, schema in (
+        ([("r1", 1)], "run_id STRING, a INT"),
+        ([("r2", "x", [1.5])], "run_id STRING, B STRING, c ARRAY<DOUBLE>"),
+        ([("r3", "y", 3)], "run_id STRING, b STRING, a SMALLINT"),
+        ([("r2", "z", 4)], "run_id STRING, b STRING, A INT"),
+    ):
+        writers.append_history(spark.createDataFrame(rows, schema), where)
+    stored = readers.read_history(spark, where)
+    assert stored.columns == ["a", "B", "c", "run_id"]
+    assert sorted(map(tuple, stored.collect()), key=lambda r: r[3]) == [
+        (1, None, None, "r1"), (4, "z", None, "r2"), (3, "y", None, "r3"),
+    ]
+    wrong = spark.createDataFrame([("r4", "text", 9)], "run_id STRING, a STRING, d INT")
+    with pytest.raises(ValueError, match="'a' is int in the history and string"):
+        writers.append_history(wrong, where)
+    assert readers.read_history(spark, where).columns == ["a", "B", "c", "run_id"]
+    spark.sql("DROP DATABASE silt_history CASCADE")
+
+
+@pytest.mark.parametrize("as_tables", [False, True])
+def test_a_failed_replace_leaves_the_old_layer(spark, tmp_path, as_tables):
+    if as_tables:
+        spark.sql(f"CREATE DATABASE silt_swap LOCATION '{tmp_path}/db'")
+    where = LayerNames("silt_swap" if as_tables else str(tmp_path), as_tables).silver("x")
+    writers.write_layer(spark.range(5), where)
+    # Half of the tasks write, then one fails.
+    broken = spark.range(0, 100, 1, 8).select(F.expr("if(id = 90, raise_error('cut'), id)").alias("n"))
+    with pytest.raises(Exception, match="cut"):
+        writers.write_layer(broken, where)
+    assert sorted(r.id for r in readers.read_layer(spark, where).collect()) == list(range(5))
+    both = broken.select("n", F.when(F.col("n") % 2 == 0, "even").otherwise("odd").alias("_layer"))
+    targets = {k: (where if k == "even" else f"{where}_odd", spark.range(0).schema) for k in ("even", "odd")}
+    with pytest.raises(Exception, match="cut"):
+        writers.write_layers(both, targets)
+    assert readers.read_layer(spark, where).count() == 5
+    writers.write_layer(spark.range(3).withColumn("more", F.lit("b")), where)
+    writers.write_layer(spark.range(4).withColumn("more", F.lit("b")), where)
+    assert readers.read_layer(spark, where).count() == 4
+    left = [p.name for p in tmp_path.rglob("*") if p.is_dir() and (".new-" in p.name or ".before" in p.name)]
+    assert left == []
+    if as_tables:
+        spark.sql("DROP DATABASE silt_swap CASCADE")
+
+
+def test_a_swap_cut_off_between_its_moves_is_mended(spark, tmp_path):
+    where = tmp_path / "silver_x"
+    writers.write_layer(spark.range(5), str(where))
+    where.rename(tmp_path / "_silver_x.before")
+    assert readers.read_layer(spark, str(where)).count() == 5
+    where.rename(tmp_path / "_silver_x.before")
+    writers.write_layer(spark.range(2), str(where))
+    assert readers.read_layer(spark, str(where)).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        readers.read_layer(spark, str(tmp_path / "silver_y"))
+
+
+@pytest.mark.parametrize("as_tables", [False, True])
+def test_rows_are_judged_and_written_once(spark, tmp_path, as_tables, monkeypatch):
+    """One job stores both layers; the plan that it runs has one scan of bronze."""
+    if as_tables:
+        spark.sql(f"CREATE DATABASE silt_once LOCATION '{tmp_path}/db'")
+    layers = LayerNames("silt_once" if as_tables else str(tmp_path / "layers"), as_tables)
+    customer = shop.customer_intake(samples.columns(samples.CUSTOMER_SCHEMA))
+    plans = []
+    write = runs.write_layers
+
+    def seen(rows, targets):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, targets)
+
+    monkeypatch.setattr(runs, "write_layers", seen)
+    summary = runs.load_layers(spark, [runs.TableRun(customers_of(spark, tmp_path), customer)], layers, FIRST)
+    assert [tuple(r) for r in summary.collect()] == [("customers", 7, 3, 4)]
+    assert len(plans) == 1
+    assert plans[0].count("FileScan") == 2  # bronze, and the stored keys
+    silver, quarantine = (readers.read_layer(spark, at("customers")) for at in (layers.silver, layers.quarantine))
+    assert silver.columns == list(shop.CUSTOMER_SILVER)
+    assert quarantine.columns == [*samples.columns(samples.CUSTOMER_SCHEMA), "rejection_reason", "rejected_at"]
+    assert silver.filter("country IS NULL").isEmpty() and quarantine.filter("rejection_reason IS NULL").isEmpty()
+    none = customers_of(spark, tmp_path).limit(0)
+    runs.load_layers(spark, [runs.TableRun(none, customer)], layers, SECOND)
+    again = [readers.read_layer(spark, at("customers")) for at in (layers.silver, layers.quarantine)]
+    assert [df.count() for df in again] == [0, 0] and again[0].columns == silver.columns
+    if as_tables:
+        spark.sql("DROP DATABASE silt_once CASCADE")
+
+
+def test_rows_of_no_layer_stop_the_write(spark, tmp_path):
+    rows = spark.range(4).withColumn("_layer", F.when(F.col("id") > 1, "a").when(F.col("id") > 0, "b"))
+    with pytest.raises(ValueError, match="2 row"):
+        writers.write_layers(rows, {"a": (str(tmp_path / "a"), spark.range(0).schema)})
+    assert not (tmp_path / "a").exists()
