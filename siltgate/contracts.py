@@ -29,14 +29,24 @@ class Lookup:
     reason: str
 
 
+@dataclass(frozen=True)
+class CodeTable:
+    """Values that a row's ``column`` stands for, from a table with one row for each
+    ``code``. ``values`` maps new columns to the table's."""
+
+    column: str
+    code: str
+    values: Mapping[str, str]
+
+
 @dataclass(frozen=True)
 class Intake:
     """How bronze rows of one table are split into silver and quarantine.
 
-    ``order_by`` decides which copy of a key came first. It must be unique
-    within a key (an arrival number, or columns that together are), otherwise
-    copies that tie for first place are all kept. A ``derived`` expression may
-    depend on the bronze schema. ``fills`` replace silver columns.
+    ``order_by`` decides which copy of a key came first; of copies that tie for first
+    place the remaining columns decide. A ``derived`` expression may depend on the
+    bronze schema, and may use the values of ``codes``. ``fills`` replace silver
+    columns.
     """
 
     name: str
@@ -49,6 +59,7 @@ class Intake:
     lookup: Lookup | None = None
     derived: tuple[tuple[str, str | Callable[[StructType], str]], ...] = ()
     fills: Mapping[str, str] = field(default_factory=dict)
+    codes: CodeTable | None = None
 
 
 @dataclass(frozen=True)

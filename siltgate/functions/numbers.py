@@ -55,3 +55,21 @@ def mean_of_hundredths(value: Column) -> Column:
     count = F.count(value)
     magnitude = F.call_function("div", F.abs(total) * 2 + count, count * 2)
     return F.when(count > 0, F.signum(total.cast("double")) * magnitude / F.lit(100.0))
+
+
+SUM_PLACES = 6
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum as a double that does not depend on the order in which partitions are merged.
+
+    Each value is rounded half up to six places and added as a decimal; only the total
+    becomes a double again. NULL, text that is no number, NaN and the infinities are left
+    out. The total is NULL if there is no number, if a number has more than 22 digits
+    before the point, or if the total has more than 32.
+    """
+    number = value.try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    exact = number.try_cast(f"decimal(28,{SUM_PLACES})")
+    too_long = F.max(finite & exact.isNull())
+    return F.when(~too_long, F.try_sum(F.when(finite, exact)).cast("double"))

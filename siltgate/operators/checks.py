@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltgate.contracts import CheckSpec, Intake, StageModel
 from siltgate.functions import predicates as bad
@@ -37,7 +38,7 @@ class QualityGateError(RuntimeError):
 @dataclass(frozen=True)
 class Check:
     """``status``, ``message`` and ``metrics`` are SQL over the ``aggregates``, and over
-    ``distinct``, the aggregates that count distinct values."""
+    the counts of distinct values of the expressions in ``distinct``."""
 
     name: str
     status: str
@@ -51,25 +52,67 @@ class Check:
 
 
 def evaluate(df: DataFrame, checks: Sequence[Check], first_no: int = 1) -> DataFrame:
-    """Run the checks over ``df`` in one aggregation; of several distinct counts each is
-    taken on its own, over its column alone. In one aggregate they would make Spark
-    shuffle a copy of every row for each of them."""
+    """Run the checks over ``df`` in one aggregation; all distinct counts are taken
+    together in one more (``_distinct_counts``), which also gives the row counts, so that
+    checks of uniqueness alone need one scan. In one aggregate Spark would shuffle a
+    copy of every row for each distinct count."""
     aggregates, distinct = {"_rows": "count(1)"}, {}
     for check in checks:
         aggregates.update(check.aggregates)
         distinct.update(check.distinct)
-    if len(distinct) < 2:
-        passes = [aggregates | distinct]
-    else:
-        passes = [aggregates, *[{alias: how} for alias, how in distinct.items()]]
-    parts = [
-        df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in one.items()]) for one in passes
+    if not distinct:
+        counted = df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in aggregates.items()])
+        return _unfold(counted, checks, first_no)
+    counts = _distinct_counts(df, distinct)
+    more = {a: how for a, how in aggregates.items() if a not in counts.columns}
+    if more:
+        rest = df.selectExpr(*[f"{how} AS {sql.name(alias)}" for alias, how in more.items()])
+        united = rest.unionByName(counts, allowMissingColumns=True)
+        counts = united.selectExpr(*[f"max({sql.name(c)}) AS {sql.name(c)}" for c in united.columns])
+    return _unfold(counts, checks, first_no)
+
+
+def _distinct_counts(df: DataFrame, values: Mapping[str, str]) -> DataFrame:
+    """One row: ``_rows``, ``silver_n``, and for each name how many values, NULL being one,
+    its expression has in silver rows.
+
+    Every row gives a pair (number of the expression, value as text) for each. Pairs fold
+    on the map side, so a hot value leaves each task as one row, and are counted by
+    number; rows counted with the first expression's pairs are all rows.
+    """
+    pairs = [
+        f"named_struct('_no', {no}, '_in', {IN_SILVER}, '_value', {how})"
+        for no, how in enumerate(values.values())
     ]
-    counted = parts[0]
-    if len(parts) > 1:
-        united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        counted = united.selectExpr(*[f"max({sql.name(c)}) AS {sql.name(c)}" for c in united.columns])
-    return _unfold(counted, checks, first_no)
+    folded = (
+        df.selectExpr(f"inline(array({', '.join(pairs)}))")
+        .groupBy("_no", "_in", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    of_first = "if(_no = 0, _n, 0L)"
+    return folded.selectExpr(
+        f"coalesce(sum({of_first}), 0L) AS _rows",
+        f"coalesce(sum(if(_in, {of_first}, 0L)), 0L) AS silver_n",
+        *[f"count_if(_in AND _no = {no}) AS {sql.name(name)}" for no, name in enumerate(values)],
+    )
+
+
+def _value_text(df: DataFrame, column: str, long: bool) -> str:
+    """A column's values as text, equal where the values are."""
+    source, kind = sql.name(column), df.schema[column].dataType
+    if long:
+        return f"sha2({source}, 256)"
+    if isinstance(kind, T.StringType):
+        return source
+    if isinstance(kind, T.BinaryType):
+        return f"hex({source})"
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        return f"cast({source} + cast(0 AS {kind.simpleString()}) AS STRING)"  # -0.0 is 0.0
+    if isinstance(kind, T.TimestampType):
+        return f"cast(unix_micros({source}) AS STRING)"  # local times repeat
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return f"if({source} IS NULL, NULL, to_json(named_struct('v', {source})))"
+    return f"cast({source} AS STRING)"
 
 
 def _unfold(counted: DataFrame, checks: Sequence[Check], first_no: int = 1) -> DataFrame:
@@ -303,9 +346,8 @@ def uniqueness(
         if column not in df.columns:
             checks.append(_absent(check_name, column, layer))
             continue
-        alias, source = f"distinct_{column}", sql.name(column)
+        alias = f"distinct_{column}"
         distinct = sql.name(alias)
-        value = f"sha2({source}, 256)" if column in long else source
         checks.append(
             Check(
                 name=check_name,
@@ -315,10 +357,7 @@ def uniqueness(
                     surplus=f"(silver_n - {distinct})",
                 ),
                 aggregates=_SILVER_COUNT,
-                distinct={
-                    alias: f"count(DISTINCT if({IN_SILVER}, {value}, NULL))"
-                    f" + coalesce(max(int({IN_SILVER} AND {source} IS NULL)), 0)"
-                },
+                distinct={alias: _value_text(df, column, column in long)},
                 metrics={
                     "layer": sql.text(layer),
                     "column": sql.text(column),

@@ -10,7 +10,7 @@ from siltgate.context import RunContext
 from siltgate.contracts import Intake
 from siltgate.functions import sql
 from siltgate.operators.dedup import REPEAT, mark_repeats
-from siltgate.operators.lookups import UNMATCHED, mark_unmatched
+from siltgate.operators.lookups import UNMATCHED, mark_unmatched, with_codes
 from siltgate.sources.staging import Staging
 
 REASON = "_reason"
@@ -22,6 +22,7 @@ def classify(
     intake: Intake,
     parent: DataFrame | None = None,
     staging: Staging | None = None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """Bronze rows plus derived columns and ``_reason`` (NULL means accepted).
 
@@ -30,6 +31,10 @@ def classify(
     cannot be decided counts as failed.
     """
     rows = mark_repeats(bronze, intake.key, intake.order_by, staging)
+    if intake.codes is not None:
+        if codes is None:
+            raise ValueError(f"{intake.name}: a code table is needed for its codes")
+        rows = with_codes(rows, codes, intake.codes, staging)
     for name, value in intake.derived:
         expression = value if isinstance(value, str) else value(bronze.schema)
         rows = rows.withColumn(name, F.expr(expression))

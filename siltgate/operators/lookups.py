@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.contracts import CodeTable
+from siltgate.functions import sql
 from siltgate.sources.staging import Staging
 
 UNMATCHED = "_unmatched"
@@ -104,3 +106,31 @@ def count_unmatched(
         "left_anti",
     )
     return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0).cast("bigint")).alias("unmatched"))
+
+
+class RepeatedCodeError(ValueError):
+    """Raised where a code table has two rows for a code."""
+
+
+def with_codes(
+    rows: DataFrame, codes: DataFrame, spec: CodeTable, staging: Staging | None = None
+) -> DataFrame:
+    """Rows plus the values of their codes; NULL where the code table lacks the code.
+
+    Codes are compared as text, as in a literal map; a NULL code has no value. A table
+    with several rows for a code, whatever their values, is refused, as rows would be
+    multiplied. The table is stored first, so its size is known when the join is
+    planned: a small one leaves the rows where they are, beyond the broadcast
+    threshold it is a sort-merge join. The null-safe comparison gives both sides an
+    exchange of their own, so that adaptive execution can split a hot code.
+    """
+    staging = staging or Staging.until_exit(rows.sparkSession)
+    code = F.col(sql.name(spec.code)).cast("string").alias("_code")
+    values = [F.col(sql.name(source)).alias(name) for name, source in spec.values.items()]
+    known = staging.table(codes.select(code, *values).filter("_code IS NOT NULL"), "codes")
+    repeated = known.groupBy("_code").count().filter("count > 1").orderBy("_code").limit(5).collect()
+    if repeated:
+        raise RepeatedCodeError(f"codes with several rows: {[r['_code'] for r in repeated]}")
+    met = rows.join(known, F.col(sql.name(spec.column)).cast("string").eqNullSafe(F.col("_code")), "left")
+    kept = [F.col(sql.name(c)) for c in rows.columns if c not in spec.values]
+    return met.select(*kept, *[known[name] for name in spec.values])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltgate.contracts import StageModel
 from siltgate.functions import sql
-from siltgate.functions.numbers import clamp_negative, days_between, mean_of_hundredths
+from siltgate.functions.numbers import clamp_negative, days_between, exact_sum, mean_of_hundredths
 
 
 def earliest(name: str, order_by: Sequence[str]) -> Column:
@@ -29,15 +29,16 @@ def stage_events(
     """One row per batch and stage: its span, line count, quantity and attributes.
 
     ``attributes`` maps output names to source columns; each takes its earliest
-    non-NULL value. ``order_by`` must be unique within a batch and stage. All
-    aggregates combine on the map side, so a hot batch shuffles as few rows.
+    non-NULL value. ``order_by`` must be unique within a batch and stage. The quantity
+    is an ``exact_sum``. All aggregates combine on the map side, so a hot batch
+    shuffles as few rows.
     """
     folded = silver.groupBy(F.col(batch).alias("batch_id"), "stage").agg(
         *[earliest(source, order_by).alias(name) for name, source in attributes.items()],
         F.min("event_ts").alias("start_ts"),
         F.max("event_ts").alias("end_ts"),
         F.count(F.lit(1)).alias("line_count"),
-        F.sum(F.col(quantity).try_cast("double")).alias("total_quantity"),
+        exact_sum(F.col(quantity)).alias("total_quantity"),
     )
     return folded.withColumn("stage_order", F.expr(sql.map_value(model.stage_order, "stage")))
 

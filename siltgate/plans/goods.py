@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from siltgate.contracts import Intake, Rule, StageModel
+from siltgate.contracts import CodeTable, Intake, Rule, StageModel
 from siltgate.functions import predicates as bad
 from siltgate.functions import sql
 from siltgate.functions.timestamps import first_timestamp
@@ -107,15 +107,20 @@ def movement_intake(
     columns: MovementColumns = SAP_COLUMNS,
     model: StageModel = LIFE_CYCLE,
     order_by: Sequence[str] = ("_arrival",),
+    codes: CodeTable | None = None,
 ) -> Intake:
+    """The intake of movement lines. Stages come from the model's map, or with ``codes``
+    from a code table, whose values must name the new column ``stage``."""
+    in_map = ("stage", sql.map_value(model.code_to_stage, sql.name(columns.code)))
     required = (columns.material, columns.batch, columns.code, columns.plant)
     return Intake(
         name="movements",
         key=columns.key,
         order_by=tuple(order_by),
         duplicate_reason=columns.duplicate_reason,
+        codes=codes,
         derived=(
-            ("stage", sql.map_value(model.code_to_stage, sql.name(columns.code))),
+            *([] if codes else [in_map]),
             (
                 "event_ts",
                 lambda schema: first_timestamp(

@@ -36,11 +36,12 @@ from siltgate.sources.writers import append_history, land, write_layer, write_la
 @dataclass(frozen=True)
 class TableRun:
     """A table to load: its raw rows (None if its bronze table is stored already), its
-    intake, and the table its lookup refers to."""
+    intake, the table its lookup refers to, and its code table."""
 
     bronze: DataFrame | None
     intake: Intake
     parent: str | None = None
+    codes: DataFrame | None = None
 
 
 def load_layers(
@@ -57,7 +58,7 @@ def load_layers(
         _store_bronze(table, layers.bronze(name))
         bronze = read_layer(spark, layers.bronze(name))
         with Staging(spark) as staging:
-            judged = classify(bronze, table.intake, parent, staging)
+            judged = classify(bronze, table.intake, parent, staging, table.codes)
             _store_judged(judged, table.intake, layers, ctx)
         stored = [read_layer(spark, at(name)) for at in (layers.silver, layers.quarantine)]
         summaries.append(summary_of_layers(bronze, *stored, name))

@@ -36,6 +36,7 @@ class Staging:
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self._folders: list[str] = []
+        self._databases: list[str] = []
         # Held here because a stopped session no longer hands it out.
         self._files = spark._jvm.org.apache.hadoop.fs
         self._settings = spark._jsc.hadoopConfiguration()
@@ -66,6 +67,13 @@ class Staging:
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
+    def database(self, label: str) -> str:
+        """A database of the session catalog whose tables are stored in such a folder."""
+        name = f"siltgate_{label}_{uuid.uuid4().hex}"
+        self._spark.sql(f"CREATE DATABASE {name} LOCATION '{self.folder(label)}'")
+        self._databases.append(name)
+        return name
+
     def _clear_at_exit(self) -> None:
         try:
             self.clear()
@@ -73,6 +81,8 @@ class Staging:
             pass  # the JVM is gone already; the folder's retention rule takes over
 
     def clear(self) -> None:
+        while self._databases:
+            self._spark.sql(f"DROP DATABASE IF EXISTS {self._databases.pop()} CASCADE")
         while self._folders:
             path = self._files.Path(self._folders.pop())
             path.getFileSystem(self._settings).delete(path, True)

@@ -162,7 +162,8 @@ STEPS = {
                first(customer ORDER BY event_ts, doc_id)
                    FILTER (WHERE customer IS NOT NULL) AS customer,
                min(event_ts) AS start_ts, max(event_ts) AS end_ts,
-               count(*) AS line_count, round(sum(qty), 2) AS total_quantity,
+               count(*) AS line_count,
+               CAST(sum(CAST(qty AS DECIMAL(28, 6))) AS DOUBLE) AS total_quantity,
                max(d.stage_order) AS stage_order
         FROM silver_movements s JOIN stage_dim d ON s.stage = d.stage
         GROUP BY batch_id, s.stage
@@ -300,15 +301,16 @@ def damaged(table: str, kept: str, unexplained: str) -> str:
     )
 
 
-def movement_recon(no: int, table: str) -> str:
+def movement_recon(no: int, table: str, kept: str = "true", held: str = "true") -> str:
+    """``kept`` and ``held`` say which rows are left in silver and in quarantine."""
     return (
         row(
             table, no, "movement_quarantine_reconciliation", verdict("s + q = b"),
             "'Bronze=' || b || ', Silver=' || s || ', Quarantine=' || q",
             "'{\"bronze\":' || b || ',\"silver\":' || s || ',\"quarantine\":' || q || '}'",
         )
-        + " FROM (SELECT count(*) AS b, count(*) FILTER (reason IS NULL) AS s,"
-        " count(*) FILTER (reason IS NOT NULL) AS q FROM judged_movements)"
+        + f" FROM (SELECT count(*) AS b, count(*) FILTER (reason IS NULL AND {kept}) AS s,"
+        f" count(*) FILTER (reason IS NOT NULL AND {held}) AS q FROM judged_movements)"
     )
 
 
@@ -750,6 +752,20 @@ ORACLE: dict[str, str] = {
         " FROM events LEFT JOIN stage_dim ON event_type = stage",
         "stage_dim",
     ),
+    "dedup_by_arrival": """
+        SELECT event_id, user_id, event_type, value FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS rn
+            FROM events)
+        WHERE rn = 1
+    """.strip(),
+    "code_to_stage_table": with_steps(
+        "SELECT event_id, event_type, stage, stage_order"
+        " FROM events LEFT JOIN stage_dim ON event_type = stage",
+        "stage_dim",
+    ),
+    "silver_movements_by_codes": with_steps(
+        f"SELECT {MOVEMENT_COLUMNS}, stage, event_ts FROM silver_movements", "silver_movements"
+    ),
     "event_ts_fallback": with_steps(
         "SELECT doc_id, seq, coalesce(entry_ts, CAST(posting_date AS TIMESTAMP)) AS event_ts"
         " FROM bronze_movements",
@@ -804,6 +820,14 @@ ORACLE: dict[str, str] = {
     "recon_customers": with_steps(recon("customers", "judged_customers"), "judged_customers"),
     "recon_orders": with_steps(recon("orders", "judged_orders"), "judged_orders"),
     "recon_movements": with_steps(movement_recon(1, "movements"), "judged_movements"),
+    "recon_stored_movements": with_steps(
+        union(
+            movement_recon(1, "sound"),
+            movement_recon(1, "lost_silver", "doc_id % 7 <> 0"),
+            movement_recon(1, "lost_quarantine", "true", "doc_id % 7 <> 0"),
+        ),
+        "judged_movements",
+    ),
     "check_stored_layers": with_steps(
         union(
             damaged("sound", "true", "false"),
@@ -976,6 +1000,17 @@ ORACLE: dict[str, str] = {
         *SHOP_STEPS,
     ),
     "findings_by_table": with_steps(FINDINGS, *RAW_STEPS),
+    "history_table_new_columns": with_steps(
+        f"""
+        SELECT '{RUN_1}' AS run_id, table_name, check_name, status,
+               CAST(NULL AS VARCHAR) AS message, CAST(NULL AS VARCHAR) AS metrics_json
+        FROM ({RAW_CHECKS})
+        UNION ALL
+        SELECT '{RUN_2}', table_name, check_name, status, message, metrics_json
+        FROM ({RAW_CHECKS})
+        """,
+        *RAW_STEPS,
+    ),
     "report_snapshot_json": with_steps(SNAPSHOT, *RAW_STEPS),
     "findings_from_snapshot": with_steps(FINDINGS, *RAW_STEPS),
     "narrative_report": with_steps(narrative(RUN_1, CLOCK_1), *RAW_STEPS),
@@ -985,6 +1020,15 @@ ORACLE: dict[str, str] = {
         f" FROM ({SHOP_CHECKS})",
         *SHOP_STEPS,
     ),
+    "scan_csv_escaped": "SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang FROM documents",
+    "layers_by_name": with_steps(
+        """
+        SELECT country, status, count(*) AS orders, count(DISTINCT customer_id) AS customers
+        FROM silver_orders JOIN silver_customers USING (customer_id)
+        GROUP BY country, status
+        """,
+        "silver_orders", "silver_customers",
+    ),
     "scan_csv_roundtrip": with_steps(
         "SELECT customer_id, name, email, nullif(country, '') AS country, signup_seq,"
         " raw_source, seq FROM bronze_customers",

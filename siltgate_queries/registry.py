@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltgate.context import RunContext
-from siltgate.contracts import CheckSpec
+from siltgate.contracts import CheckSpec, CodeTable
 from siltgate.functions import predicates as bad
 from siltgate.functions import sql
 from siltgate.functions.timestamps import first_timestamp
@@ -21,6 +21,7 @@ from siltgate.operators.classify import (
     quarantine_view,
     reason_histogram,
     silver_view,
+    summary_of_layers,
     union_quarantines,
 )
 from siltgate.plans import goods, runs, shop
@@ -37,6 +38,10 @@ LATER = RunContext("20240201T000000Z-00000002", datetime(2024, 2, 1, tzinfo=time
 CUSTOMERS = shop.customer_intake(b.CUSTOMER_BRONZE, b.CUSTOMER_SILVER, ("seq",))
 ORDERS = shop.order_intake(b.ORDER_BRONZE, b.ORDER_SILVER, ("seq",))
 MOVEMENTS = goods.movement_intake(b.MOVEMENT_BRONZE, b.EVENT_COLUMNS, b.EVENT_STAGES, ("seq",))
+MOVEMENTS_BY_CODES = goods.movement_intake(
+    b.MOVEMENT_BRONZE, b.EVENT_COLUMNS, b.EVENT_STAGES, ("seq",),
+    CodeTable("code", "code", {"stage": "stage"}),
+)
 CUSTOMER_CHECKS = shop.customer_checks(CUSTOMERS)
 ORDER_CHECKS = shop.order_checks(ORDERS)
 
@@ -107,9 +112,11 @@ def quarantines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def stored_shop(spark: SparkSession, sf: str) -> LayerNames:
-    """Customers and orders judged once, with all layers stored."""
-    layers = LayerNames(Staging.until_exit(spark).folder("shop-layers"))
+def stored_shop(spark: SparkSession, sf: str, as_tables: bool = False) -> LayerNames:
+    """Customers and orders judged once, with all layers stored, in folders or as tables."""
+    staging = Staging.until_exit(spark)
+    root = staging.database("shop") if as_tables else staging.folder("shop-layers")
+    layers = LayerNames(root, as_tables)
     tables = [
         runs.TableRun(b.bronze_customers(spark, sf), CUSTOMERS),
         runs.TableRun(b.bronze_orders(spark, sf), ORDERS, parent="customers"),
@@ -118,6 +125,22 @@ def stored_shop(spark: SparkSession, sf: str) -> LayerNames:
     return layers
 
 
+def stored_movements(spark: SparkSession, sf: str) -> tuple[LayerNames, DataFrame]:
+    """Movements judged once, with all layers stored, and their counts."""
+    layers = LayerNames(Staging.until_exit(spark).folder("goods-layers"))
+    table = runs.TableRun(b.bronze_movements(spark, sf), MOVEMENTS)
+    return layers, runs.load_layers(spark, [table], layers, CTX)
+
+
+def stage_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """The stage map as a stored table, made of the event types that occur."""
+    staging = Staging.until_exit(spark)
+    kinds = b.table(spark, sf, "events").select(F.col("event_type").alias("code")).distinct()
+    order = F.expr(sql.map_value(b.EVENT_STAGES.stage_order, "code"))
+    kinds = kinds.filter(order.isNotNull())
+    return staging.table(kinds.select("code", F.col("code").alias("stage"), order.alias("place")), "code-table")
+
+
 def shop_results(spark: SparkSession, sf: str, ctx: RunContext = CTX) -> DataFrame:
     """All shop checks over the stored layers."""
     return runs.check_tables(
@@ -176,6 +199,40 @@ def code_to_stage_map(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def code_to_stage_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a code table, joined by its size."""
+    return lookups.with_codes(
+        b.table(spark, sf, "events").select("event_id", "event_type"),
+        stage_codes(spark, sf),
+        CodeTable("event_type", "code", {"stage": "stage", "stage_order": "place"}),
+        Staging.until_exit(spark),
+    )
+
+
+def silver_movements_by_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Movements judged with the stage map as a table."""
+    judged = classify(
+        b.bronze_movements(spark, sf),
+        MOVEMENTS_BY_CODES,
+        staging=Staging.until_exit(spark),
+        codes=stage_codes(spark, sf),
+    )
+    return _shown(silver_view(judged, MOVEMENTS_BY_CODES))
+
+
+def dedup_by_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """The first event of each user and type as raw files bring them: events go out as CSV
+    files whose names follow their order, and are landed and read back."""
+    staging = Staging.until_exit(spark)
+    folder, landed = staging.folder("csv-events"), staging.folder("landed-events")
+    rows = b.table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    writers.write_csv(rows.repartitionByRange("event_id").sortWithinPartitions("event_id"), folder)
+    writers.land(readers.read_csv(spark, folder, rows.schema), landed)
+    bronze = readers.read_layer(spark, landed)
+    first = dedup.first_rows(bronze, ["user_id", "event_type"], [dedup.ARRIVAL], staging)
+    return first.drop(dedup.ARRIVAL)
+
+
 def event_ts_fallback(spark: SparkSession, sf: str) -> DataFrame:
     raw = b.bronze_movements(spark, sf)
     event_ts = first_timestamp(raw.schema, "entry_ts", "posting_date")
@@ -189,6 +246,27 @@ def scan_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_csv(spark, folder, raw.schema)
 
 
+def scan_csv_escaped(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts, with line breaks, quotes and backslashes, through CSV files that can be
+    split."""
+    texts = b.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    folder = Staging.until_exit(spark).folder("csv-documents")
+    writers.write_csv(texts, folder, escaped=True)
+    return readers.read_csv(spark, folder, texts.schema, escaped=True)
+
+
+def layers_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Layers stored as tables and read by their names."""
+    names = stored_shop(spark, sf, as_tables=True)
+    sold = readers.read_layer(spark, names.silver("orders")).groupBy("customer_id", "status").count()
+    known = readers.read_layer(spark, names.silver("customers")).select("customer_id", "country")
+    return (
+        sold.join(known, "customer_id")
+        .groupBy("country", "status")
+        .agg(F.sum("count").alias("orders"), F.count(F.lit(1)).alias("customers"))
+    )
+
+
 def sink_overwrite_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A layer replaced by one with another schema: only the second is left."""
     folder = Staging.until_exit(spark).folder("layer-orders")
@@ -266,11 +344,34 @@ def recon_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recon_movements(spark: SparkSession, sf: str) -> DataFrame:
-    facts = checks.layer_facts(layer_summary(movements(spark, sf), "movements"))
-    name = "movement_quarantine_reconciliation"
-    return checks.named(
-        checks.evaluate(facts, [checks.movement_reconciliation(name)]), "movements"
+    _, summary = stored_movements(spark, sf)
+    return _movement_recon(summary, "movements")
+
+
+def recon_stored_movements(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored movement layers as they are, and with rows lost from either."""
+    layers, _ = stored_movements(spark, sf)
+    bronze, silver, quarantine = (
+        readers.read_layer(spark, at("movements"))
+        for at in (layers.bronze, layers.silver, layers.quarantine)
     )
+    cases = {
+        "sound": (silver, quarantine),
+        "lost_silver": (silver.filter("doc_id % 7 <> 0"), quarantine),
+        "lost_quarantine": (silver, quarantine.filter("doc_id % 7 <> 0")),
+    }
+    return checks.union_results(
+        [
+            _movement_recon(summary_of_layers(bronze, accepted, rejected, case), case)
+            for case, (accepted, rejected) in cases.items()
+        ]
+    )
+
+
+def _movement_recon(summary: DataFrame, table: str) -> DataFrame:
+    facts = checks.layer_facts(summary)
+    check = checks.movement_reconciliation("movement_quarantine_reconciliation")
+    return checks.named(checks.evaluate(facts, [check]), table)
 
 
 def check_stored_layers(spark: SparkSession, sf: str) -> DataFrame:
@@ -469,7 +570,7 @@ def dq_metrics_single_pass(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_events(spark: SparkSession, sf: str) -> DataFrame:
-    return events(spark, sf).withColumn("total_quantity", F.round("total_quantity", 2))
+    return events(spark, sf)
 
 
 def stages_present(spark: SparkSession, sf: str) -> DataFrame:
@@ -555,23 +656,14 @@ def dq_results_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_results_lead_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Movements are folded once; the suite reads the stored stage events."""
-    judged = movements(spark, sf)
-    stage_rows = Staging.until_exit(spark).table(
-        goods.movement_stage_events(
-            silver_view(judged, MOVEMENTS), b.EVENT_COLUMNS, b.EVENT_STAGES
-        ),
-        "stage-events",
-    )
-    rows = checks.check_lead_times(
-        stage_rows,
-        process.stage_lead_times(stage_rows),
-        process.d2d_lead_times(stage_rows),
-        process.e2e_lead_times(stage_rows, b.EVENT_STAGES),
-        b.EVENT_STAGES,
-        layer_summary(judged, "movements"),
+    """Movements are judged, folded and stored; the suite reads the stored layers."""
+    layers, summary = stored_movements(spark, sf)
+    runs.load_lead_times(spark, layers, b.EVENT_COLUMNS, b.EVENT_STAGES)
+    return report.history_rows(
+        runs.check_lead_time_layers(
+            spark, layers, summary, CTX, b.EVENT_STAGES, "movement_quarantine_reconciliation"
+        )
     )
-    return report.history_rows(report.result_rows(rows, CTX))
 
 
 def overall_status(spark: SparkSession, sf: str) -> DataFrame:
@@ -595,6 +687,17 @@ def latest_run_results(spark: SparkSession, sf: str) -> DataFrame:
     return report.latest_run(readers.read_history(spark, folder))
 
 
+def history_table_new_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs in a history table, the second with columns that the first lacked."""
+    where = LayerNames(Staging.until_exit(spark).database("history"), True).history("dq_results")
+    first = report.history_rows(bronze_results(spark, sf))
+    writers.append_history(first.select("run_id", "table_name", "check_name", "status"), where)
+    second = report.history_rows(bronze_results(spark, sf, LATER))
+    second = second.select("message", "run_id", "status", "check_name", "table_name", "metrics_json")
+    writers.append_history(second, where)
+    return readers.read_history(spark, where)
+
+
 def report_snapshot_json(spark: SparkSession, sf: str) -> DataFrame:
     return report.run_snapshot(bronze_results(spark, sf))
 
@@ -631,9 +734,7 @@ def narrative_history_latest(spark: SparkSession, sf: str) -> DataFrame:
 def kpis_from_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """A whole run over movements, judged, folded, stored and checked; its KPIs are read
     back from the snapshot in the history."""
-    layers = LayerNames(Staging.until_exit(spark).folder("goods-layers"))
-    bronze = runs.TableRun(b.bronze_movements(spark, sf), MOVEMENTS)
-    summary = runs.load_layers(spark, [bronze], layers, CTX)
+    layers, summary = stored_movements(spark, sf)
     runs.load_lead_times(spark, layers, b.EVENT_COLUMNS, b.EVENT_STAGES)
     results = runs.check_lead_time_layers(spark, layers, summary, CTX, b.EVENT_STAGES)
     kpis = report.of_run(readers.read_layer(spark, layers.gold("kpi_summary")), CTX)
@@ -646,7 +747,10 @@ def kpis_from_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 REGISTRY: dict[str, Query] = {
     "dedup_first_seen": dedup_first_seen,
+    "dedup_by_arrival": dedup_by_arrival,
     "code_to_stage_map": code_to_stage_map,
+    "code_to_stage_table": code_to_stage_table,
+    "silver_movements_by_codes": silver_movements_by_codes,
     "event_ts_fallback": event_ts_fallback,
     "silver_customers": silver_customers,
     "quarantine_customers": quarantine_customers,
@@ -662,6 +766,7 @@ REGISTRY: dict[str, Query] = {
     "recon_customers": recon_customers,
     "recon_orders": recon_orders,
     "recon_movements": recon_movements,
+    "recon_stored_movements": recon_stored_movements,
     "check_stored_layers": check_stored_layers,
     "check_row_count_delta": check_row_count_delta,
     "check_schema_drift": check_schema_drift,
@@ -692,6 +797,7 @@ REGISTRY: dict[str, Query] = {
     "failed_checks_by_table": failed_checks_by_table,
     "latest_run_results": latest_run_results,
     "findings_by_table": findings_by_table,
+    "history_table_new_columns": history_table_new_columns,
     "report_snapshot_json": report_snapshot_json,
     "findings_from_snapshot": findings_from_snapshot,
     "narrative_report": narrative_report,
@@ -699,5 +805,7 @@ REGISTRY: dict[str, Query] = {
     "narrative_history_latest": narrative_history_latest,
     "kpis_from_snapshot": kpis_from_snapshot,
     "scan_csv_roundtrip": scan_csv_roundtrip,
+    "scan_csv_escaped": scan_csv_escaped,
+    "layers_by_name": layers_by_name,
     "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
 }

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-import re
+import json
 from collections import Counter
+from datetime import datetime, timezone
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from siltgate.contracts import Intake, Lookup, Rule
+from siltgate.contracts import CodeTable, Intake, Lookup, Rule
+from siltgate.functions.numbers import exact_sum
 from siltgate.functions.predicates import not_positive
 from siltgate.operators import checks, dedup, lookups
 from siltgate.operators.classify import REASON, classify
+from siltgate.sources import readers, writers
 from siltgate.sources.staging import Staging
 from siltgate_queries.registry import REGISTRY
 
@@ -140,7 +144,9 @@ def test_distinct_counts_are_taken_apart(spark):
     df = spark.read.parquet(f"{SF_DIR}/customer.parquet")
     columns = ["c_custkey", "c_name"]
     plan = formatted(checks.evaluate(checks.as_silver(df), checks.uniqueness(df, columns)))
-    assert "Expand" not in plan and plan.count("FileScan parquet") == 3
+    assert "Expand" not in plan and plan.count("FileScan parquet") == 1
+    found = {r.check_name: r.metrics_json for r in checks.evaluate(checks.as_silver(df), checks.uniqueness(df, columns)).collect()}
+    assert len(found) == 2 and plan.count("Exchange hashpartitioning") == 1
 
 
 def test_count_unmatched_folds_before_joining(hot, parents):
@@ -185,7 +191,7 @@ def test_one_scan_feeds_all_row_checks(spark):
 
 PLANNED = [
     "silver_orders", "quarantine_orders", "quarantine_movements", "orphan_orders_anti",
-    "valid_orders_semi", "d2d_lead_times", "e2e_lead_times", "check_uniqueness",
+    "valid_orders_semi", "code_to_stage_table", "d2d_lead_times", "e2e_lead_times", "check_uniqueness",
     "check_referential_integrity", "dq_results_table",
 ]
 
@@ -207,12 +213,96 @@ def test_verdicts_move_no_wide_rows_when_exceptions_are_few(spark):
 
 def test_long_texts_are_shuffled_as_digests(spark):
     plan = formatted(REGISTRY["check_uniqueness"](spark, SF_DIR))
-    assert "sha2(" in plan
+    # The digest is made where rows become pairs; what crosses the exchange is a pair.
+    made = [line for line in plan.splitlines() if "sha2(cast(text#" in line]
+    assert made and all("inline(" in line for line in made)
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    digest = re.compile(r"sha2\(cast\(text#\d+ as binary\), 256\)#\d+")
-    assert any(digest.search(line) for line in exchanges)
-    assert not any("text#" in digest.sub("", line) for line in exchanges)
+    assert exchanges and not any("text#" in line for line in exchanges)
+    assert all("_value#" in line for line in exchanges if "_no#" in line)
 
 
 def formatted(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_code_tables_join_by_size_and_split_hot_codes(spark, threshold):
+    """A third of the rows have one code, a third none."""
+    i = F.col("id")
+    rows = spark.range(30000).select("id", F.when(i % 3 == 0, 7).when(i % 3 == 1, i % 500).alias("code"))
+    codes = spark.range(400).select(F.col("id").cast("string").alias("c"), (F.col("id") * 2).alias("v"))
+    spec = CodeTable("code", "c", {"value": "v"})
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": threshold,
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        with Staging(spark) as staging:
+            met = lookups.with_codes(rows.repartition(9), codes, spec, staging)
+            found = met.agg(F.count("*"), F.count("value"), F.sum("value")).first()
+            met.collect()
+            assert ("BroadcastHashJoin" in formatted(met)) == (threshold != "-1")
+            assert threshold != "-1" or "SortMergeJoin(skew=true)" in formatted(met)
+            with pytest.raises(lookups.RepeatedCodeError, match="'7'"):
+                lookups.with_codes(rows, codes.union(codes.filter("c = '7'")), spec, staging)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    known = [7 if n % 3 == 0 else n % 500 for n in range(30000) if n % 3 != 2]
+    known = [c for c in known if c < 400]
+    assert tuple(found) == (30000, len(known), 2 * sum(known))
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_quantities_sum_alike_however_rows_are_dealt(spark, partitions):
+    i = F.col("id")
+    value = F.when(i % 4 == 0, 0.1).when(i % 4 == 1, 1e15 + 0.3).when(i % 4 == 2, -1e15).otherwise(i / 7)
+    rows = spark.range(4000).select((i % 2).alias("g"), value.alias("v"), F.xxhash64("id").alias("h"))
+    total = rows.repartition(partitions, "h").groupBy("g").agg(exact_sum(F.col("v")).alias("s"))
+    exact = {0: Decimal(0), 1: Decimal(0)}
+    for n in range(4000):
+        v = [0.1, 1e15 + 0.3, -1e15, n / 7][n % 4]
+        exact[n % 2] += Decimal(repr(v)).quantize(Decimal("0.000001"), ROUND_HALF_UP)
+    assert {r.g: r.s for r in total.collect()} == {g: float(s) for g, s in exact.items()}
+
+
+def test_quantities_that_are_no_numbers(spark):
+    texts = [("a", "1.5"), ("a", "x"), ("a", None), ("a", "NaN"), ("a", "Infinity"), ("a", "2"),
+             ("b", "none"), ("c", "1e30"), ("c", "1"), ("d", "-9e21")]
+    rows = spark.createDataFrame(texts, "g string, v string").groupBy("g").agg(exact_sum(F.col("v")).alias("s"))
+    assert {r.g: r.s for r in rows.collect()} == {"a": 3.5, "b": None, "c": None, "d": -9e21}
+
+
+def test_texts_with_breaks_stay_rows_in_split_files(spark, tmp_path):
+    texts = ["a\nb", 'say "x", \\ and\r\n%0A %25', "\\", '"', "", None, " lead\n", "end\\\n", 'a\\"b,c"', "%", "ä\u2028b"]
+    rows = [(n, t) for n, t in enumerate(texts * 40)]
+    df = spark.createDataFrame(rows, "n INT, t STRING").coalesce(1)
+    where = str(tmp_path / "csv")
+    writers.write_csv(df, where, escaped=True)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+        back = readers.read_csv(spark, where, "n INT, t STRING", escaped=True)
+        assert back.rdd.getNumPartitions() > 5
+        assert sorted(map(tuple, back.collect())) == [(n, t or None) for n, t in rows]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_distinct_values_of_every_type(spark):
+    columns = "s string, b binary, d double, m decimal(20,2), t timestamp, a array<int>, x boolean"
+    t = datetime(2024, 10, 27, tzinfo=timezone.utc)
+    rows = [
+        ("a", b"a", 0.0, Decimal(1), t, [1], True), ("A", b"b", -0.0, Decimal(1), t, [1, None], True),
+        (None, None, None, None, None, None, None), (None, b"", float("nan"), Decimal(2), t, [], False),
+    ]
+    df = spark.createDataFrame(rows, columns)
+    results = checks.evaluate(checks.as_silver(df), checks.uniqueness(df, df.columns))
+    counted = {r.check_name: json.loads(r.metrics_json)["distinct"] for r in results.collect()}
+    assert list(counted.values()) == [3, 4, 3, 3, 2, 4, 3]
