@@ -37,6 +37,13 @@ def fold_of(doc_id: int | None) -> int:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS
 
 
+def _folds(rows: pd.DataFrame) -> np.ndarray:
+    """Ids come as whole numbers beside a flag: pandas would make doubles of longs among
+    which there is a NULL."""
+    pairs = zip(rows["doc_id"].tolist(), rows["named"].tolist(), strict=True)
+    return np.array([fold_of(i if named else None) for i, named in pairs], dtype=int)
+
+
 class Grams:
     """Words and word pairs of some texts: what is distinct, where it is, and how often it
     occurs in the texts that ``learn`` marks."""
@@ -86,7 +93,7 @@ class Grams:
 
 def _parts(rows: pd.DataFrame) -> Iterator[tuple[bool, np.ndarray, pd.DataFrame]]:
     """Rows of the tuning fold and all others: (is it, which rows are learnt from, rows)."""
-    folds = np.array([fold_of(None if pd.isna(i) else int(i)) for i in rows["doc_id"]], dtype=int)
+    folds = _folds(rows)
     for tuning in (False, True):
         mine = (folds == TUNING) == tuning
         if mine.any():
@@ -134,11 +141,11 @@ def _answers(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<u4").tobytes(), 1)
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), dtype="<u4").astype(np.int64)
+    return np.frombuffer(zlib.decompress(data), dtype="<i8")
 
 
 def context_bucket(counts: np.ndarray) -> np.ndarray:
@@ -186,20 +193,23 @@ def learn_weights(cells: pd.DataFrame, rounds: int = 100) -> np.ndarray:
 
 
 def _located(docs: DataFrame, staging: Staging, docs_each: int) -> DataFrame:
-    """(piece, row, doc_id, text): pieces are stretches of rows of one file, so that a
-    later pass finds the same pieces again. Rows that don't come from files are stored."""
+    """(piece, row, doc_id, named, text): pieces are stretches of rows of one file, so that a
+    later pass finds the same pieces again. Rows that don't come from files are stored.
+    A row without a doc_id isn't ``named`` and has a zero in its place."""
     doc_id, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit(""))
-    slim = [doc_id.alias("doc_id"), text.alias("text")]
+    named = doc_id.isNotNull().alias("named")
+    slim = [F.coalesce(doc_id, F.lit(0)).alias("doc_id"), named, text.alias("text")]
     row = F.col("_metadata.row_index").alias("row")
     piece = F.concat_ws("#", "_metadata.file_path", F.floor(F.col("_metadata.row_index") / docs_each))
     try:
         return docs.select(piece.alias("piece"), row, *slim)
     except AnalysisException:
-        return staging.table(docs.select(*slim), "ngram-rows").select(piece.alias("piece"), row, *slim)
+        stored = staging.table(docs.select(*slim), "ngram-rows")
+        return stored.select(piece.alias("piece"), row, "doc_id", "named", "text")
 
 
 def score_documents(
-    docs: DataFrame, staging: Staging, piece_mb: int = 20, bucket_mb: int = 8
+    docs: DataFrame, staging: Staging, piece_mb: int = 10, bucket_mb: int = 8
 ) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row.
 
@@ -290,11 +300,12 @@ def score_documents(
             base = np.log10((count + 1) / (tokens + known + 1))
             at = np.concatenate([[0], np.cumsum(grams.lengths)[:-1]])
             sums = [np.add.reduceat(x[grams.pair_of], at) for x in ((count > 0).astype(int), base, model)]
-            folds = [fold_of(None if pd.isna(i) else int(i)) for i in part["doc_id"]]
+            folds = _folds(part)
             out.append(
                 pd.DataFrame(
                     {
-                        "doc_id": part["doc_id"],
+                        "doc_id": part["doc_id"].to_numpy(),
+                        "named": part["named"].to_numpy(),
                         "held_out": [f == HELD_OUT for f in folds],
                         "n_tokens": grams.lengths,
                         "n_known": sums[0],
@@ -311,9 +322,11 @@ def score_documents(
         .cogroup(answers.groupBy("piece"))
         .applyInPandas(
             score,
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
+            "doc_id long, named boolean, held_out boolean, n_tokens long, n_known long, "
+            "train_tokens long, base_score double, score double",
         )
+        .withColumn("doc_id", F.when(F.col("named"), F.col("doc_id")))
+        .drop("named")
     )
 
 
@@ -325,4 +338,4 @@ def _bins(ratio: np.ndarray) -> np.ndarray:
 
 
 def _id_text() -> F.Column:
-    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    return F.when(F.col("named"), F.col("doc_id").cast("string")).otherwise("").cast("binary")
