@@ -20,7 +20,7 @@ WINDOW = 50  # words of a window
 GRAM = 8  # words of the grams of which a window's least hash is its minimiser
 CHUNK_BYTES = 2_000_000  # of text that is cut, or ranked, at a time
 FILTER_BITS = 1 << 25  # most bits of the filter of repeated minimisers: 4 MB
-SPLIT_ABOVE = 5_000  # different strings of a minimiser from which its windows go singly
+SPLIT_ABOVE = 1_000  # different strings of a minimiser from which its windows go singly
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
