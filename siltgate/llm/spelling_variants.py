@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.llm.common import parts_for
 from siltgate.sources.staging import Staging
 
 LETTERS = "A-Za-zÀ-ÿ"
@@ -18,6 +19,8 @@ PREFIX = 3  # rarest grams of a word: one edit meets at most two of them
 OUTER = 3  # most letters on the far side of the edit that a key holds
 SPREAD = 6.0  # words that one letter more in a key tells apart, as the costs assume
 
+PART_WORDS = 20_000  # words whose keys one task makes
+
 KEYS = "key long, word string, n long, last int"
 
 
@@ -163,6 +166,8 @@ def near_words(words: DataFrame, staging: Staging) -> DataFrame:
     is split by adaptive execution, both sides having an exchange of their own.
     """
     order = GramOrder.of(words)
+    # A word makes some forty rows of keys, so parts are set by words and not by bytes.
+    words = words.repartition(parts_for(words.count(), PART_WORDS), "word")
     listed = words.mapInArrow(_rows_of_keys(order, False), KEYS)
     asked = words.mapInArrow(_rows_of_keys(order, True), KEYS)
     mine, other = F.struct("l.word", "l.n"), F.struct("r.word", "r.n")
