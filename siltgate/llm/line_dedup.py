@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from siltgate.llm.common import maybe_in
 from siltgate.sources.staging import Staging
 
-PASSAGE_WORDS = 50  # a repeated run of whole lines of as many words is a repeated passage
 LINE_END = "(?<=[.!?\\n])"
+BLANKS = " \t\r\n"
+MARKED, ALONE = 60, 100  # characters from which a line is a boundary, and a chunk of its own
+REACH = 4  # lines on either side of a chunk that are compared
+LONG_BIT, ALONE_BIT = 1, 2
 
 
 def _let(value: Column, body) -> Column:
@@ -19,204 +22,254 @@ def _let(value: Column, body) -> Column:
 
 def lines(text: Column) -> Column:
     """A text's lines, cut behind line breaks and sentence ends; joined, they are the text."""
-    return F.filter(F.split(text, LINE_END), lambda u: u != "")
+
+    def whole(u: Column) -> Column:
+        last_empty = F.element_at(u, -1) == ""
+        return F.when(last_empty, F.slice(u, F.lit(1), F.size(u) - 1)).otherwise(u)
+
+    return _let(F.split(text, LINE_END), whole)
+
+
+def trimmed(units: Column) -> Column:
+    return F.transform(units, lambda u: F.btrim(u, F.lit(BLANKS)))
 
 
 def line_hashes(units: Column) -> Column:
-    return F.transform(units, lambda u: F.xxhash64(F.btrim(u, F.lit(" \t\r\n"))))
+    """Hashes of trimmed lines whose two lowest bits tell long lines."""
+
+    def hashed(u: Column) -> Column:
+        size = F.length(u)
+        bits = F.when(size >= ALONE, LONG_BIT | ALONE_BIT).when(size >= MARKED, LONG_BIT).otherwise(0)
+        return F.xxhash64(u).bitwiseAND(F.lit(-4)) + bits
 
+    return F.transform(units, hashed)
 
-def chunk_spans(hashed: Column, divisor: int) -> Column:
-    """(s, e) of each chunk: from one boundary line to the next, both included.
 
-    A line is a boundary if the rolling hash over it and the line before is divisible;
-    so are a text's first and last line. Boundaries depend on two lines only, whatever
-    stands before, and every chunk has at least two lines.
+def _has(h: Column, bit: int) -> Column:
+    return h.bitwiseAND(F.lit(bit)) != 0
+
+
+def chunk_spans(h: Column) -> Column:
+    """(s, e, chunk) of each chunk: its first and last line and a hash.
+
+    A line is a boundary if the rolling hash over it and the next line is not divisible
+    by 3, or if it is long; so are a text's first and last line. A chunk goes from one
+    boundary to the next, both included, and a very long line is one too. Boundaries
+    depend on two lines only, whatever stands around them. The hash takes in the chunk's
+    first two lines, its last and its size; bytes are compared later.
     """
+    last = F.size(h) - 1
 
-    def spans(h: Column) -> Column:
-        before = F.concat(F.array(F.lit(0).cast("long")), F.slice(h, 1, F.size(h) - 1))
-        rolled = F.zip_with(before, h, lambda p, x: F.pmod(F.xxhash64(p, x), F.lit(divisor)) == 0)
-        inner = F.filter(
-            F.transform(rolled, lambda yes, i: F.when(yes, i)), lambda i: i.isNotNull()
-        )
-        marks = F.array_distinct(F.concat(F.array(F.lit(0)), inner, F.array(F.size(h) - 1)))
-        return _let(
-            marks,
-            lambda m: F.zip_with(
-                F.slice(m, 1, F.size(m) - 1),
-                F.slice(m, 2, F.size(m) - 1),
-                lambda s, e: F.struct(s.alias("s"), e.alias("e")),
-            ),
-        )
+    def is_boundary(i: Column) -> Column:
+        here = F.get(h, i)
+        rolled = F.pmod(F.xxhash64(here, F.get(h, i + 1)), F.lit(3))
+        return (i == 0) | (i == last) | _has(here, LONG_BIT) | (rolled > 0)
 
-    none = F.array().cast("array<struct<s:int,e:int>>")
-    return F.when(F.size(hashed) < 2, none).otherwise(_let(hashed, spans))
+    def span(s: Column, e: Column, *of: Column) -> Column:
+        return F.struct(s.alias("s"), e.alias("e"), F.xxhash64(*of).alias("chunk"))
 
+    def chunk(s: Column, e: Column) -> Column:
+        return span(s, e, F.get(h, s), F.get(h, s + 1), F.get(h, e), e - s)
 
-def passage_spans(units: Column, words: int) -> Column:
-    """(s, e) of each run of lines from the line of a word to that of the ``words``-th word
-    from it, at most two for a line.
+    marks = F.filter(F.sequence(F.lit(0), last), is_boundary)
+    between = _let(
+        marks,
+        lambda m: F.zip_with(F.slice(m, F.lit(1), F.size(m) - 1), F.slice(m, F.lit(2), F.size(m) - 1), chunk),
+    )
+    alone = F.filter(F.sequence(F.lit(0), last), lambda i: _has(F.get(h, i), ALONE_BIT))
+    return F.concat(between, F.transform(alone, lambda i: span(i, i, F.get(h, i))))
 
-    A run depends on its own lines only, so a shared run of lines of ``words`` words or
-    more shares them all, and each of its lines is in one of them.
-    """
-    base = F.lit(1 << 32)
-
-    def spans(line: Column) -> Column:
-        starts = F.greatest(F.size(line) - (words - 1), F.lit(0))
-        coded = F.zip_with(
-            F.slice(line, F.lit(1), starts),
-            F.slice(line, F.lit(words), starts),
-            lambda s, e: s.cast("long") * base + e,
+
+def _shown(units: Column, spans: Column) -> Column:
+    """What is compared of each chunk: the SHA-256 of its trimmed lines, hashes of the lines
+    on either side, nearest first, and its weight in words and characters. Neighbouring
+    chunks share a line, which counts for the one that it ends; ``head`` has the words
+    of the first line."""
+
+    def count(text: Column) -> Column:
+        return F.size(F.filter(F.split(text, "\\s+"), lambda w: w != ""))
+
+    def shown(t: Column, c: Column) -> Column:
+        s, e = c["s"], c["e"]
+        text = F.array_join(F.slice(t, s + 1, e - s + 1), "\n")
+        own = F.when(s == e, text).otherwise(
+            F.array_join(F.slice(t, F.when(s == 0, 1).otherwise(s + 2), F.when(s == 0, e + 1).otherwise(e - s)), "\n")
         )
-        return F.transform(
-            F.array_distinct(coded),  # of longs, which it hashes, not of structs
-            lambda c: F.struct(
-                F.shiftright(c, 32).cast("int").alias("s"), F.pmod(c, base).cast("int").alias("e")
-            ),
+        before = F.reverse(F.slice(t, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH))))
+        return F.struct(
+            s.alias("s"),
+            e.alias("e"),
+            F.unhex(F.sha2(text, 256)).alias("bytes"),
+            F.transform(before, lambda x: F.xxhash64(x)).alias("before"),
+            F.transform(F.slice(t, e + 2, F.lit(REACH)), lambda x: F.xxhash64(x)).alias("after"),
+            count(own).alias("words"),
+            F.when((s == e) | (s == 0), 0).otherwise(count(F.get(t, s))).alias("head"),
+            F.when(s == e, 0).otherwise(F.length(own)).alias("chars"),
         )
 
-    of_word = F.transform(units, lambda u, i: F.array_repeat(i, F.regexp_count(u, F.lit("\\S+"))))
-    return _let(F.flatten(of_word), spans)
+    return _let(trimmed(units), lambda t: F.transform(spans, lambda c: shown(t, c)))
 
 
-def _chunks(
-    docs: DataFrame, divisor: int, passage_words: int | None, with_bytes: bool = False
-) -> DataFrame:
-    """(_doc, _text, s, e, chunk) of every chunk, chunk being a hash of its line hashes;
-    on demand also ``bytes``, the SHA-256 of its bytes."""
-
-    def shown(u: Column, h: Column, c: Column) -> Column:
-        place, size = c["s"] + 1, c["e"] - c["s"] + 1
-        fields = [
-            c["s"].alias("s"),
-            c["e"].alias("e"),
-            F.xxhash64(F.slice(h, place, size)).alias("chunk"),
-        ]
-        if with_bytes:
-            fields.append(F.unhex(F.sha2(F.array_join(F.slice(u, place, size), ""), 256)).alias("bytes"))
-        return F.struct(*fields)
+def _alike(mine: Column, theirs: Column) -> Column:
+    """How many of the first elements of two short lists are equal."""
+    equal = F.zip_with(mine, theirs, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    differs = F.array_position(equal, F.lit(False))
+    return F.when(differs == 0, F.size(mine)).otherwise(differs - 1).cast("int")
 
-    def spans(u: Column, h: Column) -> Column:
-        if passage_words is None:
-            return chunk_spans(h, divisor)
-        return F.concat(chunk_spans(h, divisor), passage_spans(u, passage_words))
 
-    def made(u: Column) -> Column:
-        return _let(line_hashes(u), lambda h: F.transform(spans(u, h), lambda c: shown(u, h, c)))
+def _begin() -> Column:
+    """Where a chunk's stretch begins: at its farthest line before the chunk that is alike
+    and not blank, else at the chunk, whose first line is left out if it is blank. So
+    the line break before a passage stays."""
+    blank = F.xxhash64(F.lit(""))
+    near = F.slice(F.col("before"), F.lit(1), _alike(F.col("before"), F.col("_first.before")))
+    reach = F.coalesce(F.array_max(F.transform(near, lambda x, i: F.when(x != blank, i + 1))), F.lit(0))
+    starts_blank = (F.col("head") == 0) & (F.col("s") > 0) & (F.col("s") < F.col("e"))
+    return F.when((reach == 0) & starts_blank, F.col("s") + 1).otherwise(F.col("s") - reach)
 
-    return docs.select("_doc", "_text", F.inline(_let(lines(F.col("_body")), made)))
 
+def _repeated_stretches(places: DataFrame, staging: Staging, least_words: int, copies: float | None) -> DataFrame:
+    """(_doc, _text, _spans, _copy): the lines that a text repeats, from places of chunks."""
+    at = F.struct("_doc", "_text", "s")
+    firsts = places.groupBy("bytes").agg(
+        F.min(F.struct("_doc", "_text", "s", "e", "before", "after", "size")).alias("_first"), F.max(at).alias("_last")
+    )
+    known = F.struct("_first._doc", "_first._text", "_first.s")
+    firsts = staging.table(
+        firsts.filter(known != F.col("_last")).select(F.col("bytes").alias("_bytes"), "_first"), "first-places"
+    )
+    met = places.join(firsts, F.col("bytes").eqNullSafe(F.col("_bytes"))).filter(at != known)
+    same = (F.col("_first._doc") == F.col("_doc")) & (F.col("_first._text") == F.col("_text"))
+    begin = _begin()
+    met = met.select(
+        "_doc",
+        "_text",
+        F.col("_first._doc").alias("_doc0"),
+        F.col("_first._text").alias("_text0"),
+        (F.col("s") - F.col("_first.s")).alias("_shift"),
+        # A stretch that overlaps its own first place leaves that alone.
+        F.when(same, F.greatest(begin, F.col("_first.e") + 1)).otherwise(begin).alias("s"),
+        (F.col("e") + _alike(F.col("after"), F.col("_first.after"))).alias("e"),
+        F.struct("s", "e", "head", "words", "chars").alias("_chunk"),
+        F.greatest("size", "_first.size").alias("_size"),
+    )
+    stretches = (
+        met.filter("s <= e")
+        .groupBy("_doc", "_text", "_doc0", "_text0", "_shift")
+        .agg(
+            F.collect_set(F.struct("s", "e")).alias("_parts"),
+            F.collect_set("_chunk").alias("_chunks"),
+            F.max("_size").alias("_size"),
+        )
+    )
 
-def _firsts(places: DataFrame, kind: str, at: Column, keys: list[str]) -> DataFrame:
-    """(_doc, _text, s, e) of the places of each kind but its first."""
-    first = places.groupBy(kind).agg(F.min(at).alias("first"))
-    return places.join(first, kind).filter(at != F.col("first")).select(*keys, "s", "e")
+    def total(field: str) -> Column:
+        return F.aggregate("_chunks", F.lit(0).cast("long"), lambda a, c: a + c[field])
+
+    words = total("words") + F.array_min("_chunks")["head"]
+    share = F.lit(copies) if copies is not None else F.lit(float("inf"))
+    is_copy = (F.col("_doc0") != F.col("_doc")) & (total("chars") >= share * F.col("_size"))
+    return (
+        stretches.filter(words >= least_words)
+        .select("_doc", "_text", "_parts", is_copy.alias("_copy"))
+        .groupBy("_doc", "_text")
+        .agg(F.flatten(F.collect_list("_parts")).alias("_spans"), F.max("_copy").alias("_copy"))
+    )
 
 
 def remove_repeated_chunks(
-    docs: DataFrame,
-    staging: Staging,
-    divisor: int = 2,
-    least_words: int = 8,
-    whole_from: float | None = None,
-    passage_words: int | None = None,
+    docs: DataFrame, staging: Staging, least_words: int = 8, leave_copies: float | None = None
 ) -> DataFrame:
     """``docs`` with two columns more and ``text`` without the chunks of lines that occur
     earlier: ``lines_removed`` and ``chars_removed``.
 
-    Lines end at line breaks and sentence ends. Of a chunk that occurs repeatedly,
-    within one text or several, the first occurrence stays: the least doc_id (NULL
-    first), then the least place. The others are removed if the bytes of all, told by
-    their SHA-256, equal the first's. A shared passage loses what lies between its first and its last boundary,
-    at a ``divisor`` of 2 all but a line at either end on average. A chunk of fewer than
-    ``least_words`` words stays, as chance repeats it. With ``passage_words``, the shortest
-    runs of lines of that many words are chunks too, from every line on: each repeated
-    run of whole lines of ``passage_words`` or more goes whole, one line included. With ``whole_from``, a
-    document of which at least that share of characters would go is left as it is: it
-    is a copy of a document, not the host of a passage.
-
-    A NULL text stays NULL, an empty one empty; one line is no chunk but as a passage. Rows of equal
-    doc_id and text count as one document and get the same text. Extra columns pass
-    through; an empty table stays empty.
-
-    Hashes of all chunks are counted with map-side folding. A Bloom filter of bounded
-    size, made of the repeated ones, keeps most others from being stored with their
-    places and bytes. For each hash the least and the greatest bytes are compared,
-    again folded before they move; where they differ the hash is no chunk and the bytes
-    are in its place. The first place then goes to the others, whose spans are gathered
-    by document. A hot chunk's places are the large side of joins whose other side is
-    unique, which adaptive execution can split. Texts are shuffled once, to meet their
-    spans, and only those that may have one.
+    Lines end at line breaks and sentence ends; blanks at their ends don't count. Chunks
+    are told by ``chunk_spans``. Of a chunk that occurs repeatedly, within one text or
+    several, the first occurrence stays: the least doc_id (NULL first), then the least
+    place. Every other one, and up to ``REACH`` lines on either side of it that are the
+    same beside the first, is part of a stretch that repeats one earlier text at one
+    distance; blank lines at its beginning are not. Stretches of at least ``least_words`` words go; shorter ones may be chance. A
+    stretch never takes lines from the first place of a chunk it repeats. Lines that
+    stay are left as they are. Texts are judged as they come, not as edited.
+
+    With ``leave_copies``, a document of which a stretch has at least that share of its
+    own characters and of the earlier document's, whichever is longer, is a near copy
+    of that document and is left whole, for a later stage that chooses among copies.
+
+    A NULL text stays NULL, an empty one empty. Rows of equal doc_id and text count as one
+    document and get the same text. Extra columns pass through, whatever their names, but for
+    columns called as the two new ones, which these replace; an empty table stays empty.
+
+    Chunks of all texts are told once and stored as numbers. Their hashes are counted with
+    map-side folding. A Bloom filter of bounded size, made of the repeated ones, leaves the
+    texts that have some; these are shuffled to meet their chunks, of which the bytes,
+    told by SHA-256, are compared. The first place of a chunk goes to the others in a
+    null-safe join of two stored tables, so that a hot chunk's places can be split. Spans
+    are gathered by document and meet its text.
     """
+    columns = [c for c in docs.columns if c not in ("lines_removed", "chars_removed")]
     keys = ["_doc", "_text"]
     named = docs.select(
-        F.struct("*").alias("_in"),
+        F.struct(*columns).alias("_in"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"),
         F.xxhash64("text").alias("_text"),
     )
-    bodies = named.select(*keys, F.coalesce(F.col("_in")["text"], F.lit("")).alias("_body"))
-    counted = _chunks(bodies, divisor, passage_words).groupBy("chunk").agg(F.count(F.lit(1)).alias("n"))
-    repeated = staging.table(counted.filter("n > 1").select("chunk"), "repeated-chunks")
-    shown = _chunks(bodies, divisor, passage_words, True)
-    shown = maybe_in(shown, "chunk", repeated, "chunk", repeated.count())
+    body = F.coalesce(F.col("_in")["text"], F.lit(""))
+    full = named.filter(F.col("_in")["text"] != "").select(*keys, body.alias("_body"))
+    spans = _let(line_hashes(trimmed(lines(F.col("_body")))), chunk_spans)
+    chunked = staging.table(full.select(*keys, spans.alias("_spans")), "chunks")
+    counted = chunked.select(F.explode("_spans.chunk").alias("chunk")).groupBy("chunk").count()
+    repeated = staging.table(counted.filter("count > 1").select("chunk"), "repeated-chunks")
+    every = chunked.select(*keys, F.inline("_spans"))
+    hits = maybe_in(every, "chunk", repeated, "chunk", repeated.count()).filter("_possible")
+    hits = staging.table(
+        hits.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "chunk-hits"
+    )
+    texts = _of_owners(full, hits, keys)[0].join(_renamed(hits, keys), _same(keys))
+    shown = _let(lines(F.col("_body")), lambda u: _shown(u, F.col("_spans")))
     folder = staging.folder("chunk-places")
-    shown.filter("_possible").drop("_possible").write.option("compression", "zstd").parquet(folder)
+    texts.select(*keys, F.length("_body").alias("size"), F.inline(shown)).write.option(
+        "compression", "zstd"
+    ).parquet(folder)
     places = docs.sparkSession.read.parquet(folder)
-    at = F.struct("_doc", "_text", "s")
-    same = places.groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("n"), F.min("bytes").alias("low"), F.max("bytes").alias("high")
-    )
-    same = staging.table(same.filter("n > 1").selectExpr("chunk", "low = high AS alike"), "chunks-alike")
-    spans = _firsts(places.join(same.filter("alike"), "chunk", "left_semi"), "chunk", at, keys)
-    apart = same.filter("NOT alike").select(F.col("chunk").alias("_apart"))
-    if clashes := apart.count():
-        few = maybe_in(places, "chunk", apart, "_apart", clashes).filter("_possible")
-        few = few.join(apart, F.col("chunk") == F.col("_apart"), "left_semi")
-        spans = spans.union(_firsts(few, "bytes", at, keys))
-    spans = staging.table(
-        spans.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "chunk-spans"
-    )
-
-    def gone(u: Column) -> Column:
-        """Numbers of the lines that go."""
-
-        def span(c: Column) -> Column:
-            text = F.array_join(F.slice(u, c["s"] + 1, c["e"] - c["s"] + 1), "")
-            words = F.size(F.split(F.btrim(text, F.lit(" \t\r\n")), "\\s+"))
-            return F.when(words >= least_words, F.sequence(c["s"], c["e"])).otherwise(
-                F.array().cast("array<int>")
-            )
+    found = staging.table(_repeated_stretches(places, staging, least_words, leave_copies), "chunk-spans")
+    found = found.filter("NOT _copy").drop("_copy")
 
-        return F.array_distinct(F.flatten(F.transform("_spans", span)))
+    def edited(u: Column) -> Column:
+        gone = F.array_distinct(F.flatten(F.transform("_spans", lambda c: F.sequence(c["s"], c["e"]))))
 
-    def rest(u: Column, out: Column) -> Column:
-        kept = F.array_except(F.sequence(F.lit(0), F.size(u) - 1), out)
-        return F.array_join(F.transform(kept, lambda i: F.get(u, i)), "")
+        def rest(out: Column) -> Column:
+            kept = F.array_except(F.sequence(F.lit(0), F.size(u) - 1), out)
+            text = F.array_join(F.transform(kept, lambda i: F.get(u, i)), "")
+            return F.struct(F.size(out).cast("long").alias("n"), text.alias("text"))
 
-    def edited(u: Column) -> Column:
-        return _let(
-            gone(u),
-            lambda out: F.struct(F.size(out).cast("long").alias("n"), rest(u, out).alias("text")),
-        )
+        return _let(gone, rest)
 
-    owners = spans.select(F.xxhash64(*keys).alias("_owner"))
-    marked = maybe_in(
-        named.withColumn("_key", F.xxhash64(*keys)), "_key", owners, "_owner", owners.count()
-    )
+    owners, others = _of_owners(named, found, keys)
     new = F.when(F.col("_spans").isNotNull(), _let(lines(F.col("_in")["text"]), edited))
-    joined = marked.filter("_possible").join(spans, keys, "left").select("_in", new.alias("_new"))
-    kept = marked.filter("NOT _possible").select("_in", F.lit(None).cast(joined.schema["_new"].dataType).alias("_new"))
-    joined = joined.union(kept)
-    size = F.char_length(F.col("_in")["text"])
-    lost = size - F.char_length(F.col("_new")["text"])
+    met = owners.join(_renamed(found, keys), _same(keys), "left").select("_in", new.alias("_new"))
+    kept = others.select("_in", F.lit(None).cast(met.schema["_new"].dataType).alias("_new"))
     applies = F.col("_new").isNotNull()
-    if whole_from is not None:
-        applies = applies & (lost < size * F.lit(whole_from))
-    text = F.when(applies, F.col("_new")["text"]).otherwise(F.col("_in")["text"]).alias("text")
-    return joined.select(
-        *[text if c == "text" else F.col("_in")[c].alias(c) for c in docs.columns],
+    text = F.when(applies, F.col("_new")["text"]).otherwise(F.col("_in")["text"])
+    lost = F.char_length(F.col("_in")["text"]) - F.char_length(F.col("_new")["text"])
+    return met.union(kept).select(
+        *[(text if c == "text" else F.col("_in")[c]).alias(c) for c in columns],
         F.when(applies, F.col("_new")["n"]).otherwise(F.lit(0)).cast("long").alias("lines_removed"),
         F.when(applies, lost).otherwise(F.lit(0)).cast("long").alias("chars_removed"),
     )
+
+
+def _of_owners(rows: DataFrame, found: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that may own one of the stored lists, and those that surely don't."""
+    owners = found.select(F.xxhash64(*keys).alias("_owner"))
+    marked = maybe_in(rows.withColumn("_key", F.xxhash64(*keys)), "_key", owners, "_owner", owners.count())
+    return marked.filter("_possible").drop("_key"), marked.filter("NOT _possible").drop("_key")
+
+
+def _renamed(found: DataFrame, keys: list[str]) -> DataFrame:
+    return found.select(*[F.col(k).alias(f"{k}_") for k in keys], "_spans")
+
+
+def _same(keys: list[str]) -> Column:
+    first, second = (F.col(k).eqNullSafe(F.col(f"{k}_")) for k in keys)
+    return first & second

@@ -29,7 +29,7 @@ AWKWARD = [
 # Names that the operators use themselves.
 CLASHES = (
     "group shard slot bytes part fp node root key variant near centre block listed_url piece row "
-    "bucket chunk s e _doc _text _body _row _next _later _key size text_crc32 score keep label"
+    "bucket chunk s e _doc _text _body _row _next _later _key size text_crc32 score keep label spans size_ words named "
 ).split()
 
 

@@ -19,7 +19,7 @@ def test_short_passages_go_whole(spark, staging):
         own.insert(draw.randrange(7), passages[n % len(passages)])
         docs.append((n, "\n".join(own)))
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    found = line_dedup.remove_repeated_chunks(df, staging, passage_words=line_dedup.PASSAGE_WORDS)
+    found = line_dedup.remove_repeated_chunks(df, staging)
     out = {r.doc_id: r.text for r in found.collect()}
     for n, text in docs:
         passage = passages[n % len(passages)]

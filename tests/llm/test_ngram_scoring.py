@@ -95,7 +95,7 @@ def test_weights_follow_what_predicts():
 def test_long_ids_beside_null(spark, staging):
     """Ids that doubles can't tell apart, in one piece with a row that has none."""
     big = (1 << 53) + 1
-    rows = [(i, f"one two {i % 3} three") for i in (None, big, big + 1, big + 2, big + 3, -big, 0, 7, None)]
+    rows = [(i, f"one two {(i or 0) % 3} three") for i in (None, big, big + 1, big + 2, big + 3, -big, 0, 7, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = lm.score_documents(docs, staging).collect()
     close(found, brute(rows))
