@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.common import components
+from siltgate.llm.common import components, maybe_in
 from siltgate.sources.staging import Staging
 
 SEED = 42
@@ -162,3 +162,167 @@ def near_duplicates(docs: DataFrame, staging: Staging) -> DataFrame:
     return rows.join(staging.table(by_fp, "simhash-components"), "fp").select(
         "doc_id", "fp", "component_id"
     )
+
+
+PARTS, PART_BITS = 16, 32
+SKETCH = 8
+LIKENESS, LIKENESS_WORDS = 0.8, 5
+
+
+def shingle_hashes(text: str, words_each: int) -> np.ndarray:
+    """XXH64 of a text's different word shingles, in order; as ``fingerprint`` has them."""
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    if len(words) < words_each:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], dtype=np.uint64)
+    shingles = set(map(b" ".join, zip(*(words[k:] for k in range(words_each)), strict=False)))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(s, SEED) for s in shingles), dtype=np.uint64, count=len(shingles)))
+
+
+def _remixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Another 64 bits of each hash."""
+    mixed = hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(turn + 1)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return mixed ^ (mixed >> np.uint64(31))
+
+
+def wide_fingerprint(hashes: np.ndarray, parts: int = PARTS) -> np.ndarray:
+    """A SimHash of ``parts`` times 32 bits."""
+    out = []
+    with np.errstate(over="ignore"):
+        for turn in range(-(-parts * PART_BITS // BITS)):
+            votes = np.zeros(BITS, dtype=np.int64)
+            for at in range(0, len(hashes), 1 << 14):
+                mixed = _remixed(hashes[at : at + (1 << 14)], turn).astype(">u8").view(np.uint8)
+                votes += np.unpackbits(mixed.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            out.append(np.packbits(votes * 2 > len(hashes)).view(">u4"))
+    return np.concatenate(out)[:parts].astype(np.int64)
+
+
+def _classed(docs: DataFrame, words_each: int, parts: int) -> DataFrame:
+    """(doc_id, body, node, parts, sketch) of every row: hashes of the text and of its words,
+    the wide fingerprint's parts and the least shingle hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, wide, sketches = [], [], []
+            for text in batch["text"]:
+                text = text.as_py() or ""
+                words = text.encode("utf-8", "surrogatepass").lower().split()
+                nodes.append(xxhash.xxh64_intdigest(b" ".join(words), 7))
+                hashes = shingle_hashes(text, words_each)
+                wide.append(wide_fingerprint(hashes, parts).tolist() if len(hashes) else [])
+                sketches.append(np.sort(_remixed(hashes, PARTS))[:SKETCH].view(np.int64).tolist())
+            columns = [
+                batch["doc_id"],
+                batch["body"],
+                pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
+                pa.array(wide, type=pa.list_(pa.int64())),
+                pa.array(sketches, type=pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "parts", "sketch"])
+
+    return docs.mapInArrow(
+        run, "doc_id long, body long, node long, parts array<long>, sketch array<long>"
+    )
+
+
+def _candidates(classes: DataFrame, staging: Staging) -> DataFrame:
+    """Pairs (a, b) of nodes that may be alike: first those share one of their least
+    shingle hashes with another, then some part of their fingerprints differs in two
+    bits at most. Then a part has a variant one bit from either, and both emit that."""
+    shared = (
+        classes.select("node", F.explode("sketch").alias("key"))
+        .groupBy("key")
+        .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+        .filter("least < most")
+        .select(F.col("key").alias("_key"))
+    )
+    shared = staging.table(shared, "sketch-keys")
+    met = classes.select("node", F.explode("sketch").alias("key")).join(
+        shared, F.col("key").eqNullSafe(F.col("_key")), "left_semi"
+    )
+    near_by = staging.table(
+        classes.join(met.select(F.col("node").alias("_node")).distinct(), F.col("node") == F.col("_node"), "left_semi")
+        .select("node", "parts"),
+        "likely-nodes",
+    )
+    flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << k).cast("long") for k in range(PART_BITS)])
+    variants = F.flatten(
+        F.transform(
+            "parts", lambda p, i: F.transform(flips, lambda m: p.bitwiseXOR(m) + i.cast("long") * (1 << PART_BITS))
+        )
+    )
+    ball = near_by.select("node", F.explode(variants).alias("key"))
+    ends = ball.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
+    ends = staging.table(ends.filter("least < most").withColumnRenamed("key", "_key"), "part-keys")
+    found = ball.join(ends.hint("merge"), F.col("key").eqNullSafe(F.col("_key")))
+    found = found.select("node", F.explode(F.array("least", "most")).alias("other")).filter("node <> other")
+    return found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _alike_pairs(pairs: DataFrame, texts: DataFrame, words_each: int, likeness: float) -> DataFrame:
+    """The pairs (a, b) whose texts, by (node, text), share ``likeness`` of their shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
+                p, q = shingle_hashes(x, words_each), shingle_hashes(y, words_each)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                kept.append(both >= likeness * (len(p) + len(q) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, type=pa.bool_()))
+
+    x = texts.select(F.col("node").alias("a_"), F.col("text").alias("x"))
+    y = texts.select(F.col("node").alias("b_"), F.col("text").alias("y"))
+    met = pairs.join(x, F.col("a").eqNullSafe(F.col("a_"))).join(y, F.col("b").eqNullSafe(F.col("b_")))
+    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def near_copies(
+    docs: DataFrame,
+    staging: Staging,
+    words_each: int = LIKENESS_WORDS,
+    likeness: float = LIKENESS,
+    parts: int = PARTS,
+) -> DataFrame:
+    """(doc_id, body, component_id) of each row: documents linked by texts that share
+    ``likeness`` of their different shingles of ``words_each`` words, by the least doc_id
+    that links reach. ``body`` is the xxhash64 of the row's text.
+
+    One 64-bit fingerprint can't tell a likeness of 0.8, at which 13 of its bits may
+    differ. So this takes ``parts`` times 32 bits: texts that are alike have a part that
+    differs in two bits at most, and both emit all its variants within one bit (ball
+    hashing by parts). Only texts that share one of their eight least shingle hashes with
+    another emit them. Of all that meet on a variant each is compared with the least
+    and the greatest, by their exact shingles; of groups of copies that links no worse than
+    all pairs would where likeness to one of these holds. Texts of the same words are one
+    node. No link is wrong; recall is measured in the README.
+
+    A NULL text is empty; texts without words are copies of each other. Rows without a
+    doc_id take part and never give a component its id, which is NULL if no row of it has
+    one. Repeated rows are kept; an empty table gives no rows; other columns are ignored.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("body"))
+    rows = staging.table(_classed(slim, words_each, parts), "wide-rows")
+    classes = rows.groupBy("node").agg(
+        F.min("doc_id").alias("first"), F.min("body").alias("body"),
+        F.min("parts").alias("parts"), F.min("sketch").alias("sketch"),
+    )
+    classes = staging.table(classes, "wide-classes")
+    pairs = staging.table(_candidates(classes.select("node", "parts", "sketch"), staging), "wide-pairs")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = staging.table(asked.join(classes.select("node", "body"), "node"), "asked-texts")
+    maybe = maybe_in(slim, "body", asked, "body", asked.count()).filter("_possible").select("text", F.col("body").alias("_body"))
+    texts = maybe.join(asked, F.col("_body").eqNullSafe(F.col("body"))).select("node", "text")
+    texts = staging.table(texts.groupBy("node").agg(F.min("text").alias("text")), "wide-texts")
+    roots = components(staging.table(_alike_pairs(pairs, texts, words_each, likeness), "wide-links"), staging)
+    rooted = classes.select("node", "first").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
+    rooted = rooted.select("node", "first", F.coalesce("root", "node").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.select(F.col("node").alias("_node"), "root").join(ids, "root").select("_node", "component_id")
+    named = staging.table(named, "wide-components")
+    return rows.join(named, F.col("node").eqNullSafe(F.col("_node"))).select("doc_id", "body", "component_id")

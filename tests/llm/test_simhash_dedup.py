@@ -77,3 +77,45 @@ def test_awkward_rows(spark, staging):
     assert of[(2, signed(plain_fingerprint(cases.AWKWARD[0][1])))] == 1
     assert of[(None, signed(plain_fingerprint("no id here at all")))] is None
     assert simhash_dedup.near_duplicates(cases.empty(spark), staging).count() == 0
+
+
+def plain_likeness(a, b, words=5):
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else {()}
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_are_found_and_no_others(spark, staging):
+    """Copies of 0 to 12 changed words among 200, and texts that share half."""
+    draw = random.Random(3)
+    docs = []
+    for g in range(120):
+        base = [f"w{draw.randrange(500)}" for _ in range(200)]
+        for c in range(4):
+            words = list(base) if c < 3 else base[:100] + [f"w{draw.randrange(500)}" for _ in range(100)]
+            for _ in range(0 if c in (0, 3) else draw.randrange(7)):
+                words[draw.randrange(200)] = f"x{draw.randrange(10**6)}"
+            docs.append((g * 4 + c, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in simhash_dedup.near_copies(df, staging).collect()}
+    text = dict(docs)
+    alike = [
+        (a, b) for g in range(120) for a in range(4 * g, 4 * g + 4) for b in range(4 * g, a)
+        if plain_likeness(text[a], text[b]) >= 0.8
+    ]
+    root = cases.closure(list(text), alike)
+    assert len(alike) > 150
+    found = sum(got[a] == got[b] for a, b in alike)
+    assert found >= 0.93 * len(alike)
+    assert all(root[i] == root[c] for i, c in got.items())
+
+
+def test_near_copies_of_awkward_rows(spark, staging):
+    rows = simhash_dedup.near_copies(cases.awkward(spark, True), staging).collect()
+    ids = {r.doc_id: r.component_id for r in rows}
+    assert len(rows) == len(cases.AWKWARD) and ids[2] == ids[1] == 1 and ids[3] == ids[4] == ids[5] == 3
+    assert ids[None] is None and ids[6] == 6 and ids[-5] == -5
+    assert simhash_dedup.near_copies(cases.empty(spark), staging).count() == 0
