@@ -191,9 +191,10 @@ def pack_documents(
 ) -> DataFrame:
     """Pieces of documents in windows of at most ``window`` tokens; see ``PIECES``.
 
-    Documents keep their order by doc_id, then text. They are dealt out by ranges of
-    doc_id; each partition is one stream that is packed in blocks of ``block`` tokens,
-    so memory is bounded whatever a document's length. A cut costs nothing at a
+    Documents keep their order by doc_id, then a hash of their text, then their place in
+    ``docs``. They are dealt out by ranges of the three, so that rows of one doc_id, or
+    copies of one row, may be any number; each partition is one stream that is packed in
+    blocks of ``block`` tokens, so memory is bounded whatever a document's length. A cut costs nothing at a
     document's end, ``sentence_cost`` at a sentence's end, and ``hard_cost`` elsewhere;
     the last is allowed only within a sentence longer than a window. A NULL text is
     empty and packs as its end id alone; a NULL doc_id stays NULL; repeated rows are
@@ -201,9 +202,15 @@ def pack_documents(
     Sequence ids are unique: the partition's number times 2**40, then counted from 0.
     """
     ordered = (
-        docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select(
+            "doc_id",
+            F.coalesce(F.col("text"), F.lit("")).alias("text"),
+            F.xxhash64("text").alias("_hash"),
+            F.monotonically_increasing_id().alias("_place"),
+        )
+        .repartitionByRange("doc_id", "_hash", "_place")
+        .sortWithinPartitions("doc_id", "_hash", "_place")
+        .select("doc_id", "text")
     )
     names = PIECES.replace(" long", "").split(", ")
 

@@ -33,8 +33,8 @@ URL_RULES = (
     ("block", "example.com/de/"),
     ("allow", "org/fr/"),
 )
-# Words in a host that put its pages' URLs on the list: fixed values.
-LISTED_WORDS = ("casino", "bets", "pills")
+# A page whose title lists as many keywords, divided so, puts its URL on the list.
+TITLE, DIVIDER, LEAST_KEYWORDS = "<title>([^<]*)</title>", " [|] ", 5
 
 
 def op1_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,12 +106,14 @@ def op7_repeated_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    """URLs are judged by themselves; the list comes from what pages hold."""
+    pages = read(spark, sf_dir, "pages")
     host, path = url_filter.split_url(F.col("url"))
-    listed = pages.filter(host.rlike("|".join(LISTED_WORDS))).select(
-        url_filter.canonical(host, path).alias("listed_url")
-    )
-    return url_filter.judge_urls(pages, listed, URL_RULES, Staging.until_exit(spark))
+    title = F.regexp_extract("html", TITLE, 1)
+    flagged = pages.filter(F.size(F.split(title, DIVIDER)) >= LEAST_KEYWORDS)
+    listed = flagged.select(url_filter.canonical(host, path).alias("listed_url"))
+    judged = pages.select("page_id", "url")
+    return url_filter.judge_urls(judged, listed, URL_RULES, Staging.until_exit(spark))
 
 
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,10 +166,11 @@ QUERIES = {
 ORACLE = {
     "op8_url_verdicts": """
 WITH parts AS (
-  SELECT page_id, substr(url, instr(url, '://') + 3) AS rest, instr(url, '://') > 0 AS marked
+  SELECT page_id, substr(url, instr(url, '://') + 3) AS rest, instr(url, '://') > 0 AS marked,
+    len(string_split(regexp_extract(html, '<title>([^<]*)</title>', 1), ' | ')) >= 5 AS flagged
   FROM pages
 ), split AS (
-  SELECT page_id,
+  SELECT page_id, flagged,
     CASE WHEN marked THEN translate(regexp_extract(rest, '^([^/?#]*)', 1),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
     CASE WHEN marked THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
@@ -188,10 +191,56 @@ WITH parts AS (
     ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY page_id
 ), listed AS (
-  SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, 'casino|bets|pills')
+  SELECT DISTINCT canonical FROM named WHERE flagged
 )
 SELECT n.page_id, n.host, n.path, f.rule,
   coalesce(f.verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM named n LEFT JOIN fitting f USING (page_id) LEFT JOIN listed l ON n.canonical = l.canonical
+""",
+    "op12_packed_hard_negatives": """
+WITH whole AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor, r.id, r.label = a.label AS same,
+    CAST(list_dot_product(a.parts, r.parts) AS BIGINT) AS score
+  FROM whole a JOIN whole r ON r.id <> a.id WHERE a.id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+), ranked AS (
+  SELECT p.anchor AS anchor_id, p.id AS positive_id, n.id AS negative_id,
+    p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+""",
+    "op13_superkmer_windows": """
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS s FROM split WHERE len(words) >= 50
+), windows AS (
+  SELECT doc_id, s, array_to_string(words[s:s + 49], ' ') AS text FROM starts
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM windows GROUP BY text
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(s, s + 49)) AS place
+  FROM windows JOIN firsts USING (text) WHERE first < doc_id
+), each_word AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM split
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n
+  FROM each_word ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)
 """,
 }

@@ -131,7 +131,8 @@ def shard_documents(
     text, with size 1 and the checksum of no bytes. Repeated rows each get a slot.
     Other columns are ignored, and an empty table gives no rows. Slots count from 0 in
     each shard: rows are hashed into chunks, numbered there, and moved on by the
-    number of rows in the chunks before.
+    number of rows in the chunks before. Rows alike in key and text are counted, numbered
+    as one, and told apart at the end.
     """
     slim = staging.table(
         docs.select(
@@ -144,27 +145,36 @@ def shard_documents(
     )
     groups = staging.table(slim.groupBy("group").agg(F.sum("size").alias("bytes")), "shard-groups")
     placed = shard_groups(groups, shards, staging)
-    chunks = parts_for(slim.count(), slots_each)
+    # Rows alike in key and text are one row with a count until they have their slots.
+    folded = slim.groupBy("_key", "size", "text_crc32", "group").agg(F.count(F.lit(1)).alias("_copies"))
+    folded = staging.table(folded, "shard-folded")
+    chunks = parts_for(folded.count(), slots_each)
     rows = staging.table(
-        slim.join(placed, "group").withColumn(
+        folded.join(placed, "group").withColumn(
             "_chunk", F.pmod(F.xxhash64("_key", "group"), F.lit(chunks))
         ),
         "shard-placed",
     )
-    counts = rows.groupBy("shard", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
+    counts = rows.groupBy("shard", "_chunk").agg(F.sum("_copies").alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         "shard", "_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
     inside = Window.partitionBy("shard", "_chunk").orderBy("_key", "group")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_start") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
+    slotted = rows.join(starts, ["shard", "_chunk"]).withColumn("_first", first)
+    # Copies are told apart in runs, so that no task makes all copies of a row.
+    run = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_copies") - 1) / slots_each)))
+    runs = slotted.withColumn("_run", run)
+    many = runs.filter(F.col("_copies") > slots_each).repartition("_first", "_run")
+    begin = F.col("_run") * slots_each
+    last = F.least(begin + slots_each, F.col("_copies")) - 1
     return (
-        rows.withColumn("_n", F.row_number().over(inside))
-        .join(starts, ["shard", "_chunk"])
+        runs.filter(F.col("_copies") <= slots_each)
+        .union(many)
+        .withColumn("_n", F.explode(F.sequence(begin, last)))
         .select(
-            F.col("_key").alias(key),
-            "size",
-            "text_crc32",
-            "shard",
-            (F.col("_start") + F.col("_n") - 1).alias("slot"),
+            F.col("_key").alias(key), "size", "text_crc32", "shard", (F.col("_first") + F.col("_n")).alias("slot")
         )
     )

@@ -81,3 +81,12 @@ def test_packed_products_are_exact(top):
 
 def test_query(spark):
     assert queries.op12_packed_hard_negatives(spark, "/root/testdata/sf0.01").count() > 0
+
+
+def test_twin(spark):
+    import compare
+
+    sf = "/root/testdata/sf0.01"
+    for name in ("op12_packed_hard_negatives", "op8_url_verdicts"):
+        rows = compare.spark_rows(queries.QUERIES[name](spark, sf))
+        assert rows == compare.sql_rows(compare.connect(sf), queries.ORACLE[name]) and rows[1]

@@ -3,7 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import cases
 import numpy as np
@@ -132,3 +132,19 @@ def test_awkward_rows(spark, library):
     assert packed(cases.empty(spark)).count() == 0
     no_cut = [(1, "x1y2" * 4_000, None, None, None)]
     check(packed(spark.createDataFrame(no_cut, cases.DOCS)).collect(), no_cut, library)
+
+
+def test_a_third_of_the_rows_alike_are_dealt_out(spark):
+    rows = [(7, "copy of one document.")] * 600 + [(n, f"text {n} of its own.") for n in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    coalesced = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesced, "false")
+    try:
+        pieces = packed(df).collect()
+    finally:
+        spark.conf.unset(coalesced)
+    begins = [r for r in pieces if r.start == 0]
+    assert len(begins) == len(rows)
+    assert sum(r.length for r in pieces) == sum(r.doc_tokens for r in begins)
+    copies = Counter(r.sequence_id >> 40 for r in begins if r.doc_id == 7)
+    assert len(copies) > 1 and max(copies.values()) < 400

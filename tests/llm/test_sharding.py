@@ -61,3 +61,14 @@ def test_levels_balance(spark, staging):
     totals = [r.t for r in placed.join(groups, "group").groupBy("shard").agg({"bytes": "sum"}).toDF("s", "t").collect()]
     largest = max(len(t.encode()) for t in text_of.values())
     assert placed.count() == groups.count() and max(totals) - min(totals) < largest
+
+
+def test_a_third_of_the_rows_alike(spark, staging):
+    rows = [(7, "copy")] * 500 + [(n, f"text {n % 90}") for n in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    placed = sharding.shard_documents(df, 4, staging, slots_each=60).collect()
+    assert sorted(r.doc_id for r in placed) == sorted(i for i, _ in rows)
+    for shard in range(4):
+        slots = sorted(r.slot for r in placed if r.shard == shard)
+        assert slots == list(range(len(slots)))
+    assert len({r.shard for r in placed if r.text_crc32 == zlib.crc32(b"copy")}) == 1

@@ -96,3 +96,11 @@ def test_minimisers_and_classes():
 def test_query(spark):
     rows = queries.op13_superkmer_windows(spark, "/root/testdata/sf0.001").collect()
     assert len(rows[0].kept_sha256) == 64 and any(r.n_removed for r in rows)
+
+
+def test_twin(spark):
+    import compare
+
+    sf, name = "/root/testdata/sf0.001", "op13_superkmer_windows"
+    rows = compare.spark_rows(queries.QUERIES[name](spark, sf))
+    assert rows == compare.sql_rows(compare.connect(sf), queries.ORACLE[name])
