@@ -15,6 +15,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltgate.llm.common import maybe_in
+from siltgate.sources.staging import Staging
+
 TEXT_DENSE = 4
 META_WIDTH = 96
 SIGNIFICANT = 10.8  # G squared of a token that is kept; chance exceeds it once in 1000
@@ -172,52 +175,83 @@ def _features(batch: pa.RecordBatch) -> tuple[list, list]:
 
 
 FEATURES = "doc_id long, label double, held boolean, words array<int>, shares array<double>, meta array<float>"
+POOLED = "key long, words array<int>, shares array<double>, meta array<float>"
+JUDGED = "key long, p_text double, p_meta double"
+
+
+def _lists(text: list, meta: list) -> list[pa.Array]:
+    return [
+        pa.array([t[0] for t in text], type=pa.list_(pa.int32())),
+        pa.array([t[1] for t in text], type=pa.list_(pa.float64())),
+        pa.array([m[1] for m in meta], type=pa.list_(pa.float32())),
+    ]
+
+
+def _feature_key(words: np.ndarray, meta: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(np.asarray(words).tobytes() + np.asarray(meta).tobytes()) - (1 << 63)
 
 
 def train(
     docs: DataFrame,
     labels: DataFrame,
+    staging: Staging | None = None,
     labelled_rows: int = 6_000,
-    pool_rows: int = 4_000,
-    rounds: int = 3,
+    taught_rows: int = 500,
+    rounds: int = 2,
     confident: float = 0.97,
-    most_new: float = 0.25,
 ) -> Model:
     """Fit both views on at most ``labelled_rows`` labelled rows, those of least hash of
-    doc_id, a fifth of them held out, and a pool of at most ``pool_rows`` others.
-
-    A good document has quality 1 and isn't toxic. In each round each view labels what
-    it is ``confident`` of in the pool, at most a share ``most_new`` of the pool and the
-    surest first, for the other view to learn from with half a true label's weight. The
-    views are then calibrated on the held-out rows and combined there.
+    doc_id, a fifth of them held out, and on what they teach each other of all others.
+
+    A good document has quality 1 and isn't toxic; of clashing labels of one doc_id the
+    worst counts. The features of all documents without a label are stored once. In each
+    round both views judge all of them; each view hands the ``taught_rows`` good and as
+    many bad ones of which it is surest, and ``confident``, and which the other doesn't
+    hold to be the opposite, to the other, which learns from them with half a true
+    label's weight. Documents of the same features count
+    once there; of equally sure ones the least hash goes first. The views are
+    calibrated and combined on the held-out rows.
     """
-    known = labels.select(
-        F.col("doc_id").cast("long").alias("_labelled"),
-        F.when(
-            F.col("quality").isNotNull(),
-            ((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).cast("double"),
-        ).alias("label"),
-    ).dropDuplicates(["_labelled"])
-    order = F.xxhash64("doc_id")
+    staging = staging or Staging.until_exit(docs.sparkSession)
+    is_good = ((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).cast("double")
+    known = staging.table(
+        labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").cast("long").alias("_labelled"))
+        .agg(F.min(is_good).alias("label")),
+        "known-labels",
+    )
     all_docs = _slim(docs)
-    fields = ["doc_id", "text", "lang", "source", "n_chars", "label"]
+    trainer = CoTrainer(_frame(_labelled_sample(all_docs, known, labelled_rows)))
+    model = trainer.model()
+    if not trainer.ready:
+        return model
+    pool = staging.table(_unlabelled(all_docs, known).mapInArrow(_pooled, POOLED), "unlabelled")
+    for _ in range(rounds):
+        judged = staging.table(_judge_pool(pool, model), "judged")
+        views = ("p_text", "p_meta")
+        lessons = [_surest(judged, v, o, taught_rows, confident) for v, o in (views, views[::-1])]
+        keys = sorted({key for lesson in lessons for key in lesson})
+        if not keys:
+            break
+        wanted = docs.sparkSession.createDataFrame([(k,) for k in keys], "key long")
+        rows = pool.join(F.broadcast(wanted), "key").dropDuplicates(["key"]).toArrow()
+        trainer.teach(rows, lessons)
+        model = trainer.model()
+    return model
+
+
+def _labelled_sample(all_docs: DataFrame, known: DataFrame, labelled_rows: int) -> pa.Table:
+    """Features of the chosen labelled rows, one row for each doc_id."""
     # Ids first, each once, so that no text takes part in choosing the rows and no id's
-    # copies fill the limits.
+    # copies fill the limit.
     every = all_docs.select("doc_id").distinct()
-    ids = every.join(known.filter("label IS NOT NULL"), F.col("doc_id") == F.col("_labelled"))
-    chosen = ids.select("doc_id", "label").orderBy(order, "doc_id").limit(labelled_rows)
-    others = (
-        every.join(known, F.col("doc_id") == F.col("_labelled"), "left_anti")
-        .select("doc_id", F.lit(None).cast("double").alias("label"))
-        .orderBy(order, "doc_id")
-        .limit(pool_rows)
-    )
-    wanted = F.broadcast(chosen.union(others))
+    ids = every.join(known, F.col("doc_id").eqNullSafe(F.col("_labelled")))
+    chosen = ids.select("doc_id", "label").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     # Of the rows of one id the one of least hash: here once for each task, then once.
     row = F.xxhash64("text", "lang", "source", "n_chars")
     least = (
         all_docs.withColumn("_row", row)
-        .join(wanted, "doc_id")
+        .join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "label")
         .agg(F.min("_row").alias("_row"))
     )
@@ -227,93 +261,136 @@ def train(
         for batch in batches:
             new = [i not in seen and not seen.add(i) for i in batch["doc_id"].to_pylist()]
             batch = batch.filter(pa.array(new, type=pa.bool_()))
-            text, meta = _features(batch)
             held = [xxhash.xxh32_intdigest(str(i), 5) % 5 == 0 for i in batch["doc_id"]]
-            columns = [
-                batch["doc_id"],
-                batch["label"],
-                pa.array(held, type=pa.bool_()),
-                pa.array([t[0] for t in text], type=pa.list_(pa.int32())),
-                pa.array([t[1] for t in text], type=pa.list_(pa.float64())),
-                pa.array([m[1] for m in meta], type=pa.list_(pa.float32())),
-            ]
+            columns = [batch["doc_id"], batch["label"], pa.array(held, type=pa.bool_()), *_lists(*_features(batch))]
             yield pa.RecordBatch.from_arrays(
                 columns, names=["doc_id", "label", "held", "words", "shares", "meta"]
             )
 
-    sample = (
+    return (
         all_docs.withColumn("_row", row)
         .join(F.broadcast(least), ["doc_id", "_row"])
-        .select(*fields)
+        .select("doc_id", "text", "lang", "source", "n_chars", "label")
         .mapInArrow(make, FEATURES)
         .dropDuplicates(["doc_id"])
         .toArrow()
     )
-    return fit_views(_frame(sample), rounds, confident, most_new)
 
 
-def _frame(sample: pa.Table) -> pd.DataFrame:
-    """Rows of ``FEATURES`` whose lists are views of Arrow's own buffers, without a copy."""
-    sample = sample.combine_chunks()
+def _unlabelled(all_docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows without a label. Those that surely have none aren't shuffled to be told."""
+    marked = maybe_in(all_docs, "doc_id", known, "_labelled", known.count())
+    rest = marked.filter("_possible").join(known, F.col("doc_id").eqNullSafe(F.col("_labelled")), "left_anti")
+    return marked.filter("NOT _possible").union(rest).drop("_possible")
 
-    def parts(column: str) -> list[np.ndarray]:
-        chunks = sample[column].chunks
-        return [
-            values[start - offsets[0] : end - offsets[0]]
-            for c in chunks
-            for values, offsets in [(c.flatten().to_numpy(zero_copy_only=False), c.offsets.to_numpy())]
-            for start, end in zip(offsets[:-1], offsets[1:], strict=True)
-        ]
 
-    flat = sample.select(["label", "held"]).to_pandas()
-    return flat.assign(**{c: pd.Series(parts(c), dtype=object) for c in ("words", "shares", "meta")})
+def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            text, meta = _features(batch.slice(at, 500))
+            keys = [_feature_key(w, m) for (w, _), (_, m) in zip(text, meta, strict=True)]
+            columns = [pa.array(keys, type=pa.int64()), *_lists(text, meta)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "words", "shares", "meta"])
+
 
+def _judge_pool(pool: DataFrame, model: Model) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, shares, meta = (_views_of(batch[c]) for c in ("words", "shares", "meta"))
+            a = np.array([model.text_logit(w, x) for w, x in zip(words, shares, strict=True)])
+            b = np.array([model.meta @ m for m in meta])
+            p_text, p_meta, _ = model.score(a, b)
+            columns = [batch["key"], pa.array(p_text), pa.array(p_meta)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "p_text", "p_meta"])
+
+    return pool.mapInArrow(run, JUDGED)
+
+
+def _surest(judged: DataFrame, view: str, other: str, most: int, confident: float) -> dict[int, float]:
+    """Keys of the pool's surest good and bad documents by one view, with their labels. What
+    the other view holds against is not taught to it: metadata doesn't show everything."""
+    out = {}
+    for label, sure, held in (
+        (1.0, F.col(view), F.col(other)), (0.0, 1 - F.col(view), 1 - F.col(other))
+    ):
+        told = judged.filter((sure >= confident) & (held >= 0.5)).select("key", sure.alias("sure"))
+        first = told.groupBy("key").agg(F.max("sure").alias("sure"))
+        rows = first.orderBy(F.desc("sure"), F.xxhash64("key"), "key").limit(most).collect()
+        out |= {r["key"]: label for r in rows}
+    return out
 
-def fit_views(
-    sample: pd.DataFrame, rounds: int = 3, confident: float = 0.97, most_new: float = 0.25, threshold: float = 0.5
-) -> Model:
-    """The co-training itself, on rows of ``FEATURES``; without labels of both kinds all
-    documents score one half or better and are kept."""
-    key = [
-        xxhash.xxh64_intdigest(np.asarray(w).tobytes() + np.asarray(m).tobytes())
-        for w, m in zip(sample["words"], sample["meta"], strict=True)
-    ]
-    sample = sample.assign(_key=key).sort_values(["_key", "label"], ignore_index=True)
-    label, held = sample["label"].to_numpy(dtype=float), sample["held"].to_numpy(dtype=bool)
-    known = ~np.isnan(label)
-    fit, test, pool = (np.flatnonzero(x) for x in (known & ~held, known & held, ~known))
-    if len(set(label[fit])) < 2:
-        nothing = np.zeros(0, dtype=np.int32), np.zeros(TEXT_DENSE), np.zeros(META_WIDTH)
-        return Model(*nothing, (1.0, 0.0), (1.0, 0.0), (0.5, 0.5, 0.0), threshold)
-    hashed = [np.asarray(w, dtype=np.int32) for w in sample["words"]]
-    words = telling_words([hashed[i] for i in fit], label[fit])
-    text = [known_words(words, h, np.asarray(x)) for h, x in zip(hashed, sample["shares"], strict=True)]
-    meta = [(np.arange(META_WIDTH), np.asarray(m)) for m in sample["meta"]]
-    views = (text, meta)
-    widths = (TEXT_DENSE + len(words), META_WIDTH)
-    taught: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view was given
-
-    def learn(v: int) -> Logistic:
-        rows = [*fit, *taught[v]]
-        labels = np.concatenate([label[fit], list(taught[v].values())])
-        weights = np.concatenate([np.ones(len(fit)), np.full(len(taught[v]), 0.5)])
-        return Logistic(widths[v]).fit([views[v][i] for i in rows], labels, weights)
-
-    models = [learn(0), learn(1)]
-    judges = test if len(test) else fit
-    for _ in range(rounds if len(pool) else 0):
-        for v in (0, 1):
-            scale = calibrate(models[v].logits([views[v][i] for i in judges]), label[judges])
-            p = _sigmoid(scale[0] * models[v].logits([views[v][i] for i in pool]) + scale[1])
-            sure = np.maximum(p, 1 - p)
-            best = np.argsort(-sure, kind="stable")[: int(most_new * len(pool))]
-            taught[1 - v] = {int(pool[k]): float(p[k] > 0.5) for k in best if sure[k] >= confident}
-        models = [learn(0), learn(1)]
-    logits = [models[v].logits([views[v][i] for i in judges]) for v in (0, 1)]
-    scales = [calibrate(x, label[judges]) for x in logits]
-    odds = [s[0] * x + s[1] for s, x in zip(scales, logits, strict=True)]
-    joint = _combine(odds[0], odds[1], label[judges])
-    return Model(words, models[0].weights, models[1].weights, scales[0], scales[1], joint, threshold)
+
+def _views_of(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists as views of Arrow's own buffer, without a copy."""
+    values, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+    return [values[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def _frame(sample: pa.Table) -> pd.DataFrame:
+    """Rows whose lists are views of Arrow's buffers."""
+    sample = sample.combine_chunks()
+    kept = [c for c in sample.column_names if c not in ("words", "shares", "meta")]
+    flat = sample.select(kept).to_pandas()
+    parts = {c: [v for chunk in sample[c].chunks for v in _views_of(chunk)] for c in ("words", "shares", "meta")}
+    return flat.assign(**{c: pd.Series(v, dtype=object) for c, v in parts.items()})
+
+
+class CoTrainer:
+    """Both views on rows of ``FEATURES``, and what each was taught by the other."""
+
+    def __init__(self, sample: pd.DataFrame, threshold: float = 0.5) -> None:
+        key = [_feature_key(w, m) for w, m in zip(sample["words"], sample["meta"], strict=True)]
+        sample = sample.assign(_key=key).sort_values(["_key", "label"], ignore_index=True)
+        self._threshold = threshold
+        self._label = sample["label"].to_numpy(dtype=float)
+        held = sample["held"].to_numpy(dtype=bool)
+        self._fit, test = np.flatnonzero(~held), np.flatnonzero(held)
+        self.ready = len(set(self._label[self._fit])) > 1
+        if not self.ready:
+            return
+        hashed = [np.asarray(w, dtype=np.int32) for w in sample["words"]]
+        self._words = telling_words([hashed[i] for i in self._fit], self._label[self._fit])
+        self._views = self._rows(sample)
+        self._judges = test if len(test) else self._fit
+        self._taught: list[tuple[list, list[float]]] = [([], []), ([], [])]
+
+    def _rows(self, frame: pd.DataFrame) -> tuple[list, list]:
+        text = [
+            known_words(self._words, np.asarray(w, dtype=np.int32), np.asarray(x))
+            for w, x in zip(frame["words"], frame["shares"], strict=True)
+        ]
+        return text, [(np.arange(META_WIDTH), np.asarray(m)) for m in frame["meta"]]
+
+    def teach(self, rows: pa.Table, lessons: list[dict[int, float]]) -> None:
+        """Each view's lesson, labels by key, is what the other one learns from."""
+        frame = _frame(rows).sort_values("key", ignore_index=True)
+        views = self._rows(frame)
+        for v, lesson in enumerate(lessons):
+            mine = [i for i, key in enumerate(frame["key"]) if key in lesson]
+            told = [lesson[key] for key in frame["key"] if key in lesson]
+            self._taught[1 - v] = [views[1 - v][i] for i in mine], told
+
+    def model(self) -> Model:
+        """Views fitted on labels and lessons, calibrated and combined on held-out rows;
+        without labels of both kinds all documents score one half or better and are
+        kept."""
+        if not self.ready:
+            nothing = np.zeros(0, dtype=np.int32), np.zeros(TEXT_DENSE), np.zeros(META_WIDTH)
+            return Model(*nothing, (1.0, 0.0), (1.0, 0.0), (0.5, 0.5, 0.0), self._threshold)
+        models = [self._learn(0), self._learn(1)]
+        label = self._label[self._judges]
+        logits = [models[v].logits([self._views[v][i] for i in self._judges]) for v in (0, 1)]
+        scales = [calibrate(x, label) for x in logits]
+        odds = [s[0] * x + s[1] for s, x in zip(scales, logits, strict=True)]
+        joint = _combine(odds[0], odds[1], label)
+        return Model(self._words, models[0].weights, models[1].weights, scales[0], scales[1], joint, self._threshold)
+
+    def _learn(self, v: int) -> Logistic:
+        rows, told = self._taught[v]
+        labels = np.concatenate([self._label[self._fit], told])
+        weights = np.concatenate([np.ones(len(self._fit)), np.full(len(rows), 0.5)])
+        width = (TEXT_DENSE + len(self._words), META_WIDTH)[v]
+        return Logistic(width).fit([*[self._views[v][i] for i in self._fit], *rows], labels, weights)
 
 
 def _combine(a: np.ndarray, b: np.ndarray, labels: np.ndarray) -> tuple[float, float, float]:
@@ -373,10 +450,15 @@ def _judged(
 
 
 def keep_good(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, a table with the columns of documents, that the model keeps."""
+    """The rows of ``docs`` that the model keeps. A table without language, source or length
+    has none of them; all its columns pass through."""
+
+    names = docs.columns
+    kinds = {"lang": "string", "source": "string", "n_chars": "long"}
+    filled = docs.select("*", *[F.lit(None).cast(k).alias(c) for c, k in kinds.items() if c not in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, scores in _judged(batches, model):
-            yield part.filter(pa.array(scores[3]))
+            yield part.filter(pa.array(scores[3])).select(names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return filled.mapInArrow(run, docs.schema)

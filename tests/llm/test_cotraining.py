@@ -20,6 +20,11 @@ def test_held_out_accuracy(tables):
     scored = cotraining.score_documents(docs, model).join(labels.filter("doc_id % 3 = 0"), "doc_id")
     rows = scored.collect()
     good = [r.keep for r in rows if r.quality == 1 and not r.toxic]
+    print("kept of good, bad, good but toxic:", *[
+        f"{sum(x)}/{len(x)}" for x in (
+            good, [r.keep for r in rows if r.quality == 0], [r.keep for r in rows if r.quality == 1 and r.toxic]
+        )
+    ])
     bad = [r.keep for r in rows if r.quality == 0 or r.toxic]
     toxic = [r.keep for r in rows if r.toxic]
     assert sum(good) >= 0.98 * len(good)
@@ -32,10 +37,37 @@ def test_held_out_accuracy(tables):
 
 def test_same_model_whatever_the_partitions(tables):
     docs, labels = tables
-    few = [cotraining.train(d, labels, labelled_rows=300, pool_rows=100) for d in (docs, docs.repartition(7))]
+    clashing = labels.union(labels.selectExpr("doc_id", "1 - quality", "toxic").filter("doc_id % 3 = 0"))
+    tables = [(docs, clashing), (docs.repartition(7), clashing.repartition(5))]
+    few = [cotraining.train(d, known, labelled_rows=300, taught_rows=50) for d, known in tables]
     assert (few[0].text == few[1].text).all() and few[0].joint == few[1].joint
 
 
+def test_lessons_come_from_all_unlabelled_rows(spark, monkeypatch):
+    """The surest rows are found wherever they are, and copies of one teach once."""
+    words = {1: "good fine nice", 0: "bad poor sad"}
+    rows = [(n, f"{words[n % 2]} filler{n % 50}", "en", "a", 20) for n in range(400)]
+    more = [(1_000 + n, f"{words[n % 2]} rest{n % 97}", "en", "a", 20) for n in range(3_000)]
+    docs = spark.createDataFrame(rows + more, cases.DOCS).repartition(6)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, *_ in rows], "doc_id long, quality int, toxic int")
+    taught = []
+    teach = cotraining.CoTrainer.teach
+
+    def seen(self, table, lessons):
+        taught.append((table.num_rows, lessons))
+        teach(self, table, lessons)
+
+    monkeypatch.setattr(cotraining.CoTrainer, "teach", seen)
+    model = cotraining.train(docs, labels, taught_rows=60, confident=0.6)
+    assert len(taught) == 2
+    for n, lessons in taught:
+        assert n == len({k for lesson in lessons for k in lesson}) and n >= 60
+        assert set(lessons[0].values()) == {0.0, 1.0}
+    kept = cotraining.keep_good(docs.drop("lang", "n_chars"), model)
+    assert kept.columns == ["doc_id", "text", "source"]
+    assert all(r.text.startswith("good") for r in kept.collect())
+
+
 def test_awkward_rows(spark, tables):
     docs, labels = tables
     model = cotraining.train(docs.limit(500), labels)
