@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from siltgate.llm.common import maybe_in
 from siltgate.sources.staging import Staging
 
-LINE_END = "(?<=[.!?\\n])"
+LINE_END = "(?<=[.!?\\n])(?![.!?\\n])"
 BLANKS = " \t\r\n"
 MARKED, ALONE = 60, 100  # characters from which a line is a boundary, and a chunk of its own
+LEAST = 32  # characters of a chunk's outer lines: shorter ones repeat by chance
 REACH = 4  # lines on either side of a chunk that are compared
-LONG_BIT, ALONE_BIT = 1, 2
+LENGTH = 127  # the bits of a line's hash that hold its length, or that it is longer
 
 
 def _let(value: Column, body) -> Column:
@@ -21,7 +22,8 @@ def _let(value: Column, body) -> Column:
 
 
 def lines(text: Column) -> Column:
-    """A text's lines, cut behind line breaks and sentence ends; joined, they are the text."""
+    """A text's lines, cut behind runs of line breaks and sentence ends; joined, they are
+    the text."""
 
     def whole(u: Column) -> Column:
         last_empty = F.element_at(u, -1) == ""
@@ -35,18 +37,16 @@ def trimmed(units: Column) -> Column:
 
 
 def line_hashes(units: Column) -> Column:
-    """Hashes of trimmed lines whose two lowest bits tell long lines."""
+    """Hashes of trimmed lines whose lowest bits tell their length."""
 
     def hashed(u: Column) -> Column:
-        size = F.length(u)
-        bits = F.when(size >= ALONE, LONG_BIT | ALONE_BIT).when(size >= MARKED, LONG_BIT).otherwise(0)
-        return F.xxhash64(u).bitwiseAND(F.lit(-4)) + bits
+        return F.xxhash64(u).bitwiseAND(F.lit(~LENGTH)) + F.least(F.length(u), F.lit(LENGTH))
 
     return F.transform(units, hashed)
 
 
-def _has(h: Column, bit: int) -> Column:
-    return h.bitwiseAND(F.lit(bit)) != 0
+def _length(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(LENGTH))
 
 
 def chunk_spans(h: Column) -> Column:
@@ -55,15 +55,16 @@ def chunk_spans(h: Column) -> Column:
     A line is a boundary if the rolling hash over it and the next line is not divisible
     by 3, or if it is long; so are a text's first and last line. A chunk goes from one
     boundary to the next, both included, and a very long line is one too. Boundaries
-    depend on two lines only, whatever stands around them. The hash takes in the chunk's
-    first two lines, its last and its size; bytes are compared later.
+    depend on two lines only, whatever stands around them. Chunks of little text are
+    left out. The hash takes in the chunk's first two lines, its last and its size; bytes
+    are compared later.
     """
     last = F.size(h) - 1
 
     def is_boundary(i: Column) -> Column:
         here = F.get(h, i)
         rolled = F.pmod(F.xxhash64(here, F.get(h, i + 1)), F.lit(3))
-        return (i == 0) | (i == last) | _has(here, LONG_BIT) | (rolled > 0)
+        return (i == 0) | (i == last) | (_length(here) >= MARKED) | (rolled > 0)
 
     def span(s: Column, e: Column, *of: Column) -> Column:
         return F.struct(s.alias("s"), e.alias("e"), F.xxhash64(*of).alias("chunk"))
@@ -76,8 +77,13 @@ def chunk_spans(h: Column) -> Column:
         marks,
         lambda m: F.zip_with(F.slice(m, F.lit(1), F.size(m) - 1), F.slice(m, F.lit(2), F.size(m) - 1), chunk),
     )
-    alone = F.filter(F.sequence(F.lit(0), last), lambda i: _has(F.get(h, i), ALONE_BIT))
-    return F.concat(between, F.transform(alone, lambda i: span(i, i, F.get(h, i))))
+    alone = F.filter(F.sequence(F.lit(0), last), lambda i: _length(F.get(h, i)) >= ALONE)
+
+    def is_told(c: Column) -> Column:
+        first, second, end = (_length(F.get(h, i)) for i in (c["s"], c["s"] + 1, c["e"]))
+        return first + end + F.when(c["e"] > c["s"] + 1, second).otherwise(0) >= LEAST
+
+    return F.concat(F.filter(between, is_told), F.transform(alone, lambda i: span(i, i, F.get(h, i))))
 
 
 def _shown(units: Column, spans: Column) -> Column:
@@ -87,7 +93,8 @@ def _shown(units: Column, spans: Column) -> Column:
     of the first line."""
 
     def count(text: Column) -> Column:
-        return F.size(F.filter(F.split(text, "\\s+"), lambda w: w != ""))
+        spaced = F.translate(text, "\t\n\x0b\f\r", "     ")
+        return F.size(F.filter(F.split(spaced, " "), lambda w: w != ""))
 
     def shown(t: Column, c: Column) -> Column:
         s, e = c["s"], c["e"]
@@ -183,8 +190,8 @@ def remove_repeated_chunks(
     """``docs`` with two columns more and ``text`` without the chunks of lines that occur
     earlier: ``lines_removed`` and ``chars_removed``.
 
-    Lines end at line breaks and sentence ends; blanks at their ends don't count. Chunks
-    are told by ``chunk_spans``. Of a chunk that occurs repeatedly, within one text or
+    Lines end at runs of line breaks and sentence ends; blanks at their ends don't count.
+    Chunks are told by ``chunk_spans``. Of a chunk that occurs repeatedly, within one text or
     several, the first occurrence stays: the least doc_id (NULL first), then the least
     place. Every other one, and up to ``REACH`` lines on either side of it that are the
     same beside the first, is part of a stretch that repeats one earlier text at one

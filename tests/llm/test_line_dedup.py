@@ -16,15 +16,14 @@ def hash64(data):
 
 
 def units(text):
-    return [u for u in re.split(r"(?<=[.!?\n])", text) if u]
+    return [u for u in re.split(r"(?<=[.!?\n])(?![.!?\n])", text) if u]
 
 
 BLANKS = " \t\r\n"
 
 
 def marked_hash(line):
-    bits = 3 if len(line) >= 100 else 1 if len(line) >= 60 else 0
-    return hash64(line) & ~3 | bits
+    return hash64(line) & ~127 | min(len(line), 127)
 
 
 def rolled_marks(spark, hashed):
@@ -56,8 +55,13 @@ def brute(spark, docs, least_words=8, leave_copies=None):
     for doc in sorted(known):
         text, t = known[doc]
         h, last = [marked_hash(x) for x in t], len(t) - 1
-        edges = [i for i in range(last + 1) if i in (0, last) or h[i] & 1 or (h[i], h[i + 1]) in marks]
-        spans = [*zip(edges, edges[1:], strict=False), *((i, i) for i in range(last + 1) if h[i] & 2)]
+        edges = [i for i in range(last + 1) if i in (0, last) or len(t[i]) >= 60 or (h[i], h[i + 1]) in marks]
+        size = [min(len(x), 127) for x in t]
+        spans = [
+            (s, e) for s, e in zip(edges, edges[1:], strict=False)
+            if size[s] + size[e] + (size[s + 1] if e > s + 1 else 0) >= 32
+        ]
+        spans += [(i, i) for i in range(last + 1) if size[i] >= 100]
         for s, e in sorted(spans):
             own = "\n".join(t[s : e + 1] if s == e or s == 0 else t[s + 1 : e + 1])
             head = 0 if s == e or s == 0 else count(t[s])
@@ -175,7 +179,7 @@ def test_near_copies_can_stay(spark, staging):
 
 def test_hash_clashes_are_told_apart(spark, staging, monkeypatch):
     """With a hash that tells nothing, bytes alone decide."""
-    monkeypatch.setattr(line_dedup, "line_hashes", lambda u: F.transform(u, lambda x: F.length(x).cast("long") * 0 + 7))
+    monkeypatch.setattr(line_dedup, "line_hashes", lambda u: F.transform(u, lambda x: F.length(x).cast("long") * 0 + 7 * 128 + 50))
     texts = ["A b c d e f g h. I j k l m n.", "Q r s t u v w x. Y z a b c d.", "A b c d e f g h. I j k l m n."]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     out = [r.text for r in line_dedup.remove_repeated_chunks(df, staging).orderBy("doc_id").collect()]
