@@ -93,26 +93,29 @@ def _shown(units: Column, spans: Column) -> Column:
     of the first line."""
 
     def count(text: Column) -> Column:
-        spaced = F.translate(text, "\t\n\x0b\f\r", "     ")
-        return F.size(F.filter(F.split(spaced, " "), lambda w: w != ""))
+        return F.regexp_count(text, F.lit("[^ \\t-\\r]+"))
 
     def shown(t: Column, c: Column) -> Column:
         s, e = c["s"], c["e"]
-        text = F.array_join(F.slice(t, s + 1, e - s + 1), "\n")
-        own = F.when(s == e, text).otherwise(
-            F.array_join(F.slice(t, F.when(s == 0, 1).otherwise(s + 2), F.when(s == 0, e + 1).otherwise(e - s)), "\n")
-        )
-        before = F.reverse(F.slice(t, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH))))
-        return F.struct(
-            s.alias("s"),
-            e.alias("e"),
-            F.unhex(F.sha2(text, 256)).alias("bytes"),
-            F.transform(before, lambda x: F.xxhash64(x)).alias("before"),
-            F.transform(F.slice(t, e + 2, F.lit(REACH)), lambda x: F.xxhash64(x)).alias("after"),
-            count(own).alias("words"),
-            F.when((s == e) | (s == 0), 0).otherwise(count(F.get(t, s))).alias("head"),
-            F.when(s == e, 0).otherwise(F.length(own)).alias("chars"),
-        )
+        own = (s == 0) | (s == e)  # else the first line counts for the chunk before
+        first = F.get(t, s)
+        head = F.when(own, 0).otherwise(count(first))
+        before = F.slice(t, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH)))
+
+        def told(text: Column) -> Column:
+            chars = F.length(text) - F.when(own, 0).otherwise(F.length(first) + 1)
+            return F.struct(
+                s.alias("s"),
+                e.alias("e"),
+                F.unhex(F.sha2(text, 256)).alias("bytes"),
+                F.transform(F.reverse(before), lambda x: F.xxhash64(x)).alias("before"),
+                F.transform(F.slice(t, e + 2, F.lit(REACH)), lambda x: F.xxhash64(x)).alias("after"),
+                (count(text) - head).alias("words"),
+                head.alias("head"),
+                F.when(s == e, 0).otherwise(chars).alias("chars"),
+            )
+
+        return _let(F.array_join(F.slice(t, s + 1, e - s + 1), "\n"), told)
 
     return _let(trimmed(units), lambda t: F.transform(spans, lambda c: shown(t, c)))
 
