@@ -225,7 +225,7 @@ def train(
     model = trainer.model()
     if not trainer.ready:
         return model
-    pool = staging.table(_unlabelled(all_docs, known).mapInArrow(_pooled, POOLED), "unlabelled")
+    pool = staging.table(_unlabelled(all_docs, known, staging).mapInArrow(_pooled, POOLED), "unlabelled")
     for _ in range(rounds):
         judged = staging.table(_judge_pool(pool, model), "judged")
         views = ("p_text", "p_meta")
@@ -277,11 +277,17 @@ def _labelled_sample(all_docs: DataFrame, known: DataFrame, labelled_rows: int)
     )
 
 
-def _unlabelled(all_docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows without a label. Those that surely have none aren't shuffled to be told."""
+def _unlabelled(all_docs: DataFrame, known: DataFrame, staging: Staging) -> DataFrame:
+    """Rows without a label. A Bloom filter of the labels tells most of them; the ids that it
+    holds back wrongly are found by ids alone and fetched through a filter of their own, so
+    that hardly a text is shuffled."""
     marked = maybe_in(all_docs, "doc_id", known, "_labelled", known.count())
-    rest = marked.filter("_possible").join(known, F.col("doc_id").eqNullSafe(F.col("_labelled")), "left_anti")
-    return marked.filter("NOT _possible").union(rest).drop("_possible")
+    held = marked.filter("_possible").drop("_possible")
+    same = F.col("doc_id").eqNullSafe(F.col("_labelled"))
+    ids = held.select("doc_id").distinct().join(known, same, "left_anti")
+    ids = staging.table(ids.withColumnRenamed("doc_id", "_labelled"), "unlabelled-ids")
+    back = maybe_in(held, "doc_id", ids, "_labelled", ids.count()).filter("_possible").drop("_possible")
+    return marked.filter("NOT _possible").drop("_possible").union(back.join(ids, same, "left_semi"))
 
 
 def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -47,3 +47,12 @@ def test_all_of_six_thousand_labelled_rows_are_learned_from(spark, monkeypatch):
     rows = sampled(monkeypatch, docs, labels)
     assert rows["label"].notna().sum() == 6_000 and len(rows) == 6_000
     assert all(len(w) == 2 and w.dtype == np.int32 for w in rows["words"])
+
+
+def test_unlabelled_rows_are_all_rows_without_a_label(spark, staging):
+    docs = spark.range(40_000).selectExpr("if(id % 9 = 0, NULL, id % 30000) AS doc_id", "'t' AS text")
+    known = spark.range(0, 30_000, 2).selectExpr("id AS _labelled", "1D AS label")
+    found = cotraining._unlabelled(docs, known, staging)
+    want = docs.filter("doc_id IS NULL OR doc_id % 2 = 1")
+    assert found.groupBy("doc_id").count().exceptAll(want.groupBy("doc_id").count()).isEmpty()
+    assert found.count() == want.count()
