@@ -167,6 +167,7 @@ def near_duplicates(docs: DataFrame, staging: Staging) -> DataFrame:
 PARTS, PART_BITS = 16, 32
 SKETCH = 8
 LIKENESS, LIKENESS_WORDS = 0.8, 5
+BLOCK = 256  # nodes of a key that one task compares with all others of the key
 
 
 def shingle_hashes(text: str, words_each: int) -> np.ndarray:
@@ -203,37 +204,43 @@ def wide_fingerprint(hashes: np.ndarray, parts: int = PARTS) -> np.ndarray:
 
 
 def _classed(docs: DataFrame, words_each: int, parts: int) -> DataFrame:
-    """(doc_id, body, node, parts, sketch) of every row: hashes of the text and of its words,
-    the wide fingerprint's parts and the least shingle hashes."""
+    """(doc_id, body, node, size, parts, sketch) of every row: hashes of the text and of its
+    words, the number of different shingles, the wide fingerprint's parts and the least
+    shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, wide, sketches = [], [], []
+            nodes, sizes, wide, sketches = [], [], [], []
             for text in batch["text"]:
                 text = text.as_py() or ""
                 words = text.encode("utf-8", "surrogatepass").lower().split()
                 nodes.append(xxhash.xxh64_intdigest(b" ".join(words), 7))
                 hashes = shingle_hashes(text, words_each)
+                sizes.append(len(hashes))
                 wide.append(wide_fingerprint(hashes, parts).tolist() if len(hashes) else [])
                 sketches.append(np.sort(_remixed(hashes, PARTS))[:SKETCH].view(np.int64).tolist())
             columns = [
                 batch["doc_id"],
                 batch["body"],
                 pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)),
+                pa.array(sizes, type=pa.int64()),
                 pa.array(wide, type=pa.list_(pa.int64())),
                 pa.array(sketches, type=pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "body", "node", "parts", "sketch"])
+            names = ["doc_id", "body", "node", "size", "parts", "sketch"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(
-        run, "doc_id long, body long, node long, parts array<long>, sketch array<long>"
+        run, "doc_id long, body long, node long, size long, parts array<long>, sketch array<long>"
     )
 
 
-def _candidates(classes: DataFrame, staging: Staging) -> DataFrame:
-    """Pairs (a, b) of nodes that may be alike: first those share one of their least
-    shingle hashes with another, then some part of their fingerprints differs in two
-    bits at most. Then a part has a variant one bit from either, and both emit that."""
+def _meetings(classes: DataFrame, staging: Staging) -> DataFrame:
+    """(node, size, key, least, most): which nodes meet on a key, and the ends of each key.
+
+    Nodes that may be alike share one of their least shingle hashes with another, and some
+    part of their fingerprints differs in two bits at most. Then a part has a variant one
+    bit from either, and both emit that."""
     shared = (
         classes.select("node", F.explode("sketch").alias("key"))
         .groupBy("key")
@@ -247,7 +254,7 @@ def _candidates(classes: DataFrame, staging: Staging) -> DataFrame:
     )
     near_by = staging.table(
         classes.join(met.select(F.col("node").alias("_node")).distinct(), F.col("node") == F.col("_node"), "left_semi")
-        .select("node", "parts"),
+        .select("node", "size", "parts"),
         "likely-nodes",
     )
     flips = F.array(F.lit(0).cast("long"), *[F.lit(1 << k).cast("long") for k in range(PART_BITS)])
@@ -256,28 +263,73 @@ def _candidates(classes: DataFrame, staging: Staging) -> DataFrame:
             "parts", lambda p, i: F.transform(flips, lambda m: p.bitwiseXOR(m) + i.cast("long") * (1 << PART_BITS))
         )
     )
-    ball = near_by.select("node", F.explode(variants).alias("key"))
+    ball = near_by.select("node", "size", F.explode(variants).alias("key"))
     ends = ball.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     ends = staging.table(ends.filter("least < most").withColumnRenamed("key", "_key"), "part-keys")
-    found = ball.join(ends.hint("merge"), F.col("key").eqNullSafe(F.col("_key")))
-    found = found.select("node", F.explode(F.array("least", "most")).alias("other")).filter("node <> other")
+    found = ball.join(ends.hint("merge"), F.col("key").eqNullSafe(F.col("_key"))).drop("_key")
+    return staging.table(found, "wide-meetings")
+
+
+def _end_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the nodes of a key with its least and its greatest node."""
+    found = met.select("node", F.explode(F.array("least", "most")).alias("other")).filter("node <> other")
     return found.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
-def _alike_pairs(pairs: DataFrame, texts: DataFrame, words_each: int, likeness: float) -> DataFrame:
-    """The pairs (a, b) whose texts, by (node, text), share ``likeness`` of their shingles."""
+def _other_pairs(met: DataFrame, roots: DataFrame, likeness: float, staging: Staging) -> DataFrame:
+    """All other pairs (a, b) that meet on a key, but those that ``roots`` join already and
+    those whose sizes alone rule likeness out. A key's nodes are dealt to blocks, each of
+    which meets all of the key, so no task has all pairs of a large key."""
+    inner = met.filter("least < node AND node < most").select("node", "size", "key")
+    roots = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    inner = inner.join(roots, F.col("node") == F.col("_node"), "left").select(
+        "node", "size", "key", F.coalesce("_root", "node").alias("root")
+    )
+    inner = staging.table(inner, "inner-meetings")
+    apart = inner.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
+    )
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    apart = apart.filter("least < most").select(F.col("key").alias("_key"), blocks.alias("blocks"))
+    inner = inner.join(apart, F.col("key").eqNullSafe(F.col("_key"))).drop("_key")
+    inner = staging.table(inner, "open-meetings")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    x = inner.select("key", own.alias("block"), *[F.col(c).alias(f"{c}_x") for c in ("node", "size", "root")])
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    y = inner.select("key", every.alias("block"), *[F.col(c).alias(f"{c}_y") for c in ("node", "size", "root")])
+    sizes = F.least("size_x", "size_y") >= F.lit(likeness) * F.greatest("size_x", "size_y")
+    # Spark takes exploded rows to be few, so the join is told.
+    pairs = x.join(y.hint("merge"), ["key", "block"]).filter("node_x < node_y AND root_x <> root_y").filter(sizes)
+    return pairs.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct()
+
+
+def _hashed(texts: DataFrame, words_each: int) -> DataFrame:
+    """(node, hashes) of (node, text): the bytes of each text's ``shingle_hashes``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingle_hashes(t.as_py() or "", words_each).tobytes() for t in batch["text"]]
+            yield pa.RecordBatch.from_arrays(
+                [batch["node"], pa.array(made, type=pa.binary())], names=["node", "hashes"]
+            )
+
+    return texts.select("node", "text").mapInArrow(run, "node long, hashes binary")
+
+
+def _alike_pairs(pairs: DataFrame, hashed: DataFrame, likeness: float) -> DataFrame:
+    """The pairs (a, b) whose texts, by (node, hashes), share ``likeness`` of their shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True):
-                p, q = shingle_hashes(x, words_each), shingle_hashes(y, words_each)
+            for x, y in zip(batch["x"], batch["y"], strict=True):
+                p, q = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 kept.append(both >= likeness * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(kept, type=pa.bool_()))
 
-    x = texts.select(F.col("node").alias("a_"), F.col("text").alias("x"))
-    y = texts.select(F.col("node").alias("b_"), F.col("text").alias("y"))
+    x = hashed.select(F.col("node").alias("a_"), F.col("hashes").alias("x"))
+    y = hashed.select(F.col("node").alias("b_"), F.col("hashes").alias("y"))
     met = pairs.join(x, F.col("a").eqNullSafe(F.col("a_"))).join(y, F.col("b").eqNullSafe(F.col("b_")))
     return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
@@ -297,10 +349,10 @@ def near_copies(
     differ. So this takes ``parts`` times 32 bits: texts that are alike have a part that
     differs in two bits at most, and both emit all its variants within one bit (ball
     hashing by parts). Only texts that share one of their eight least shingle hashes with
-    another emit them. Of all that meet on a variant each is compared with the least
-    and the greatest, by their exact shingles; of groups of copies that links no worse than
-    all pairs would where likeness to one of these holds. Texts of the same words are one
-    node. No link is wrong; recall is measured in the README.
+    another emit them. All that meet on a variant are compared by their exact shingles:
+    first each with the least and the greatest, which joins most groups of copies, then all
+    pairs that are not joined yet. Texts of the same words are one node. No link is
+    wrong; recall is measured in the README.
 
     A NULL text is empty; texts without words are copies of each other. Rows without a
     doc_id take part and never give a component its id, which is NULL if no row of it has
@@ -309,17 +361,23 @@ def near_copies(
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("body"))
     rows = staging.table(_classed(slim, words_each, parts), "wide-rows")
     classes = rows.groupBy("node").agg(
-        F.min("doc_id").alias("first"), F.min("body").alias("body"),
+        F.min("doc_id").alias("first"), F.min("body").alias("body"), F.min("size").alias("size"),
         F.min("parts").alias("parts"), F.min("sketch").alias("sketch"),
     )
     classes = staging.table(classes, "wide-classes")
-    pairs = staging.table(_candidates(classes.select("node", "parts", "sketch"), staging), "wide-pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = _meetings(classes.select("node", "size", "parts", "sketch"), staging)
+    asked = met.select("node").distinct()
     asked = staging.table(asked.join(classes.select("node", "body"), "node"), "asked-texts")
     maybe = maybe_in(slim, "body", asked, "body", asked.count()).filter("_possible").select("text", F.col("body").alias("_body"))
     texts = maybe.join(asked, F.col("_body").eqNullSafe(F.col("body"))).select("node", "text")
-    texts = staging.table(texts.groupBy("node").agg(F.min("text").alias("text")), "wide-texts")
-    roots = components(staging.table(_alike_pairs(pairs, texts, words_each, likeness), "wide-links"), staging)
+    texts = texts.groupBy("node").agg(F.min("text").alias("text"))
+    hashed = staging.table(_hashed(texts, words_each), "wide-hashes")
+    links = staging.table(_alike_pairs(_end_pairs(met), hashed, likeness), "wide-links")
+    roots = components(links, staging)
+    rest = staging.table(_other_pairs(met, roots, likeness, staging), "wide-pairs")
+    more = staging.table(_alike_pairs(rest, hashed, likeness), "more-links")
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).union(more), staging)
     rooted = classes.select("node", "first").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     rooted = rooted.select("node", "first", F.coalesce("root", "node").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first").alias("component_id"))

@@ -119,3 +119,39 @@ def test_near_copies_of_awkward_rows(spark, staging):
     assert len(rows) == len(cases.AWKWARD) and ids[2] == ids[1] == 1 and ids[3] == ids[4] == ids[5] == 3
     assert ids[None] is None and ids[6] == 6 and ids[-5] == -5
     assert simhash_dedup.near_copies(cases.empty(spark), staging).count() == 0
+
+
+def test_copies_between_the_ends_of_crowded_keys_are_found(spark, staging, monkeypatch):
+    """Two copies whose only fingerprint part is that of other texts too, of which none is
+    alike: the others hold the least and the greatest node of every key."""
+    draw = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+
+    def part(words):
+        return simhash_dedup.wide_fingerprint(simhash_dedup.shingle_hashes(" ".join(words), 5), 1)[0]
+
+    def made(change):
+        while True:
+            words = change([f"x{draw.randrange(10**9)}" for _ in range(8)])
+            if part(words) == part(base):
+                return " ".join(words)
+
+    def node(text):
+        return signed(xxhash.xxh64_intdigest(text.encode(), 7))
+
+    others = [made(lambda new: base[:52] + new) for _ in range(14)]
+    ends = min(map(node, others)), max(map(node, others))
+    copies = []
+    while len(copies) < 6:
+        text = made(lambda new: new[:2] + base[2:])
+        if ends[0] < node(text) < ends[1]:
+            copies.append(text)
+    docs = list(enumerate(others + copies))
+    alike = [(i, j) for i, x in docs for j, y in docs if i < j and plain_likeness(x, y) >= 0.8]
+    root = cases.closure(range(20), alike)
+    assert len(alike) == 15 and set(root.values()) == set(range(15))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    for block in (256, 2):
+        monkeypatch.setattr(simhash_dedup, "BLOCK", block)
+        rows = simhash_dedup.near_copies(df, staging, parts=1).collect()
+        assert {r.doc_id: r.component_id for r in rows} == root
