@@ -177,8 +177,12 @@ def _repeated_stretches(places: DataFrame, staging: Staging, least_words: int, c
         return F.aggregate("_chunks", F.lit(0).cast("long"), lambda a, c: a + c[field])
 
     words = total("words") + F.array_min("_chunks")["head"]
-    share = F.lit(copies) if copies is not None else F.lit(float("inf"))
-    is_copy = (F.col("_doc0") != F.col("_doc")) & (total("chars") >= share * F.col("_size"))
+    if copies is None:
+        is_copy = F.lit(False)
+    else:
+        # Equal texts may have less in chunks than that: tiny chunks are no anchors.
+        is_like = (F.col("_text0") == F.col("_text")) | (total("chars") >= F.lit(copies) * F.col("_size"))
+        is_copy = (F.col("_doc0") != F.col("_doc")) & is_like
     return (
         stretches.filter(words >= least_words)
         .select("_doc", "_text", "_parts", is_copy.alias("_copy"))
@@ -204,7 +208,8 @@ def remove_repeated_chunks(
 
     With ``leave_copies``, a document of which a stretch has at least that share of its
     own characters and of the earlier document's, whichever is longer, is a near copy
-    of that document and is left whole, for a later stage that chooses among copies.
+    of that document and is left whole, for a later stage that chooses among copies. So
+    is a document whose text is the earlier one's, however short its lines are.
 
     A NULL text stays NULL, an empty one empty. Rows of equal doc_id and text count as one
     document and get the same text. Extra columns pass through, whatever their names, but for
