@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltgate.llm.common import maybe_in
 from siltgate.sources.staging import Staging
 
-LINE_END = "(?<=[.!?\\n])(?![.!?\\n])"
+LINE = "[^.!?\\n]*+[.!?\\n]++|[^.!?\\n]++"
 BLANKS = " \t\r\n"
 MARKED, ALONE = 60, 100  # characters from which a line is a boundary, and a chunk of its own
 LEAST = 32  # characters of a chunk's outer lines: shorter ones repeat by chance
@@ -24,12 +24,7 @@ def _let(value: Column, body) -> Column:
 def lines(text: Column) -> Column:
     """A text's lines, cut behind runs of line breaks and sentence ends; joined, they are
     the text."""
-
-    def whole(u: Column) -> Column:
-        last_empty = F.element_at(u, -1) == ""
-        return F.when(last_empty, F.slice(u, F.lit(1), F.size(u) - 1)).otherwise(u)
-
-    return _let(F.split(text, LINE_END), whole)
+    return F.regexp_extract_all(text, F.lit(LINE), F.lit(0))
 
 
 def trimmed(units: Column) -> Column:
@@ -86,38 +81,42 @@ def chunk_spans(h: Column) -> Column:
     return F.concat(F.filter(between, is_told), F.transform(alone, lambda i: span(i, i, F.get(h, i))))
 
 
-def _shown(units: Column, spans: Column) -> Column:
+def _shown(units: Column, spans: Column, most: int) -> Column:
     """What is compared of each chunk: the SHA-256 of its trimmed lines, hashes of the lines
     on either side, nearest first, and its weight in words and characters. Neighbouring
     chunks share a line, which counts for the one that it ends; ``head`` has the words
-    of the first line."""
+    of the first line. Words are only compared with ``most``, so counts end there."""
+    blank, word = "[ \\t-\\r]", "[^ \\t-\\r]"
+    enough = f"^{blank}*+(?:{word}++{blank}++){{{max(most, 1) - 1}}}{word}"
 
     def count(text: Column) -> Column:
-        return F.regexp_count(text, F.lit("[^ \\t-\\r]+"))
+        return F.when(text.rlike(enough), max(most, 1)).otherwise(F.regexp_count(text, F.lit(f"{word}+")))
 
-    def shown(t: Column, c: Column) -> Column:
+    def shown(t: Column, h: Column, c: Column) -> Column:
         s, e = c["s"], c["e"]
         own = (s == 0) | (s == e)  # else the first line counts for the chunk before
-        first = F.get(t, s)
-        head = F.when(own, 0).otherwise(count(first))
-        before = F.slice(t, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH)))
+        before = F.slice(h, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH)))
 
         def told(text: Column) -> Column:
-            chars = F.length(text) - F.when(own, 0).otherwise(F.length(first) + 1)
+            rest = F.when(own, text).otherwise(text.substr(F.length(F.get(t, s)) + 2, F.length(text)))
             return F.struct(
                 s.alias("s"),
                 e.alias("e"),
                 F.unhex(F.sha2(text, 256)).alias("bytes"),
-                F.transform(F.reverse(before), lambda x: F.xxhash64(x)).alias("before"),
-                F.transform(F.slice(t, e + 2, F.lit(REACH)), lambda x: F.xxhash64(x)).alias("after"),
-                (count(text) - head).alias("words"),
-                head.alias("head"),
-                F.when(s == e, 0).otherwise(chars).alias("chars"),
+                F.reverse(before).alias("before"),
+                F.slice(h, e + 2, F.lit(REACH)).alias("after"),
+                count(rest).alias("words"),
+                F.when(own, 0).otherwise(count(F.get(t, s))).alias("head"),
+                F.when(s == e, 0).otherwise(F.length(rest)).alias("chars"),
             )
 
         return _let(F.array_join(F.slice(t, s + 1, e - s + 1), "\n"), told)
 
-    return _let(trimmed(units), lambda t: F.transform(spans, lambda c: shown(t, c)))
+    def all_shown(t: Column) -> Column:
+        hashes = F.transform(t, lambda x: F.xxhash64(x))
+        return _let(hashes, lambda h: F.transform(spans, lambda c: shown(t, h, c)))
+
+    return _let(trimmed(units), all_shown)
 
 
 def _alike(mine: Column, theirs: Column) -> Column:
@@ -241,7 +240,7 @@ def remove_repeated_chunks(
         hits.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "chunk-hits"
     )
     texts = _of_owners(full, hits, keys)[0].join(_renamed(hits, keys), _same(keys))
-    shown = _let(lines(F.col("_body")), lambda u: _shown(u, F.col("_spans")))
+    shown = _let(lines(F.col("_body")), lambda u: _shown(u, F.col("_spans"), least_words))
     folder = staging.folder("chunk-places")
     texts.select(*keys, F.length("_body").alias("size"), F.inline(shown)).write.option(
         "compression", "zstd"
