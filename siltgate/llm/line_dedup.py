@@ -81,28 +81,29 @@ def chunk_spans(h: Column) -> Column:
     return F.concat(F.filter(between, is_told), F.transform(alone, lambda i: span(i, i, F.get(h, i))))
 
 
-def _shown(units: Column, spans: Column, most: int) -> Column:
-    """What is compared of each chunk: the SHA-256 of its trimmed lines, hashes of the lines
-    on either side, nearest first, and its weight in words and characters. Neighbouring
-    chunks share a line, which counts for the one that it ends; ``head`` has the words
-    of the first line. Words are only compared with ``most``, so counts end there."""
+def _shown(text: Column, spans: Column, most: int) -> Column:
+    """What is compared of each chunk of a text: the SHA-256 of its trimmed lines, hashes of
+    the lines on either side, nearest first, and its weight in words and characters.
+    Neighbouring chunks share a line, which counts for the one that it ends; ``head`` has
+    the words of the first line. Words are only compared with ``most``, so counts end there.
+    ``size`` is the text's, told here so that no chunk has to carry the text."""
     blank, word = "[ \\t-\\r]", "[^ \\t-\\r]"
     enough = f"^{blank}*+(?:{word}++{blank}++){{{max(most, 1) - 1}}}{word}"
 
     def count(text: Column) -> Column:
         return F.when(text.rlike(enough), max(most, 1)).otherwise(F.regexp_count(text, F.lit(f"{word}+")))
 
-    def shown(t: Column, h: Column, c: Column) -> Column:
+    def shown(t: Column, h: Column, size: Column, c: Column) -> Column:
         s, e = c["s"], c["e"]
         own = (s == 0) | (s == e)  # else the first line counts for the chunk before
         before = F.slice(h, F.greatest(s - REACH, F.lit(0)) + 1, F.least(s, F.lit(REACH)))
 
-        def told(text: Column) -> Column:
-            rest = F.when(own, text).otherwise(text.substr(F.length(F.get(t, s)) + 2, F.length(text)))
+        def told(whole: Column, rest: Column) -> Column:
             return F.struct(
+                size.alias("size"),
                 s.alias("s"),
                 e.alias("e"),
-                F.unhex(F.sha2(text, 256)).alias("bytes"),
+                F.unhex(F.sha2(whole, 256)).alias("bytes"),
                 F.reverse(before).alias("before"),
                 F.slice(h, e + 2, F.lit(REACH)).alias("after"),
                 count(rest).alias("words"),
@@ -110,13 +111,17 @@ def _shown(units: Column, spans: Column, most: int) -> Column:
                 F.when(s == e, 0).otherwise(F.length(rest)).alias("chars"),
             )
 
-        return _let(F.array_join(F.slice(t, s + 1, e - s + 1), "\n"), told)
+        def halves(whole: Column) -> Column:
+            rest = F.when(own, whole).otherwise(F.array_join(F.slice(t, s + 2, e - s), "\n"))
+            return _let(rest, lambda r: told(whole, r))
+
+        return _let(F.array_join(F.slice(t, s + 1, e - s + 1), "\n"), halves)
 
     def all_shown(t: Column) -> Column:
-        hashes = F.transform(t, lambda x: F.xxhash64(x))
-        return _let(hashes, lambda h: F.transform(spans, lambda c: shown(t, h, c)))
+        known = F.struct(F.transform(t, lambda x: F.xxhash64(x)).alias("h"), F.length(text).alias("size"))
+        return _let(known, lambda k: F.transform(spans, lambda c: shown(t, k["h"], k["size"], c)))
 
-    return _let(trimmed(units), all_shown)
+    return _let(trimmed(lines(text)), all_shown)
 
 
 def _alike(mine: Column, theirs: Column) -> Column:
@@ -240,11 +245,9 @@ def remove_repeated_chunks(
         hits.groupBy(*keys).agg(F.collect_set(F.struct("s", "e")).alias("_spans")), "chunk-hits"
     )
     texts = _of_owners(full, hits, keys)[0].join(_renamed(hits, keys), _same(keys))
-    shown = _let(lines(F.col("_body")), lambda u: _shown(u, F.col("_spans"), least_words))
+    shown = _shown(F.col("_body"), F.col("_spans"), least_words)
     folder = staging.folder("chunk-places")
-    texts.select(*keys, F.length("_body").alias("size"), F.inline(shown)).write.option(
-        "compression", "zstd"
-    ).parquet(folder)
+    texts.select(*keys, F.inline(shown)).write.option("compression", "zstd").parquet(folder)
     places = docs.sparkSession.read.parquet(folder)
     found = staging.table(_repeated_stretches(places, staging, least_words, leave_copies), "chunk-spans")
     found = found.filter("NOT _copy").drop("_copy")

@@ -5,6 +5,7 @@ import re
 
 import cases
 import xxhash
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from siltgate.llm import line_dedup
@@ -194,3 +195,24 @@ def test_awkward_rows(spark, staging):
     want[1] = (2, "")
     assert cases.same_rows([(r.doc_id, r.text) for r in rows.collect()], want)
     assert line_dedup.remove_repeated_chunks(cases.empty(spark), staging).count() == 0
+
+
+def generators(plan):
+    children = plan.children()
+    below = [g for i in range(children.size()) for g in generators(children.apply(i))]
+    return [plan] * (plan.nodeName() == "Generate") + below
+
+
+def test_chunks_carry_no_text(spark, staging, monkeypatch):
+    """A text with n chunks must not be copied n times to tell its size."""
+    carried, write = [], DataFrameWriter.parquet
+
+    def seen(writer, path, *args, **kwargs):
+        if "chunk-places" in path:
+            plan = writer._df._jdf.queryExecution().sparkPlan()
+            carried.extend(g.requiredChildOutput().mkString(" ") for g in generators(plan))
+        write(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    line_dedup.remove_repeated_chunks(cases.awkward(spark), staging)
+    assert len(carried) == 1 and "_doc#" in carried[0] and "_body#" not in carried[0]
